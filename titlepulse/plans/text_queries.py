@@ -1 +1,109 @@
-"""Placeholder."""
+"""Tokens, term statistics, IDF, the key-hash split and the sentiment model."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from titlepulse import fixtures as X
+from titlepulse.functions.text import ENGLISH_STOP_WORDS, sql_list
+from titlepulse.operators import text_model as TM
+from titlepulse.plans.catalog import register, rounded
+
+_STOP_SQL = sql_list(ENGLISH_STOP_WORDS)
+_WS = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+
+# Java's String.split drops trailing empty tokens (and returns nothing for an
+# all-whitespace text); DuckDB's split keeps them, so trailing whitespace is
+# trimmed first.
+_TOKENS_SQL = f"""
+lo AS (SELECT doc_id, lower(coalesce(text, '')) AS s FROM documents),
+tok AS (SELECT doc_id,
+          CASE WHEN length(s) > 0 AND rtrim(s, {_WS}) = '' THEN []::VARCHAR[]
+               ELSE string_split_regex(rtrim(s, {_WS}), '[ \\t\\n\\x0B\\f\\r]') END AS words
+        FROM lo),
+flt AS (SELECT doc_id, words, list_filter(words, lambda x: NOT list_contains({_STOP_SQL}, x)) AS filtered
+        FROM tok)"""
+
+# Document classes from the label table.
+_LABEL_SQL = "CASE WHEN quality = 1 AND toxic = 0 THEN 1 WHEN quality = 1 AND toxic = 1 THEN 2 ELSE 0 END"
+
+
+def doc_label():
+    q, t = F.col("quality"), F.col("toxic")
+    return F.when((q == 1) & (t == 0), 1).when((q == 1) & (t == 1), 2).otherwise(0)
+
+
+def labeled_documents(spark, d):
+    docs = X.table(spark, d, "documents").select("doc_id", "text")
+    labels = X.table(spark, d, "labels").select("doc_id", doc_label().alias("label"))
+    return docs.join(labels, "doc_id")
+
+
+@register("tokens", "WITH " + _TOKENS_SQL + """
+SELECT doc_id, cast(len(words) AS bigint) AS n_words, cast(len(filtered) AS bigint) AS n_filtered,
+  array_to_string(filtered, ' ') AS filtered_text FROM flt""")
+def q_tokens(spark, d):
+    t = TM.tokens(X.table(spark, d, "documents").select("doc_id", "text"))
+    return t.select("doc_id", F.size("words").cast("bigint").alias("n_words"),
+                    F.size("filtered").cast("bigint").alias("n_filtered"),
+                    F.array_join("filtered", " ").alias("filtered_text"))
+
+
+@register("term_counts", "WITH " + _TOKENS_SQL + """,
+u AS (SELECT doc_id, unnest(filtered) AS term FROM flt)
+SELECT term, count(*) AS tf, count(DISTINCT doc_id) AS df FROM u GROUP BY term""")
+def q_term_counts(spark, d):
+    t = TM.tokens(X.table(spark, d, "documents").select("doc_id", "text"))
+    return TM.term_stats(t)
+
+
+@register("tfidf_weights", "WITH " + _TOKENS_SQL + """,
+u AS (SELECT doc_id, unnest(filtered) AS term FROM flt),
+n AS (SELECT count(*) AS nd FROM documents)
+SELECT term, count(DISTINCT doc_id) AS df,
+  round(ln(cast(nd + 1 AS double) / (count(DISTINCT doc_id) + 1)), 9) AS idf
+FROM u CROSS JOIN n GROUP BY term, nd""")
+def q_tfidf_weights(spark, d):
+    docs = X.table(spark, d, "documents").select("doc_id", "text")
+    stats = TM.term_stats(TM.tokens(docs))
+    return rounded(TM.idf_weights(stats, docs.count()), 9)
+
+
+@register("split_train_test", f"""
+SELECT doc_id, {_LABEL_SQL} AS label,
+  CASE WHEN ('0x' || substr(md5(cast(doc_id AS varchar)), 1, 8))::BIGINT % 100 < 80
+       THEN 'train' ELSE 'test' END AS split
+FROM documents JOIN labels USING (doc_id)""")
+def q_split_train_test(spark, d):
+    return TM.key_split(labeled_documents(spark, d), "doc_id").select("doc_id", "label", "split")
+
+
+_MODELS: dict = {}
+
+
+def fitted(spark, d):
+    """Fit once per (session, folder) in this driver process."""
+    key = (id(spark), d)
+    if key not in _MODELS:
+        data = TM.key_split(labeled_documents(spark, d), "doc_id")
+        _MODELS[key] = TM.fit(data.filter(F.col("split") == "train"))
+    return _MODELS[key]
+
+
+@register("sentiment_predictions")
+def q_sentiment_predictions(spark, d):
+    test = TM.key_split(labeled_documents(spark, d), "doc_id").filter(F.col("split") == "test")
+    out = TM.score(fitted(spark, d), test, keep=["doc_id", "label"])
+    return rounded(out, 9)
+
+
+@register("confusion_matrix")
+def q_confusion_matrix(spark, d):
+    test = TM.key_split(labeled_documents(spark, d), "doc_id").filter(F.col("split") == "test")
+    return TM.confusion(TM.score(fitted(spark, d), test, keep=["doc_id", "label"]))
+
+
+@register("score_documents")
+def q_score_documents(spark, d):
+    docs = X.table(spark, d, "documents").select("doc_id", "text")
+    return rounded(TM.score(fitted(spark, d), docs, keep=["doc_id"]), 9)
