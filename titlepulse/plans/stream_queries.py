@@ -1 +1,75 @@
-"""Placeholder."""
+"""The five results as streams (and scoring as a stream), read back for checking.
+
+Each query writes the raw records of its topics as message files into a fresh
+folder under the shared checkpoint folder, runs the streaming job with
+``availableNow`` into an idempotent parquet sink, and returns the sink's
+contents. The oracle is the batch result restricted to the groups the
+watermark has closed: event time <= min(max time of each input) - 10 minutes.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from titlepulse import fixtures as X
+from titlepulse.operators import text_model as TM
+from titlepulse.plans.catalog import ORACLE, register, rounded
+from titlepulse.plans.text_queries import fitted
+from titlepulse.schemas import RESULT_COLUMNS, TS_COLUMNS
+from titlepulse.session import scratch_path
+from titlepulse.streaming import jobs as J
+from titlepulse.streaming.runner import await_done, start
+from titlepulse.streaming.sinks import parquet_batch_writer
+from titlepulse.plans.oracle_views import RAW_ACTOR, RAW_MOVIE, RAW_REVIEW
+
+STREAM_TIMEOUT_S = 1800
+_RAW = {"movie": X.raw_movie, "actor": X.raw_actor, "review": X.raw_review}
+
+
+def run_stream(spark, d, name):
+    base = scratch_path(spark, f"stream_{name}")
+    frames = {}
+    for kind in J.INPUTS[name]:
+        J.write_messages(_RAW[kind](spark, d), kind, f"{base}/in/{kind}")
+        frames[kind] = J.load_topic(spark, f"{base}/in/{kind}", kind)
+    result = J.build(name, frames)
+    q = start(result, parquet_batch_writer(f"{base}/out"), f"{base}/checkpoint", name=None)
+    await_done(q, STREAM_TIMEOUT_S)
+    out = spark.read.parquet(f"{base}/out").drop("batch_id")
+    ts_cols = set(TS_COLUMNS.values())
+    out = out.select(*[F.col(c).cast("timestamp_ntz").alias(c) if c in ts_cols else F.col(c)
+                       for c in RESULT_COLUMNS[name]])
+    return rounded(out) if name != "top_sentiment" else out
+
+
+def _stream_oracle(name: str) -> str:
+    """The batch oracle (nested as a subquery) restricted to closed groups."""
+    batch = ORACLE[name]
+    inputs = J.INPUTS[name]
+    ts = TS_COLUMNS[inputs[0]]
+    maxes = [f"(SELECT max({TS_COLUMNS[k]}) FROM raw_{k})" for k in inputs]
+    bound = f"least({', '.join(maxes)})" if len(maxes) > 1 else maxes[0]
+    views = {"movie": RAW_MOVIE, "actor": RAW_ACTOR, "review": RAW_REVIEW}
+    raw_views = ",\n".join(views[k] for k in inputs)
+    return (f"WITH {raw_views}\nSELECT * FROM (\n{batch}\n) AS batch_result "
+            f"WHERE {ts} <= {bound} - INTERVAL 10 MINUTE")
+
+
+for _name in J.INPUTS:
+    def _q(spark, d, _n=_name):
+        return run_stream(spark, d, _n)
+    register(f"stream_{_name}", _stream_oracle(_name))(_q)
+
+
+@register("stream_score")
+def q_stream_score(spark, d):
+    """Score documents arriving as a stream with the fitted model."""
+    base = scratch_path(spark, "stream_score")
+    docs = X.table(spark, d, "documents").select("doc_id", "text")
+    docs.write.mode("overwrite").parquet(f"{base}/in")
+    stream = spark.readStream.schema(docs.schema).parquet(f"{base}/in")
+    scored = TM.score(fitted(spark, d), stream, keep=["doc_id"])
+    q = start(scored, parquet_batch_writer(f"{base}/out"), f"{base}/checkpoint")
+    await_done(q, STREAM_TIMEOUT_S)
+    return rounded(spark.read.parquet(f"{base}/out").drop("batch_id"), 9)
+
