@@ -11,6 +11,7 @@ from __future__ import annotations
 import time
 
 from pyspark.sql import DataFrame
+from pyspark.errors import StreamingQueryException
 from pyspark.sql.streaming import StreamingQuery
 
 from titlepulse.streaming.sinks import BatchWriter
@@ -38,16 +39,19 @@ def await_done(q: StreamingQuery, timeout_s: float) -> None:
         raise RuntimeError(str(q.exception()))
 
 
-def run_all(queries: list[StreamingQuery], timeout_s: float) -> None:
+def run_all(spark, queries: list[StreamingQuery], timeout_s: float) -> None:
     """Wait until all end; the first failure stops the others and raises."""
-    spark = queries[0].sparkSession if queries else None
     deadline = time.monotonic() + timeout_s
+    spark.streams.resetTerminated()  # forget queries that ended before these
     try:
         while any(q.isActive for q in queries):
             left = deadline - time.monotonic()
             if left <= 0:
                 raise TimeoutError("streams did not finish in time")
-            spark.streams.awaitAnyTermination(min(left, 5.0))
+            try:
+                spark.streams.awaitAnyTermination(min(left, 5.0))
+            except StreamingQueryException:
+                pass  # judged below, from our own queries only
             spark.streams.resetTerminated()
             for q in queries:
                 if q.exception() is not None:
