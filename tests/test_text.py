@@ -41,3 +41,16 @@ def test_model_fit_score_save_load(spark, sf, tmp_path):
     model.write().overwrite().save(path)
     again = TM.score(PipelineModel.load(path), test, keep=["doc_id"]).collect()
     assert sorted((r.doc_id, r.prediction) for r in again) == sorted((r.doc_id, r.prediction) for r in scored)
+
+
+def test_builtin_tokens_equal_ml_transformers(spark, sf):
+    from pyspark.ml.feature import Tokenizer
+    docs = spark.createDataFrame(
+        [(1, " A  b\tC. "), (2, ""), (3, "   "), (4, "The cat, and THE dog\n\n"), (5, "x\x0by")],
+        "doc_id int, text string").unionByName(
+        spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text"))
+    ours = {r.doc_id: (r.words, r.filtered) for r in TM.tokens(docs).collect()}
+    ml = Tokenizer(inputCol="text", outputCol="words").transform(docs)
+    ml = StopWordsRemover(inputCol="words", outputCol="filtered").transform(ml)
+    theirs = {r.doc_id: (r.words, r.filtered) for r in ml.collect()}
+    assert ours == theirs

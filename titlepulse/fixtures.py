@@ -15,9 +15,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from titlepulse.operators.partitioning import spread
+
+# Tables whose rows carry long text and feed regex / tokenizing work.
+TEXT_TABLES = {"documents", "pages", "conversations", "benchmark"}
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(df) if name in TEXT_TABLES else df
 
 
 def _hour_of_2024(n) -> F.Column:

@@ -3,8 +3,8 @@
 The original pulled whole tables to pandas and drew images; here every chart
 is a grouped aggregate whose size is bounded by its bins / labels / distinct
 values, never by the number of reviews. Where a step needs a data-wide scalar
-(histogram bounds, number of bigrams, number of baskets) it is computed by
-one aggregate action returning one row.
+(histogram bounds, number of bigrams, number of baskets) it is a scalar
+subquery of the same plan (``DataFrame.scalar()``), not a driver round trip.
 """
 
 from __future__ import annotations
@@ -25,22 +25,21 @@ def _c(c) -> Column:
 def histogram(df: DataFrame, col: str, bins: int = 12) -> DataFrame:
     """Equal-width bins from min to max (last bin closed), nulls skipped,
     empty bins reported as 0. Same edges as numpy's ``histogram``; a constant
-    column gets the range (v - 0.5, v + 0.5)."""
+    column gets the range (v - 0.5, v + 0.5). The bounds are scalar
+    subqueries of the same plan, not a separate action."""
     x = F.col(col).cast("double")
-    mn, mx = df.agg(F.min(x), F.max(x)).first()
-    spark = df.sparkSession
-    if mn is None:
-        return spark.range(0).select(F.col("id").alias("bin"), F.lit(0.0).alias("bin_lo"),
-                                     F.lit(0.0).alias("bin_hi"), F.lit(0).cast("bigint").alias("n"))
-    lo, hi = (mn - 0.5, mx + 0.5) if mn == mx else (mn, mx)
-    idx = F.least(F.floor(((x - F.lit(lo)) * F.lit(float(bins))) / F.lit(hi - lo)), F.lit(bins - 1))
+    mn = df.agg(F.min(x)).scalar()
+    mx = df.agg(F.max(x)).scalar()
+    lo = F.when(mn == mx, mn - 0.5).otherwise(mn)
+    hi = F.when(mn == mx, mx + 0.5).otherwise(mx)
+    nb = F.lit(float(bins))
+    idx = F.least(F.floor(((x - lo) * nb) / (hi - lo)), F.lit(bins - 1))
     counts = df.filter(x.isNotNull()).groupBy(idx.cast("bigint").alias("bin")).agg(
         F.count(F.lit(1)).alias("n"))
     b = F.col("id")
-    edges = spark.range(bins).select(
-        b.alias("bin"), (F.lit(lo) + b * F.lit(hi - lo) / F.lit(float(bins))).alias("bin_lo"),
-        F.when(b == bins - 1, F.lit(hi)).otherwise(
-            F.lit(lo) + (b + 1) * F.lit(hi - lo) / F.lit(float(bins))).alias("bin_hi"))
+    edges = df.sparkSession.range(bins).select(
+        b.alias("bin"), (lo + b * (hi - lo) / nb).alias("bin_lo"),
+        F.when(b == bins - 1, hi).otherwise(lo + (b + 1) * (hi - lo) / nb).alias("bin_hi"))
     return (edges.join(counts, "bin", "left")
             .select("bin", "bin_lo", "bin_hi", F.coalesce("n", F.lit(0)).alias("n")))
 
@@ -120,25 +119,22 @@ def _weighted(basket_df: DataFrame, items: str) -> DataFrame:
 
 
 def frequent_itemsets(basket_df: DataFrame, min_support: float, items: str = "items",
-                      method: str = "auto", max_powerset_items: int = 12) -> DataFrame:
+                      method: str = "powerset") -> DataFrame:
     """Itemsets with frequency >= ceil(min_support * #baskets): (items sorted, freq).
 
-    ``powerset``: baskets are first reduced to distinct baskets with a weight,
-    then every non-empty subset of each distinct basket is counted; exact and
-    a plain aggregate, for short baskets (here 3 or 4 items).
+    ``powerset`` (default): baskets are first reduced to distinct baskets with
+    a weight (map-side combined), then every non-empty subset of each distinct
+    basket is counted; exact and a plain aggregate, for short baskets (here
+    at most 4 items, so 15 subsets each).
     ``fpgrowth``: Spark ML's parallel FP-Growth, for long baskets.
-    ``auto`` picks powerset when no basket has more than ``max_powerset_items``.
     """
-    w = _weighted(basket_df, items)
-    n_baskets, longest = w.agg(F.sum("w"), F.max(F.size("items"))).first()
-    n_baskets = n_baskets or 0
-    if method == "auto":
-        method = "powerset" if (longest or 0) <= max_powerset_items else "fpgrowth"
-    min_count = _min_count(min_support, n_baskets)
     if method == "fpgrowth":
         model = FPGrowth(itemsCol=items, minSupport=min_support, minConfidence=1.0).fit(
             basket_df.select(F.array_distinct(F.col(items)).alias(items)))
         return model.freqItemsets.select(F.array_sort("items").alias("items"), "freq")
+    w = _weighted(basket_df, items)
+    # Same double arithmetic as FP-Growth's minCount = ceil(minSupport * count).
+    min_count = F.ceil(F.lit(float(min_support)) * w.agg(F.sum("w").cast("double")).scalar())
     masks = F.sequence(F.lit(1), F.pow(F.lit(2), F.size("items")).cast("int") - 1)
     subsets = w.select("items", "w", F.explode(masks).alias("m")).select(
         F.filter("items", lambda x, i: F.col("m").bitwiseAND(F.pow(F.lit(2), i).cast("int")) != 0)
@@ -148,18 +144,15 @@ def frequent_itemsets(basket_df: DataFrame, min_support: float, items: str = "it
             .filter(F.col("freq") >= min_count))
 
 
-def _min_count(min_support: float, n: int) -> int:
-    import math
-    return int(math.ceil(min_support * n))
-
-
-def association_rules(itemsets: DataFrame, n_baskets: int, min_confidence: float) -> DataFrame:
+def association_rules(itemsets: DataFrame, n_baskets, min_confidence: float) -> DataFrame:
     """Rules X -> {c} from frequent itemsets: confidence, lift, support.
 
     For every itemset of two or more items and every item c in it, the
     antecedent is the itemset without c; both the antecedent and {c} are
     frequent (downward closure), so plain equi-joins on the itemset find them.
+    ``n_baskets`` is a number or a scalar column (``basket_count``).
     """
+    nb = F.lit(float(n_baskets)) if isinstance(n_baskets, (int, float)) else n_baskets.cast("double")
     big = itemsets.filter(F.size("items") >= 2)
     sides = big.select("items", "freq", F.explode("items").alias("c")).select(
         F.array_remove("items", F.col("c")).alias("antecedent"), F.col("c").alias("consequent"),
@@ -171,8 +164,8 @@ def association_rules(itemsets: DataFrame, n_baskets: int, min_confidence: float
     return (sides.join(ante, "antecedent").join(cons, "consequent")
             .select("antecedent", F.array("consequent").alias("consequent"),
                     conf.alias("confidence"),
-                    (conf / (F.col("f_cons") / F.lit(float(n_baskets)))).alias("lift"),
-                    (F.col("f_all") / F.lit(float(n_baskets))).alias("support"))
+                    (conf / (F.col("f_cons") / nb)).alias("lift"),
+                    (F.col("f_all") / nb).alias("support"))
             .filter(F.col("confidence") >= min_confidence))
 
 
@@ -186,8 +179,9 @@ def fp_growth_rules(basket_df: DataFrame, min_support: float, min_confidence: fl
                                          "consequent", "confidence", "lift", "support")
 
 
-def basket_count(basket_df: DataFrame) -> int:
-    return basket_df.count()
+def basket_count(basket_df: DataFrame) -> Column:
+    """Number of baskets as a scalar-subquery column."""
+    return basket_df.agg(F.count(F.lit(1))).scalar()
 
 
 # ------------------------------------------------------------ M10 / M11 text
@@ -227,14 +221,17 @@ def bigram_counts(df: DataFrame, text: str, stop: list[str]) -> DataFrame:
     t = words(df, text)
     nxt = F.slice(t, 2, F.greatest(F.size(t) - 1, F.lit(0)))
     pairs = (df.select(F.explode(F.arrays_zip(t.alias("w1"), nxt.alias("w2"))).alias("p"))
-             .select("p.w1", "p.w2").filter(F.col("w2").isNotNull())
+             .select("p.w1", "p.w2")
+             # explicit not-null on both: the two marginal joins then infer no
+             # extra filter, so all branches share one exchange of the counts
+             .filter(F.col("w1").isNotNull() & F.col("w2").isNotNull())
              .filter(_kept(F.col("w1"), stop) & _kept(F.col("w2"), stop)))
     counts = pairs.groupBy("w1", "w2").agg(F.count(F.lit(1)).alias("n"))
-    total = counts.agg(F.sum("n")).first()[0] or 0
+    total = counts.agg(F.sum("n").cast("double")).scalar()
     left = counts.groupBy("w1").agg(F.sum("n").alias("n1"))
     right = counts.groupBy("w2").agg(F.sum("n").alias("n2"))
     j = counts.join(left, "w1").join(right, "w2")
-    n = F.lit(float(total))
+    n = total
     k11 = F.col("n").cast("double")
     r1, c1 = F.col("n1").cast("double"), F.col("n2").cast("double")
     k12, k21 = r1 - k11, c1 - k11

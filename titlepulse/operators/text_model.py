@@ -31,17 +31,35 @@ LR_TOL = 1e-6
 TRAIN_PERCENT = 80
 
 
+# The characters Java's \\s matches (the Tokenizer's separator).
+WHITESPACE = " \t\n\x0b\x0c\r"
+WHITESPACE_CLASS = "[ \\t\\n\\x0B\\f\\r]"
+
+
+def tokenize(text) -> Column:
+    """Spark ML ``Tokenizer`` semantics with built-in functions: lower-case,
+    split on single whitespace characters, leading and inner empty tokens
+    kept, trailing empty tokens dropped (Java ``String.split``), so an
+    all-whitespace text gives no tokens and an empty text one empty token.
+    Built-ins stay in whole-stage codegen; the ML transformer is a UDF and
+    about twice as slow once exploded."""
+    s = F.lower(F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit("")))
+    trimmed = F.rtrim(s, F.lit(WHITESPACE))
+    return (F.when((F.length(s) > 0) & (trimmed == ""), F.array().cast("array<string>"))
+            .otherwise(F.split(trimmed, WHITESPACE_CLASS)))
+
+
+def remove_stop_words(words, stop: list[str] = ENGLISH_STOP_WORDS) -> Column:
+    """``StopWordsRemover`` (case-insensitive) on already lower-cased tokens."""
+    w = F.col(words) if isinstance(words, str) else words
+    return F.filter(w, lambda x: ~x.isin(stop))
+
+
 def tokens(df: DataFrame, text: str = "text", words: str = "words",
            filtered: str = "filtered") -> DataFrame:
-    """Lower-case, split on single whitespace characters (empty tokens kept,
-    trailing ones dropped), then remove English stop words. A null text is
-    read as the empty string."""
-    src = "_tp_text"
-    staged = df.withColumn(src, F.coalesce(F.col(text), F.lit("")))
-    out = Tokenizer(inputCol=src, outputCol=words).transform(staged)
-    out = StopWordsRemover(inputCol=words, outputCol=filtered,
-                           stopWords=ENGLISH_STOP_WORDS).transform(out)
-    return out.drop(src)
+    """Adds ``words`` (Tokenizer) and ``filtered`` (stop words removed)."""
+    out = df.withColumn(words, tokenize(text))
+    return out.withColumn(filtered, remove_stop_words(words))
 
 
 def term_stats(tok: DataFrame, doc: str = "doc_id", filtered: str = "filtered") -> DataFrame:
@@ -51,9 +69,10 @@ def term_stats(tok: DataFrame, doc: str = "doc_id", filtered: str = "filtered")
     return per_doc.groupBy("term").agg(F.sum("_c").alias("tf"), F.count(F.lit(1)).alias("df"))
 
 
-def idf_weights(stats: DataFrame, n_docs: int) -> DataFrame:
-    """IDF as Spark ML computes it: ln((N + 1) / (df + 1))."""
-    n = F.lit(float(n_docs + 1))
+def idf_weights(stats: DataFrame, n_docs) -> DataFrame:
+    """IDF as Spark ML computes it: ln((N + 1) / (df + 1)); ``n_docs`` is a
+    number or a scalar column."""
+    n = F.lit(float(n_docs + 1)) if isinstance(n_docs, int) else (n_docs + 1).cast("double")
     return stats.select("term", "df", F.log(n / (F.col("df") + 1)).alias("idf"))
 
 

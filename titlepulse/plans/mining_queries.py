@@ -175,8 +175,7 @@ def q_frequent_itemsets(spark, d):
 
 def _rules(spark, d):
     b, fi = _itemsets(spark, d)
-    n = b.count()
-    return M.rule_text(M.association_rules(fi, n, MIN_CONFIDENCE))
+    return M.rule_text(M.association_rules(fi, M.basket_count(b), MIN_CONFIDENCE))
 
 
 @register("association_rules", with_views(REVIEW_NUM) + _RULES_SQL + """

@@ -66,7 +66,7 @@ FROM u CROSS JOIN n GROUP BY term, nd""")
 def q_tfidf_weights(spark, d):
     docs = X.table(spark, d, "documents").select("doc_id", "text")
     stats = TM.term_stats(TM.tokens(docs))
-    return rounded(TM.idf_weights(stats, docs.count()), 9)
+    return rounded(TM.idf_weights(stats, docs.agg(F.count(F.lit(1))).scalar()), 9)
 
 
 @register("split_train_test", f"""

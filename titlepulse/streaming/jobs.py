@@ -24,11 +24,14 @@ _CLEAN = {"movie": clean_movie, "actor": clean_actor, "review": clean_review}
 _KEYS = {"movie": ["movie_id"], "actor": ["actor_id", "movie_id"], "review": ["review_id", "movie_id"]}
 
 
-def write_messages(records: DataFrame, kind: str, path: str) -> None:
+def write_messages(records: DataFrame, kind: str, path: str, bucket_chars: int = 1) -> None:
     """Pack records (with their event-time column) into messages, one message
-    time per message, and write them as JSON lines: the shape a broker holds."""
+    time per message, and write them as JSON lines: the shape a broker holds.
+    ``bucket_chars`` sets the packing buckets (16 per message time by
+    default) so most messages are full, as a producer sends them."""
     ts = TS_COLUMNS[kind]
-    packed = pack_envelope(records, kind, _KEYS[kind], MESSAGE_SIZES[kind], group_cols=(ts,))
+    packed = pack_envelope(records, kind, _KEYS[kind], MESSAGE_SIZES[kind], group_cols=(ts,),
+                           bucket_chars=bucket_chars)
     to_message_rows(packed, ts).write.mode("overwrite").json(path)
 
 
