@@ -14,4 +14,4 @@ def test_every_query_has_an_oracle_or_is_model_based():
     q, o = E.queries(), E.oracle_sql()
     assert set(q) - set(o) == ROWS_ONLY
     assert set(o) <= set(q)
-    assert len(q) >= 48
+    assert len(q) >= 49
