@@ -47,8 +47,8 @@ def test_powerset_itemsets_equal_fpgrowth(spark, reviews):
 
 def test_rules_equal_fpgrowth(spark, reviews):
     b = M.baskets(reviews)
-    n = b.count()
-    ours = M.association_rules(M.frequent_itemsets(b, 0.1), n, 0.1)
+    w = M.weighted_baskets(b)
+    ours = M.association_rules(M.itemsets_from_weighted(w, 0.1), M.basket_count(w), 0.1)
     theirs = M.fp_growth_rules(b, 0.1, 0.1)
 
     def key(df):

@@ -10,10 +10,11 @@ subquery of the same plan (``DataFrame.scalar()``), not a driver round trip.
 from __future__ import annotations
 
 from pyspark.ml.fpm import FPGrowth
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from titlepulse.functions.labels import sentiment_label
+from titlepulse.operators.partitioning import cut_lineage
 from titlepulse.schemas import DISLIKE_HIGH_OVER, LIKE_HIGH_OVER
 
 
@@ -112,36 +113,45 @@ def baskets(review: DataFrame) -> DataFrame:
 
 
 # ------------------------------------------------ M8 / M9 itemsets and rules
-def _weighted(basket_df: DataFrame, items: str) -> DataFrame:
-    """Distinct baskets with their multiplicity (map-side combined)."""
-    return (basket_df.select(F.array_sort(F.array_distinct(F.col(items))).alias("items"))
-            .groupBy("items").agg(F.count(F.lit(1)).alias("w")))
+def weighted_baskets(basket_df: DataFrame, items: str = "items", materialize: bool = True) -> DataFrame:
+    """Distinct baskets (items sorted) with their multiplicity ``w``.
+
+    The reduction is map-side combined, and its result is bounded by the
+    number of distinct baskets, not of reviews; ``materialize`` writes it to
+    the shared folder so the itemset, count and rule branches read that small
+    table instead of each rescanning the reviews."""
+    w = (basket_df.select(F.array_sort(F.array_distinct(F.col(items))).alias("items"))
+         .groupBy("items").agg(F.count(F.lit(1)).alias("w")))
+    return cut_lineage(w, "baskets") if materialize and not w.isStreaming else w
+
+
+def itemsets_from_weighted(w: DataFrame, min_support: float) -> DataFrame:
+    """Every non-empty subset of each distinct basket, weighted, counted, and
+    kept when its frequency >= ceil(min_support * #baskets) (FP-Growth's rule,
+    same double arithmetic)."""
+    min_count = F.ceil(F.lit(float(min_support)) * w.agg(F.sum("w").cast("double")).scalar())
+    masks = F.sequence(F.lit(1), F.pow(F.lit(2), F.size("items")).cast("int") - 1)
+    subsets = w.select("items", "w", F.explode(masks).alias("m")).select(
+        F.filter("items", lambda x, i: F.col("m").bitwiseAND(F.pow(F.lit(2), i).cast("int")) != 0)
+        .alias("items"),
+        "w")
+    return (subsets.groupBy("items").agg(F.sum("w").alias("freq"))
+            .filter(F.col("freq") >= min_count))
 
 
 def frequent_itemsets(basket_df: DataFrame, min_support: float, items: str = "items",
                       method: str = "powerset") -> DataFrame:
     """Itemsets with frequency >= ceil(min_support * #baskets): (items sorted, freq).
 
-    ``powerset`` (default): baskets are first reduced to distinct baskets with
-    a weight (map-side combined), then every non-empty subset of each distinct
-    basket is counted; exact and a plain aggregate, for short baskets (here
-    at most 4 items, so 15 subsets each).
+    ``powerset`` (default): exact counting over the power set of each distinct
+    basket (here at most 4 items, so at most 15 subsets each).
     ``fpgrowth``: Spark ML's parallel FP-Growth, for long baskets.
     """
     if method == "fpgrowth":
         model = FPGrowth(itemsCol=items, minSupport=min_support, minConfidence=1.0).fit(
             basket_df.select(F.array_distinct(F.col(items)).alias(items)))
         return model.freqItemsets.select(F.array_sort("items").alias("items"), "freq")
-    w = _weighted(basket_df, items)
-    # Same double arithmetic as FP-Growth's minCount = ceil(minSupport * count).
-    min_count = F.ceil(F.lit(float(min_support)) * w.agg(F.sum("w").cast("double")).scalar())
-    masks = F.sequence(F.lit(1), F.pow(F.lit(2), F.size("items")).cast("int") - 1)
-    subsets = w.select("items", "w", F.explode(masks).alias("m")).select(
-        F.filter("items", lambda x, i: F.col("m").bitwiseAND(F.pow(F.lit(2), i).cast("int")) != 0)
-        .alias("items"),
-        "w")
-    return (subsets.groupBy("items").agg(F.sum("w").alias("freq"))
-            .filter(F.col("freq") >= min_count))
+    return itemsets_from_weighted(weighted_baskets(basket_df, items), min_support)
 
 
 def association_rules(itemsets: DataFrame, n_baskets, min_confidence: float) -> DataFrame:
@@ -179,9 +189,9 @@ def fp_growth_rules(basket_df: DataFrame, min_support: float, min_confidence: fl
                                          "consequent", "confidence", "lift", "support")
 
 
-def basket_count(basket_df: DataFrame) -> Column:
-    """Number of baskets as a scalar-subquery column."""
-    return basket_df.agg(F.count(F.lit(1))).scalar()
+def basket_count(weighted: DataFrame) -> Column:
+    """Number of baskets (sum of the weights) as a scalar-subquery column."""
+    return weighted.agg(F.sum("w")).scalar()
 
 
 # ------------------------------------------------------------ M10 / M11 text
@@ -215,23 +225,29 @@ def word_counts(df: DataFrame, text: str, stop: list[str]) -> DataFrame:
             .groupBy("word").agg(F.count(F.lit(1)).alias("n")))
 
 
-def bigram_counts(df: DataFrame, text: str, stop: list[str]) -> DataFrame:
+def bigram_counts(df: DataFrame, text: str, stop: list[str], materialize: bool = False) -> DataFrame:
     """Adjacent word pairs (neither a stop word nor digits), with their count and
-    Dunning's log-likelihood ratio G^2 against independence (Dunning 1993)."""
+    Dunning's log-likelihood ratio G^2 against independence (Dunning 1993).
+
+    The marginals are window sums over the pair counts (one chain: counts ->
+    by w1 -> by w2), so the corpus is tokenized for the counts and once more
+    for the total (a scalar subquery). A window partition holds the distinct
+    pairs of one word, bounded by the vocabulary, not by the number of rows.
+    ``materialize=True`` writes the pair counts to the shared folder first, so
+    the corpus is tokenized once: worth it when re-reading the text costs more
+    than writing the pair table."""
     t = words(df, text)
     nxt = F.slice(t, 2, F.greatest(F.size(t) - 1, F.lit(0)))
     pairs = (df.select(F.explode(F.arrays_zip(t.alias("w1"), nxt.alias("w2"))).alias("p"))
              .select("p.w1", "p.w2")
-             # explicit not-null on both: the two marginal joins then infer no
-             # extra filter, so all branches share one exchange of the counts
              .filter(F.col("w1").isNotNull() & F.col("w2").isNotNull())
              .filter(_kept(F.col("w1"), stop) & _kept(F.col("w2"), stop)))
     counts = pairs.groupBy("w1", "w2").agg(F.count(F.lit(1)).alias("n"))
-    total = counts.agg(F.sum("n").cast("double")).scalar()
-    left = counts.groupBy("w1").agg(F.sum("n").alias("n1"))
-    right = counts.groupBy("w2").agg(F.sum("n").alias("n2"))
-    j = counts.join(left, "w1").join(right, "w2")
-    n = total
+    if materialize and not counts.isStreaming:
+        counts = cut_lineage(counts, "bigram_counts")
+    n = counts.agg(F.sum("n").cast("double")).scalar()
+    j = (counts.withColumn("n1", F.sum("n").over(Window.partitionBy("w1")))
+         .withColumn("n2", F.sum("n").over(Window.partitionBy("w2"))))
     k11 = F.col("n").cast("double")
     r1, c1 = F.col("n1").cast("double"), F.col("n2").cast("double")
     k12, k21 = r1 - k11, c1 - k11

@@ -22,3 +22,15 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     if df.rdd.getNumPartitions() >= target:
         return df
     return df.repartition(target)
+
+
+def cut_lineage(df: DataFrame, name: str = "cut") -> DataFrame:
+    """Write ``df`` once as parquet into a fresh folder under the shared
+    checkpoint folder and read it back, so several branches of a later plan
+    do not each recompute it, and a lost executor sends them back only to this
+    table, not to the raw input. Batch frames only."""
+    from titlepulse.session import scratch_path
+
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)

@@ -160,8 +160,8 @@ def q_baskets(spark, d):
 
 
 def _itemsets(spark, d):
-    b = M.baskets(reviews(spark, d))
-    return b, M.frequent_itemsets(b, MIN_SUPPORT)
+    w = M.weighted_baskets(M.baskets(reviews(spark, d)))
+    return w, M.itemsets_from_weighted(w, MIN_SUPPORT)
 
 
 @register("frequent_itemsets", with_views(REVIEW_NUM) + _ITEMSETS_SQL + """
@@ -174,8 +174,8 @@ def q_frequent_itemsets(spark, d):
 
 
 def _rules(spark, d):
-    b, fi = _itemsets(spark, d)
-    return M.rule_text(M.association_rules(fi, M.basket_count(b), MIN_CONFIDENCE))
+    w, fi = _itemsets(spark, d)
+    return M.rule_text(M.association_rules(fi, M.basket_count(w), MIN_CONFIDENCE))
 
 
 @register("association_rules", with_views(REVIEW_NUM) + _RULES_SQL + """
