@@ -60,3 +60,12 @@ def test_reject_counts(spark):
     observed, obs = with_reject_counts(raw, "movie")
     observed.write.format("noop").mode("overwrite").save()
     assert obs.get == {"rejected_revenue": 1, "rejected_budget": 1}
+
+
+def test_small_helpers(spark):
+    df = spark.createDataFrame([(" a ", "", "b", "(1.2M)"), (None, None, "d", "7")],
+                               "t string, w string, dm string, v string")
+    rows = df.select(C.text_or_empty("t").alias("t"), C.first_present("w", "dm").alias("rev"),
+                     C.strip_parens("v").alias("v"), C.content_id("dm", prefix="R").alias("id")).collect()
+    assert [(r.t, r.rev, r.v) for r in rows] == [("a", "b", "1.2M"), ("", "d", "7")]
+    assert rows[0].id.startswith("R") and len(rows[0].id) == 17 and rows[0].id != rows[1].id

@@ -103,3 +103,40 @@ def test_stream_equals_batch_on_closed_groups(spark, sf):
     key = lambda df: sorted((r.country, r.language, r.movie_ts, r.total_movie,
                              round(r.avg_rating, 6)) for r in df.collect())
     assert key(got) == key(exp)
+
+
+def review_msg(review_id, movie_id, hour, minute, star="9"):
+    rec = {"review_id": review_id, "movie_id": movie_id, "star": star, "like": "1K", "dislike": "2"}
+    return ("k" + review_id, json.dumps([rec]), "review", ms(hour) + minute * 60000)
+
+
+def test_time_bounded_join(spark, tmp_path):
+    """Bounded and unbounded joins give the same closed groups when every
+    review is within the bound of its movie; the bounded one drops join state
+    and emits later (its output watermark lags by the bound)."""
+    mv, rv = str(tmp_path / "movie"), str(tmp_path / "review")
+    write_file(spark, mv, [movie_msg("a", 10), movie_msg("b", 11), movie_msg("z", 20)])
+    write_file(spark, rv, [review_msg("r1", "a", 10, 30), review_msg("r2", "a", 10, 30),
+                           review_msg("r3", "b", 11, 20), review_msg("r9", "z", 20, 10)])
+    results, state_rows = {}, {}
+    for bound in (None, "1 hour"):
+        frames = {"movie": J.load_topic(spark, mv, "movie"), "review": J.load_topic(spark, rv, "review")}
+        out = str(tmp_path / f"out_{bound}")
+        q = start(A.top_user_sentiment(frames["review"], frames["movie"], time_bound=bound),
+                  parquet_batch_writer(out), str(tmp_path / f"ck_{bound}"))
+        await_done(q, 300)
+        results[bound] = sorted((r.title, r.review_ts.hour, r.review_ts.minute, r.total_review)
+                                for r in spark.read.parquet(out).collect())
+        last = [p for p in q.recentProgress if p.get("stateOperators")][-1]
+        state_rows[bound] = sum(o["numRowsTotal"] for o in last["stateOperators"]
+                                if o.get("operatorName") == "symmetricHashJoin")
+    assert results[None] == [("a", 10, 30, 2), ("b", 11, 20, 1)]
+    assert results["1 hour"] == results[None]
+    assert state_rows["1 hour"] < state_rows[None]
+
+
+def test_batch_counts_are_observed(spark, tmp_path):
+    counts = {}
+    w = parquet_batch_writer(str(tmp_path / "o"), counts=counts)
+    w(spark.range(7), 0)
+    assert counts == {0: 7}

@@ -73,3 +73,27 @@ def strip_list_chars(c) -> Column:
 def rejected(raw, cleaned) -> Column:
     """True when a non-null raw value did not parse."""
     return _c(raw).isNotNull() & _c(cleaned).isNull()
+
+
+def text_or_empty(c) -> Column:
+    """Trimmed text, or the empty string when missing (the crawler's
+    ``el.text.strip() if el else ""``)."""
+    return F.coalesce(F.trim(_c(c)), F.lit(""))
+
+
+def first_present(primary, fallback) -> Column:
+    """``primary`` unless it is missing or blank, else ``fallback`` (worldwide
+    gross, else domestic gross)."""
+    return F.coalesce(F.nullif(F.trim(_c(primary)), F.lit("")), _c(fallback))
+
+
+def strip_parens(c) -> Column:
+    """``(1.2M)`` -> ``1.2M``: parentheses removed from both ends."""
+    return F.btrim(_c(c), F.lit("()"))
+
+
+def content_id(*cols, prefix: str = "", length: int = 16) -> Column:
+    """A stable id from the content of the given columns, so a re-crawl of the
+    same record gets the same id (sequence ids restart per crawl)."""
+    parts = [F.coalesce(_c(c).cast("string"), F.lit("")) for c in cols]
+    return F.concat(F.lit(prefix), F.substring(F.sha2(F.concat_ws("\u0001", *parts), 256), 1, length))

@@ -30,6 +30,25 @@ def _eager(df: DataFrame, pre_aggregate: bool | None) -> bool:
     return (not df.isStreaming) if pre_aggregate is None else pre_aggregate
 
 
+def with_movie(left: DataFrame, movie: DataFrame, cols: list[str], ts: str,
+               time_bound: str | None = None, movie_ts: str = "movie_ts") -> DataFrame:
+    """Inner join on movie_id, keeping ``cols`` of the movie.
+
+    Streams: without ``time_bound`` this is the original unbounded
+    stream-stream join (state is never dropped). With e.g. ``"2 hours"`` the
+    join also requires |ts - movie_ts| <= time_bound, so Spark can drop state
+    rows once the watermarks pass them; a record arriving later than that
+    after its movie no longer joins.
+    """
+    if time_bound is None or not (left.isStreaming and movie.isStreaming):
+        return left.join(movie.select("movie_id", *cols), "movie_id")
+    m = movie.select(F.col("movie_id").alias("_mid"), F.col(movie_ts).alias("_mts"), *cols)
+    bound = F.expr(f"INTERVAL {time_bound}")
+    cond = ((F.col("movie_id") == F.col("_mid")) & (F.col(ts) >= F.col("_mts") - bound)
+            & (F.col(ts) <= F.col("_mts") + bound))
+    return left.join(m, cond).drop("_mid", "_mts")
+
+
 def _weighted_avg(x: str, w: str) -> F.Column:
     """avg(x) over rows repeated w times (nulls of x skipped, as avg does)."""
     return F.sum(F.col(x) * F.col(w)) / F.sum(F.when(F.col(x).isNotNull(), F.col(w)))
@@ -48,7 +67,7 @@ def top_country(movie: DataFrame, ts: str = "movie_ts") -> DataFrame:
 
 # --------------------------------------------------------- top_user_sentiment
 def top_user_sentiment(review: DataFrame, movie: DataFrame, ts: str = "review_ts",
-                       pre_aggregate: bool | None = None) -> DataFrame:
+                       pre_aggregate: bool | None = None, time_bound: str | None = None) -> DataFrame:
     m = movie.select("movie_id", "title", "rating")
     if _eager(review, pre_aggregate):
         part = (review.groupBy("movie_id", ts)
@@ -57,7 +76,7 @@ def top_user_sentiment(review: DataFrame, movie: DataFrame, ts: str = "review_ts
         g = part.join(m, "movie_id").groupBy("title", "rating", ts)
         n, like, dislike = F.sum("_n"), F.sum("_l"), F.sum("_d")
     else:
-        g = review.join(m, "movie_id").groupBy("title", "rating", ts)
+        g = with_movie(review, movie, ["title", "rating"], ts, time_bound).groupBy("title", "rating", ts)
         n, like, dislike = F.count("review_id"), F.sum("like"), F.sum("dislike")
     out = g.agg(n.alias("total_review"), like.alias("total_like"), dislike.alias("total_dislike"))
     total = F.col("total_like") + F.col("total_dislike")
@@ -67,7 +86,7 @@ def top_user_sentiment(review: DataFrame, movie: DataFrame, ts: str = "review_ts
 
 # ---------------------------------------------------------- top_director_rate
 def top_director_rate(actor: DataFrame, movie: DataFrame, ts: str = "actor_ts",
-                      pre_aggregate: bool | None = None) -> DataFrame:
+                      pre_aggregate: bool | None = None, time_bound: str | None = None) -> DataFrame:
     m = movie.select("movie_id", "rating", "revenue")
     if _eager(actor, pre_aggregate):
         part = actor.groupBy("movie_id", "director", ts).agg(F.count(F.lit(1)).alias("_w"))
@@ -75,14 +94,15 @@ def top_director_rate(actor: DataFrame, movie: DataFrame, ts: str = "actor_ts",
                 .agg(_weighted_avg("rating", "_w").alias("avg_rating"),
                      F.sum("_w").alias("total_movies"),
                      F.sum(F.col("revenue") * F.col("_w")).alias("total_revenue")))
-    return (actor.join(m, "movie_id").groupBy("director", ts)
+    return (with_movie(actor, movie, ["rating", "revenue"], ts, time_bound).groupBy("director", ts)
             .agg(F.avg("rating").alias("avg_rating"), F.count("movie_id").alias("total_movies"),
                  F.sum("revenue").alias("total_revenue")))
 
 
 # ------------------------------------------------------------ rating_per_year
 def rating_per_year(review: DataFrame, movie: DataFrame, ts: str = "review_ts",
-                    pre_aggregate: bool | None = None) -> DataFrame:
+                    pre_aggregate: bool | None = None, time_bound: str | None = None,
+                    dedupe_within_watermark: bool = False) -> DataFrame:
     """Join, keep one row per (review_id, movie_id), then by (year, ts).
 
     avg_rating is weighted by review; total_movie counts rows, not distinct
@@ -94,8 +114,11 @@ def rating_per_year(review: DataFrame, movie: DataFrame, ts: str = "review_ts",
     the join.
     """
     if not _eager(review, pre_aggregate):
-        j = review.join(movie.select("movie_id", "year", "rating"), "movie_id")
-        return (j.dropDuplicates(["review_id", "movie_id"]).groupBy("year", ts)
+        j = with_movie(review, movie, ["year", "rating"], ts, time_bound)
+        keys = ["review_id", "movie_id"]
+        j = (j.dropDuplicatesWithinWatermark(keys) if dedupe_within_watermark and j.isStreaming
+             else j.dropDuplicates(keys))
+        return (j.groupBy("year", ts)
                 .agg(F.avg("rating").alias("avg_rating"), F.count("movie_id").alias("total_movie"),
                      F.count("review_id").alias("total_review")))
     r = review.groupBy("review_id", "movie_id").agg(F.min(ts).alias(ts))
@@ -110,7 +133,8 @@ def rating_per_year(review: DataFrame, movie: DataFrame, ts: str = "review_ts",
 
 # --------------------------------------------------------------- top_sentiment
 def top_sentiment(review: DataFrame, movie: DataFrame, ts: str = "review_ts",
-                  dedupe: bool = False, pre_aggregate: bool | None = None) -> DataFrame:
+                  dedupe: bool = False, pre_aggregate: bool | None = None,
+                  time_bound: str | None = None) -> DataFrame:
     """Review count and Positive / Negative / Neutral sums per (title, year, rating, ts).
 
     The original job built a review_id-deduplicated frame and then aggregated
@@ -122,7 +146,7 @@ def top_sentiment(review: DataFrame, movie: DataFrame, ts: str = "review_ts",
     ind = review.select("*", *sentiment_indicators("star"))
     m = movie.select("movie_id", "title", "year", "rating")
     if dedupe:
-        j = ind.join(m, "movie_id")
+        j = with_movie(ind, movie, ["title", "year", "rating"], ts, time_bound)
         if j.isStreaming:
             j = j.dropDuplicates(["review_id"])
         else:
@@ -140,7 +164,7 @@ def top_sentiment(review: DataFrame, movie: DataFrame, ts: str = "review_ts",
         g = part.join(m, "movie_id").groupBy(*keys)
         cnt, pos, neg, neu = F.sum("_n"), F.sum("_p"), F.sum("_ng"), F.sum("_nu")
     else:
-        g = ind.join(m, "movie_id").groupBy(*keys)
+        g = with_movie(ind, movie, ["title", "year", "rating"], ts, time_bound).groupBy(*keys)
         cnt, pos, neg, neu = (F.count("review_id"), F.sum("Positive"), F.sum("Negative"),
                               F.sum("Neutral"))
     return g.agg(cnt.alias("total_review"), pos.alias("Positive"), neg.alias("Negative"),

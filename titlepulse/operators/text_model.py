@@ -122,3 +122,9 @@ def score(model: PipelineModel, df: DataFrame, text: str = "text",
 def confusion(scored: DataFrame, label: str = "label") -> DataFrame:
     return scored.groupBy(F.col(label).cast("int").alias("label"), "prediction").agg(
         F.count(F.lit(1)).alias("n"))
+
+
+def accuracy(scored: DataFrame, label: str = "label") -> DataFrame:
+    """Share of rows whose prediction equals the label, and the row count."""
+    hit = (F.col(label).cast("int") == F.col("prediction")).cast("double")
+    return scored.agg(F.avg(hit).alias("accuracy"), F.count(F.lit(1)).alias("n"))

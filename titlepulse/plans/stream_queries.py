@@ -26,13 +26,15 @@ STREAM_TIMEOUT_S = 1800
 _RAW = {"movie": X.raw_movie, "actor": X.raw_actor, "review": X.raw_review}
 
 
-def run_stream(spark, d, name):
+def run_stream(spark, d, name, time_bound=None):
+    """Write the inputs as message files, run the named stream to completion,
+    return what its sink holds."""
     base = scratch_path(spark, f"stream_{name}")
     frames = {}
     for kind in J.INPUTS[name]:
         J.write_messages(_RAW[kind](spark, d), kind, f"{base}/in/{kind}")
         frames[kind] = J.load_topic(spark, f"{base}/in/{kind}", kind)
-    result = J.build(name, frames)
+    result = J.build(name, frames, time_bound=time_bound)
     q = start(result, parquet_batch_writer(f"{base}/out"), f"{base}/checkpoint", name=None)
     await_done(q, STREAM_TIMEOUT_S)
     out = spark.read.parquet(f"{base}/out").drop("batch_id")

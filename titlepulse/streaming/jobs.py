@@ -44,18 +44,22 @@ def load_topic(spark: SparkSession, path: str, kind: str, delay: str = WATERMARK
     return _CLEAN[kind](recs)
 
 
-def build(name: str, s: dict[str, DataFrame], dedupe: bool = False) -> DataFrame:
-    """The named result from a dict of cleaned (stream or batch) frames."""
+def build(name: str, s: dict[str, DataFrame], dedupe: bool = False,
+          time_bound: str | None = None) -> DataFrame:
+    """The named result from a dict of cleaned (stream or batch) frames.
+
+    ``time_bound`` (streams) bounds the joins in time so their state expires;
+    None keeps the original unbounded join."""
     if name == "top_country":
         return A.top_country(s["movie"])
     if name == "top_user_sentiment":
-        return A.top_user_sentiment(s["review"], s["movie"])
+        return A.top_user_sentiment(s["review"], s["movie"], time_bound=time_bound)
     if name == "top_director_rate":
-        return A.top_director_rate(s["actor"], s["movie"])
+        return A.top_director_rate(s["actor"], s["movie"], time_bound=time_bound)
     if name == "rating_per_year":
-        return A.rating_per_year(s["review"], s["movie"])
+        return A.rating_per_year(s["review"], s["movie"], time_bound=time_bound)
     if name == "top_sentiment":
-        return A.top_sentiment(s["review"], s["movie"], dedupe=dedupe)
+        return A.top_sentiment(s["review"], s["movie"], dedupe=dedupe, time_bound=time_bound)
     raise KeyError(name)
 
 

@@ -12,20 +12,29 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 BatchWriter = Callable[[DataFrame, int], None]
 
 
-def parquet_batch_writer(path: str, on_error: str = "raise",
-                         reject_path: str | None = None) -> BatchWriter:
-    """Each batch overwrites ``path/batch_id=<id>``; readers see every batch once."""
+def parquet_batch_writer(path: str, on_error: str = "raise", reject_path: str | None = None,
+                         counts: dict | None = None) -> BatchWriter:
+    """Each batch overwrites ``path/batch_id=<id>``; readers see every batch once.
+
+    ``counts`` (a dict) receives batch_id -> rows written, observed during the
+    write itself (no separate count pass over the batch)."""
 
     def write(df: DataFrame, batch_id: int) -> None:
         target = f"{path}/batch_id={batch_id}"
+        obs = None
+        if counts is not None:
+            obs = Observation(f"rows_{batch_id}")
+            df = df.observe(obs, F.count(F.lit(1)).alias("rows"))
         try:
             df.write.mode("overwrite").parquet(target)
+            if obs is not None:
+                counts[batch_id] = obs.get["rows"]
         except Exception:
             if on_error == "raise" or reject_path is None:
                 raise
@@ -68,3 +77,8 @@ def jdbc_batch_writer(options: dict[str, str], on_error: str = "raise",
             out.write.mode("overwrite").parquet(f"{reject_path}/batch_id={batch_id}")
 
     return write
+
+
+def write_json_lines(df: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """Records as JSON lines (one object per line, as the sample data files)."""
+    df.write.mode(mode).json(path)
