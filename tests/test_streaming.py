@@ -140,3 +140,19 @@ def test_batch_counts_are_observed(spark, tmp_path):
     w = parquet_batch_writer(str(tmp_path / "o"), counts=counts)
     w(spark.range(7), 0)
     assert counts == {0: 7}
+
+
+def test_processing_time_trigger_and_json_lines(spark, tmp_path):
+    from titlepulse.streaming.sinks import write_json_lines
+    src, out = str(tmp_path / "in"), str(tmp_path / "out")
+    write_file(spark, src, [movie_msg("a", 10), movie_msg("b", 12)])
+    stream = J.load_topic(spark, src, "movie")
+    q = start(stream.select("movie_id", "movie_ts"), parquet_batch_writer(out), str(tmp_path / "ck"),
+              trigger="1 second")
+    q.processAllAvailable()
+    q.stop()
+    got = spark.read.parquet(out)
+    assert sorted(r.movie_id for r in got.collect()) == ["a", "b"]
+    write_json_lines(got.drop("batch_id"), str(tmp_path / "json"))
+    back = spark.read.json(str(tmp_path / "json"))
+    assert sorted(r.movie_id for r in back.collect()) == ["a", "b"]

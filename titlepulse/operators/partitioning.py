@@ -17,11 +17,13 @@ from pyspark.sql import DataFrame
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     if df.isStreaming:
         return df
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    # getNumPartitions plans the scan (file listing); it runs no job.
-    if df.rdd.getNumPartitions() >= target:
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        # getNumPartitions plans the scan (file listing); it runs no job.
+        current = df.rdd.getNumPartitions()
+    except Exception:  # no RDD access (e.g. a remote session): leave it to Spark
         return df
-    return df.repartition(target)
+    return df if current >= target else df.repartition(target)
 
 
 def cut_lineage(df: DataFrame, name: str = "cut") -> DataFrame:
