@@ -26,6 +26,13 @@ STREAM_TIMEOUT_S = 1800
 _RAW = {"movie": X.raw_movie, "actor": X.raw_actor, "review": X.raw_review}
 
 
+def state_partitions(spark) -> int:
+    """Two state partitions per task slot: enough to spread the join and
+    aggregation state over the cluster, not so many that each micro-batch
+    pays for thousands of nearly empty state stores."""
+    return 2 * spark.sparkContext.defaultParallelism
+
+
 def run_stream(spark, d, name, time_bound=None):
     """Write the inputs as message files, run the named stream to completion,
     return what its sink holds."""
@@ -35,7 +42,8 @@ def run_stream(spark, d, name, time_bound=None):
         J.write_messages(_RAW[kind](spark, d), kind, f"{base}/in/{kind}")
         frames[kind] = J.load_topic(spark, f"{base}/in/{kind}", kind)
     result = J.build(name, frames, time_bound=time_bound)
-    q = start(result, parquet_batch_writer(f"{base}/out"), f"{base}/checkpoint", name=None)
+    q = start(result, parquet_batch_writer(f"{base}/out"), f"{base}/checkpoint",
+              state_partitions=state_partitions(spark))
     await_done(q, STREAM_TIMEOUT_S)
     out = spark.read.parquet(f"{base}/out").drop("batch_id")
     ts_cols = set(TS_COLUMNS.values())
@@ -71,7 +79,8 @@ def q_stream_score(spark, d):
     docs.write.mode("overwrite").parquet(f"{base}/in")
     stream = spark.readStream.schema(docs.schema).parquet(f"{base}/in")
     scored = TM.score(fitted(spark, d), stream, keep=["doc_id"])
-    q = start(scored, parquet_batch_writer(f"{base}/out"), f"{base}/checkpoint")
+    q = start(scored, parquet_batch_writer(f"{base}/out"), f"{base}/checkpoint",
+              state_partitions=state_partitions(spark))
     await_done(q, STREAM_TIMEOUT_S)
     return rounded(spark.read.parquet(f"{base}/out").drop("batch_id"), 9)
 

@@ -18,7 +18,14 @@ from titlepulse.streaming.sinks import BatchWriter
 
 
 def start(df: DataFrame, writer: BatchWriter, checkpoint: str, name: str | None = None,
-          trigger: str | None = "availableNow", output_mode: str = "append") -> StreamingQuery:
+          trigger: str | None = "availableNow", output_mode: str = "append",
+          state_partitions: int | None = None) -> StreamingQuery:
+    """Start ``df`` into ``writer`` with its own checkpoint.
+
+    ``state_partitions`` fixes the number of shuffle / state-store partitions
+    of a *new* query (a restarted one keeps the number in its checkpoint): the
+    stream takes the session value when it starts, so it is set for the start
+    only and restored afterwards."""
     w = df.writeStream.outputMode(output_mode).foreachBatch(writer).option("checkpointLocation", checkpoint)
     if name:
         w = w.queryName(name)
@@ -26,7 +33,16 @@ def start(df: DataFrame, writer: BatchWriter, checkpoint: str, name: str | None
         w = w.trigger(availableNow=True)
     elif trigger:
         w = w.trigger(processingTime=trigger)
-    return w.start()
+    if not state_partitions:
+        return w.start()
+    conf = df.sparkSession.conf
+    key = "spark.sql.shuffle.partitions"
+    before = conf.get(key)
+    conf.set(key, str(state_partitions))
+    try:
+        return w.start()
+    finally:
+        conf.set(key, before)
 
 
 def await_done(q: StreamingQuery, timeout_s: float) -> None:
