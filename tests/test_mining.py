@@ -97,3 +97,12 @@ def test_corr_matrix(spark, reviews):
     pdf = reviews.select("star", "like").toPandas().astype(float)
     assert got[("star", "like")] == pytest.approx(pdf.corr().loc["star", "like"])
     assert got[("like", "like")] == pytest.approx(1.0)
+
+
+def test_box_stats_approx_close_to_exact(spark, reviews):
+    from titlepulse.functions.labels import sentiment_label
+    exact = {r.group: r for r in M.box_stats(reviews, "like", sentiment_label("star")).collect()}
+    approx = {r.group: r for r in M.box_stats(reviews, "like", sentiment_label("star"), approx=True).collect()}
+    assert exact.keys() == approx.keys()
+    for g in exact:
+        assert approx[g].n == exact[g].n and approx[g].median >= exact[g].q1 and approx[g].median <= exact[g].q3

@@ -64,19 +64,23 @@ def scatter_points(df: DataFrame, x: str, y: str) -> DataFrame:
 
 
 # ------------------------------------------------------------------ M4 box plot
-def box_stats(df: DataFrame, value: str, by) -> DataFrame:
+def box_stats(df: DataFrame, value: str, by, approx: bool = False,
+              accuracy: int = 10000) -> DataFrame:
     """Quartiles (linear interpolation), whiskers at the outermost points within
     1.5 IQR of the box, and the number of outliers, per group.
 
-    ``percentile`` keeps a count per distinct value (partial aggregation), and
-    the fences (one row per group) are joined back to the rows.
+    Exact ``percentile`` keeps a count per distinct value of the group
+    (partial aggregation, so bounded by the value domain, not by the rows);
+    ``approx=True`` uses ``percentile_approx`` (a fixed-size sketch, relative
+    rank error 1/accuracy) for value domains that are not bounded. The fences
+    (one row per group) are joined back to the rows.
     """
     v = F.col(value).cast("double")
     g = _c(by).alias("group") if not isinstance(by, str) else F.col(by).alias("group")
     rows = df.select(g, v.alias("v")).filter(F.col("v").isNotNull())
-    q = rows.groupBy("group").agg(
-        F.percentile("v", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("q"),
-        F.count(F.lit(1)).alias("n"))
+    probs = F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))
+    quart = (F.percentile_approx("v", probs, accuracy) if approx else F.percentile("v", probs))
+    q = rows.groupBy("group").agg(quart.alias("q"), F.count(F.lit(1)).alias("n"))
     q = q.select("group", "n", F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"),
                  F.col("q")[2].alias("q3"))
     iqr = F.col("q3") - F.col("q1")
