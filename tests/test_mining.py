@@ -106,3 +106,9 @@ def test_box_stats_approx_close_to_exact(spark, reviews):
     assert exact.keys() == approx.keys()
     for g in exact:
         assert approx[g].n == exact[g].n and approx[g].median >= exact[g].q1 and approx[g].median <= exact[g].q3
+
+
+def test_scatter_log_bins(spark):
+    df = spark.createDataFrame([(0, 0), (1, 3), (5, 7), (6, 4), (1000, 1)], "like long, dislike long")
+    got = {(r.like, r.dislike): r.n for r in M.scatter_points(df, "like", "dislike", log_bins=True).collect()}
+    assert got == {(0, 0): 1, (1, 2): 1, (4, 4): 2, (512, 1): 1}

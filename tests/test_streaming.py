@@ -156,3 +156,19 @@ def test_processing_time_trigger_and_json_lines(spark, tmp_path):
     write_json_lines(got.drop("batch_id"), str(tmp_path / "json"))
     back = spark.read.json(str(tmp_path / "json"))
     assert sorted(r.movie_id for r in back.collect()) == ["a", "b"]
+
+
+def test_start_all_five(spark, sf, tmp_path):
+    from titlepulse import fixtures as X
+    raw = {"movie": X.raw_movie, "actor": X.raw_actor, "review": X.raw_review}
+    paths = {}
+    for kind, fn in raw.items():
+        paths[kind] = str(tmp_path / "in" / kind)
+        J.write_messages(fn(spark, sf), kind, paths[kind])
+    qs = J.start_all(spark, paths, str(tmp_path / "out"), str(tmp_path / "ck"), state_partitions=4)
+    run_all(spark, qs, 600)
+    for name in J.INPUTS:
+        assert spark.read.parquet(str(tmp_path / "out" / name)).count() > 0
+    direct = run_stream(spark, sf, "top_director_rate")
+    together = spark.read.parquet(str(tmp_path / "out" / "top_director_rate")).drop("batch_id")
+    assert direct.count() == together.count()

@@ -57,10 +57,19 @@ def sentiment_distribution(review: DataFrame) -> DataFrame:
 
 
 # ------------------------------------------------------------------ M3 scatter
-def scatter_points(df: DataFrame, x: str, y: str) -> DataFrame:
-    """Point counts by (x, y): a scatter drawn from at most #distinct pairs rows."""
-    return (df.filter(F.col(x).isNotNull() & F.col(y).isNotNull())
-            .groupBy(x, y).agg(F.count(F.lit(1)).alias("n")))
+def scatter_points(df: DataFrame, x: str, y: str, log_bins: bool = False) -> DataFrame:
+    """Point counts by (x, y): a scatter drawn from at most #distinct pairs rows.
+
+    ``log_bins=True`` replaces each value v >= 0 by the lower edge of its
+    power-of-two bin (0, 1, 2, 4, 8, ...), so the point count stays small
+    however many distinct values there are."""
+    pts = df.filter(F.col(x).isNotNull() & F.col(y).isNotNull())
+    if log_bins:
+        def edge(c):
+            v = F.col(c).cast("double")
+            return F.when(v < 1, F.floor(v)).otherwise(F.pow(F.lit(2.0), F.floor(F.log2(v)))).cast("bigint")
+        pts = pts.select(edge(x).alias(x), edge(y).alias(y))
+    return pts.groupBy(x, y).agg(F.count(F.lit(1)).alias("n"))
 
 
 # ------------------------------------------------------------------ M4 box plot

@@ -70,3 +70,25 @@ INPUTS = {
     "rating_per_year": ("review", "movie"),
     "top_sentiment": ("review", "movie"),
 }
+
+
+def start_all(spark: SparkSession, topic_paths: dict[str, str], out_base: str, checkpoint_base: str,
+              names: tuple[str, ...] = tuple(INPUTS), trigger: str | None = "availableNow",
+              time_bound: str | None = None, state_partitions: int | None = None,
+              writer_factory=None) -> list:
+    """Start the named results together, each reading its topics, each with
+    its own checkpoint and idempotent sink (as the original service did with
+    its five queries). ``topic_paths`` maps movie / actor / review to message
+    folders; ``writer_factory(name)`` may supply another sink (JDBC ...).
+    Wait on the returned queries with ``runner.run_all``."""
+    from titlepulse.streaming.runner import start
+    from titlepulse.streaming.sinks import parquet_batch_writer
+
+    queries = []
+    for name in names:
+        frames = {k: load_topic(spark, topic_paths[k], k) for k in INPUTS[name]}
+        result = build(name, frames, time_bound=time_bound)
+        writer = writer_factory(name) if writer_factory else parquet_batch_writer(f"{out_base}/{name}")
+        queries.append(start(result, writer, f"{checkpoint_base}/{name}", name=name, trigger=trigger,
+                             state_partitions=state_partitions))
+    return queries
