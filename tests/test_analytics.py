@@ -51,3 +51,13 @@ def test_top_country_profit_rules(spark):
     r = A.top_country(m).collect()[0]
     # t1: 60, t2: no revenue -> 0 (not a loss), t3: unknown budget -> null (skipped)
     assert r.avg_profit == 30.0 and r.total_movie == 3 and r.avg_rating == 7.0 and r.total_budget == 90
+
+
+def test_director_replay_dedupe(spark, sf):
+    m = clean_movie(X.raw_movie(spark, sf))
+    a = clean_actor(X.raw_actor(spark, sf))
+    replayed = a.unionByName(a)
+    once = rows(A.ordered(A.top_director_rate(a, m), "top_director_rate"))
+    twice = rows(A.ordered(A.top_director_rate(replayed, m), "top_director_rate"))
+    fixed = rows(A.ordered(A.top_director_rate(replayed, m, dedupe=True), "top_director_rate"))
+    assert twice != once and fixed == once

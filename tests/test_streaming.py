@@ -172,3 +172,17 @@ def test_start_all_five(spark, sf, tmp_path):
     direct = run_stream(spark, sf, "top_director_rate")
     together = spark.read.parquet(str(tmp_path / "out" / "top_director_rate")).drop("batch_id")
     assert direct.count() == together.count()
+
+
+def test_stream_into_jdbc(spark, tmp_path):
+    from titlepulse.streaming.sinks import jdbc_batch_writer, jdbc_options
+    src = str(tmp_path / "movie")
+    write_file(spark, src, [movie_msg("a", 10), movie_msg("b", 12)])
+    opts = jdbc_options(f"jdbc:derby:{tmp_path / 'db'};create=true", "TOP_COUNTRY",
+                        driver="org.apache.derby.iapi.jdbc.AutoloadedDriver")
+    qs = J.start_all(spark, {"movie": src}, str(tmp_path / "out"), str(tmp_path / "ck"),
+                     names=("top_country",), state_partitions=2,
+                     writer_factory=lambda name: jdbc_batch_writer(opts))
+    run_all(spark, qs, 300)
+    rows = spark.read.format("jdbc").options(**opts).load().collect()
+    assert len(rows) == 1  # the 10:00 group; 12:00 is still open

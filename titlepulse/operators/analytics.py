@@ -86,7 +86,15 @@ def top_user_sentiment(review: DataFrame, movie: DataFrame, ts: str = "review_ts
 
 # ---------------------------------------------------------- top_director_rate
 def top_director_rate(actor: DataFrame, movie: DataFrame, ts: str = "actor_ts",
-                      pre_aggregate: bool | None = None, time_bound: str | None = None) -> DataFrame:
+                      pre_aggregate: bool | None = None, time_bound: str | None = None,
+                      dedupe: bool = False) -> DataFrame:
+    """avg rating, movie count and revenue per (director, ts), counted per
+    credit record. A replayed topic repeats records and inflates the counts;
+    ``dedupe=True`` keeps one record per (actor_id, movie_id) first (batch:
+    the one with the smallest ts)."""
+    if dedupe:
+        from titlepulse.operators.dedupe import dedupe_latest
+        actor = dedupe_latest(actor, ["actor_id", "movie_id"], [ts])
     m = movie.select("movie_id", "rating", "revenue")
     if _eager(actor, pre_aggregate):
         part = actor.groupBy("movie_id", "director", ts).agg(F.count(F.lit(1)).alias("_w"))
