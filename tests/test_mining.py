@@ -3,7 +3,6 @@ from collections import Counter
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
 from titlepulse import fixtures as X
 from titlepulse.functions.text import ENGLISH_STOP_WORDS

@@ -1,4 +1,3 @@
-from pyspark.sql import functions as F
 
 from titlepulse.operators import ingest as I
 from titlepulse.schemas import ACTOR

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
 
 from titlepulse import fixtures as X
 from titlepulse.functions.labels import sentiment_label, sentiment_number
