@@ -179,7 +179,6 @@ def top_sentiment(review: DataFrame, movie: DataFrame, ts: str = "review_ts",
                  neu.alias("Neutral"))
 
 
-def ordered(df: DataFrame, name: str, ts: str | None = None) -> DataFrame:
-    """Project a result to its documented column order (ts renamed if needed)."""
-    cols = RESULT_COLUMNS[name]
-    return df.select(*cols)
+def ordered(df: DataFrame, name: str) -> DataFrame:
+    """Project a result to its documented column order."""
+    return df.select(*RESULT_COLUMNS[name])

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-
 from titlepulse import fixtures as X
 from titlepulse.functions.labels import sentiment_label, sentiment_number
 from titlepulse.operators import analytics as A
