@@ -52,3 +52,11 @@ def test_jdbc_append_with_derby(spark, tmp_path):
     w(df, 1)
     back = spark.read.format("jdbc").options(**opts).load()
     assert sorted(r.BATCH_ID if "BATCH_ID" in back.columns else r.batch_id for r in back.collect()) == [0, 1]
+
+
+def test_broker_topic_needs_the_kafka_connector(spark):
+    import pytest
+    from titlepulse.streaming.jobs import load_topic
+    with pytest.raises(Exception) as err:
+        load_topic(spark, "movie", "movie", bootstrap="broker:9092")
+    assert "kafka" in str(err.value).lower()

@@ -17,7 +17,7 @@ from titlepulse.operators import analytics as A
 from titlepulse.operators.clean import clean_actor, clean_movie, clean_review
 from titlepulse.schemas import MESSAGE_SIZES, RECORD_SCHEMAS, TS_COLUMNS
 from titlepulse.sources.envelope import pack_envelope, parse_envelope, to_message_rows
-from titlepulse.sources.streams import file_stream
+from titlepulse.sources.streams import file_stream, kafka_stream
 
 WATERMARK_DELAY = "10 minutes"
 _CLEAN = {"movie": clean_movie, "actor": clean_actor, "review": clean_review}
@@ -36,10 +36,15 @@ def write_messages(records: DataFrame, kind: str, path: str, bucket_chars: int =
 
 
 def load_topic(spark: SparkSession, path: str, kind: str, delay: str = WATERMARK_DELAY,
-               max_files_per_trigger: int | None = None) -> DataFrame:
-    """Messages -> watermarked, cleaned records of one kind."""
+               max_files_per_trigger: int | None = None, bootstrap: str | None = None,
+               max_offsets_per_trigger: int | None = None) -> DataFrame:
+    """Messages -> watermarked, cleaned records of one kind.
+
+    ``path`` is a folder of message files, or, with ``bootstrap`` servers, the
+    name of a broker topic; both give key, value, topic, timestamp."""
     ts = TS_COLUMNS[kind]
-    msgs = file_stream(spark, path, max_files_per_trigger)
+    msgs = (kafka_stream(spark, path, bootstrap=bootstrap, max_offsets_per_trigger=max_offsets_per_trigger)
+            if bootstrap else file_stream(spark, path, max_files_per_trigger))
     recs = parse_envelope(msgs, RECORD_SCHEMAS[kind], "timestamp", ts).withWatermark(ts, delay)
     return _CLEAN[kind](recs)
 
@@ -75,18 +80,19 @@ INPUTS = {
 def start_all(spark: SparkSession, topic_paths: dict[str, str], out_base: str, checkpoint_base: str,
               names: tuple[str, ...] = tuple(INPUTS), trigger: str | None = "availableNow",
               time_bound: str | None = None, state_partitions: int | None = None,
-              writer_factory=None) -> list:
+              writer_factory=None, bootstrap: str | None = None) -> list:
     """Start the named results together, each reading its topics, each with
     its own checkpoint and idempotent sink (as the original service did with
     its five queries). ``topic_paths`` maps movie / actor / review to message
-    folders; ``writer_factory(name)`` may supply another sink (JDBC ...).
+    folders, or to broker topics when ``bootstrap`` is given;
+    ``writer_factory(name)`` may supply another sink (JDBC ...).
     Wait on the returned queries with ``runner.run_all``."""
     from titlepulse.streaming.runner import start
     from titlepulse.streaming.sinks import parquet_batch_writer
 
     queries = []
     for name in names:
-        frames = {k: load_topic(spark, topic_paths[k], k) for k in INPUTS[name]}
+        frames = {k: load_topic(spark, topic_paths[k], k, bootstrap=bootstrap) for k in INPUTS[name]}
         result = build(name, frames, time_bound=time_bound)
         writer = writer_factory(name) if writer_factory else parquet_batch_writer(f"{out_base}/{name}")
         queries.append(start(result, writer, f"{checkpoint_base}/{name}", name=name, trigger=trigger,
