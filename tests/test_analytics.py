@@ -61,3 +61,17 @@ def test_director_replay_dedupe(spark, sf):
     twice = rows(A.ordered(A.top_director_rate(replayed, m), "top_director_rate"))
     fixed = rows(A.ordered(A.top_director_rate(replayed, m, dedupe=True), "top_director_rate"))
     assert twice != once and fixed == once
+
+
+def test_sentiment_dedupe_before_join_equals_after(spark, data):
+    m, _, r = data
+    r = r.unionByName(r.limit(40).withColumn("star", F.lit(3)))  # same review_id, other star
+    got = A.ordered(A.top_sentiment(r, m, dedupe=True), "top_sentiment")
+    order = ["movie_id", "review_ts", "star", "like", "dislike", "title", "year", "rating"]
+    j = r.join(m.select("movie_id", "title", "year", "rating"), "movie_id")
+    ref = (j.groupBy("review_id").agg(F.min(F.struct(*order)).alias("_r")).select("review_id", "_r.*"))
+    from titlepulse.functions.labels import sentiment_indicators
+    ref = ref.select("*", *sentiment_indicators("star")).groupBy("title", "year", "rating", "review_ts").agg(
+        F.count("review_id").alias("total_review"), F.sum("Positive").alias("Positive"),
+        F.sum("Negative").alias("Negative"), F.sum("Neutral").alias("Neutral"))
+    assert rows(got) == rows(A.ordered(ref, "top_sentiment"))

@@ -153,15 +153,25 @@ def top_sentiment(review: DataFrame, movie: DataFrame, ts: str = "review_ts",
     keys = ["title", "year", "rating", ts]
     ind = review.select("*", *sentiment_indicators("star"))
     m = movie.select("movie_id", "title", "year", "rating")
-    if dedupe:
+    if dedupe and (review.isStreaming or movie.isStreaming):
         j = with_movie(ind, movie, ["title", "year", "rating"], ts, time_bound)
-        if j.isStreaming:
-            j = j.dropDuplicates(["review_id"])
-        else:
-            order = ["movie_id", ts, "star", "like", "dislike", "title", "year", "rating",
-                     "Positive", "Neutral", "Negative"]
-            j = (j.groupBy("review_id").agg(F.min(F.struct(*order)).alias("_r"))
-                 .select("review_id", "_r.*"))
+        g = j.dropDuplicates(["review_id"]).groupBy(*keys)
+        cnt, pos, neg, neu = (F.count("review_id"), F.sum("Positive"), F.sum("Negative"),
+                              F.sum("Neutral"))
+    elif dedupe:
+        # Survivor = smallest joined (movie_id, ts, star, like, dislike, title,
+        # year, rating). The review fields lead, and once movies are reduced to
+        # their smallest (title, year, rating) per id the rest follows from
+        # movie_id, so the narrow review rows are deduplicated *before* the
+        # join; only reviews whose movie exists compete (semi join), as in an
+        # inner join. The indicators follow from star.
+        order = ["movie_id", ts, "star", "like", "dislike"]
+        cand = review.join(movie.select("movie_id"), "movie_id", "left_semi")
+        r = (cand.groupBy("review_id").agg(F.min(F.struct(*order)).alias("_r"))
+             .select("review_id", "_r.*"))
+        m1 = (movie.groupBy("movie_id").agg(F.min(F.struct("title", "year", "rating")).alias("_m"))
+              .select("movie_id", "_m.*"))
+        j = r.join(m1, "movie_id").select("*", *sentiment_indicators("star"))
         g = j.groupBy(*keys)
         cnt, pos, neg, neu = (F.count("review_id"), F.sum("Positive"), F.sum("Negative"),
                               F.sum("Neutral"))
