@@ -13,6 +13,7 @@ from titlepulse.llm.ngram_join import jaccard_components
 from titlepulse.llm.mixing import soft_mixing
 from titlepulse.llm.site_quality import sample_ids, site_quality
 from titlepulse.llm.linear import FIT_ROWS
+from titlepulse.llm.suffix_dedup import remove_repeats
 from titlepulse.llm.token_shards import token_shards
 from titlepulse.llm.url_rules import filter_urls
 
@@ -57,6 +58,10 @@ def op5_soft_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return soft_mixing(docs, labelled_domains(docs, read(spark, sf_dir, "labels")), TARGETS)
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(read(spark, sf_dir, "documents"))
+
+
 def op7_block_naming(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(read(spark, sf_dir, "documents"))
 
@@ -73,7 +78,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.decontaminate(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op1_token_shards, op2_warc_merkle, op3_ngram_join, op4_url_rules, op5_soft_mixing, op7_block_naming,
+QUERIES = {f.__name__: f for f in (op1_token_shards, op2_warc_merkle, op3_ngram_join, op4_url_rules, op5_soft_mixing, op6_suffix_dedup, op7_block_naming,
                                    op8_license_scan, op9_site_quality, op10_decontamination)}
 
 ORACLE = {
