@@ -93,8 +93,9 @@ def exact_dedup(docs: DataFrame, block: int = BLOCK, key_bits: int = 64) -> Data
             .groupBy("doc_id", "variant", "text_sha256").agg(F.count(F.lit(1)).alias("copies")))
     members = cut(rows.alias("d").join(named.alias("n"), _same_alias("d", "n", ["doc_id", "variant"]))
                   .select("d.doc_id", "d.text_sha256", "d.copies", "n.level", "n.name"), "members")
-    groups = members.groupBy("level", "name").agg(F.min("doc_id").alias("keep_id"),
-                                                  F.sum("copies").alias("group_size"))
+    # Written, so that the join deals both sides anew and may split a large group.
+    groups = cut(members.groupBy("level", "name").agg(F.min("doc_id").alias("keep_id"),
+                                                      F.sum("copies").alias("group_size")), "groups")
     return (members.join(groups, ["level", "name"])
             .select("doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"),
                     "text_sha256"))

@@ -16,7 +16,8 @@ at a Jaccard similarity of 85 percent or more. What is done, in order:
 4. Keys whose classes are not yet one component are split into blocks, and
    each pair of blocks of a key goes to a task: an R-tree over the count
    vectors (64 groups) of one block is searched with the points of the other.
-   Pairs whose bound suffices are verified on their whole sets.
+   Pairs whose bound suffices, then also in 256 finer groups, are verified
+   on their whole sets.
 5. Components of the verified links, carried back to all documents.
 
 Every set is computed from whole texts; comparisons are exact on 64-bit
@@ -41,8 +42,10 @@ from titlepulse.llm.words import BLACK, shingle_sets, text_bytes
 WORDS = 4
 NEED = 85
 GROUPS = 64
+FINE = 256
 RARITY = 1 << 16
 BLOCK = 512
+LEAF = 16
 CHUNK = 256
 
 
@@ -57,7 +60,16 @@ def prefix_size(n: int, need: int) -> int:
 
 
 def count_vector(s: np.ndarray) -> np.ndarray:
-    return np.bincount((s >> np.uint64(58)).astype(np.int64), minlength=GROUPS).astype(np.int32)
+    """Shingles per group, in FINE groups; GROUPS are runs of these."""
+    return np.bincount((s >> np.uint64(56)).astype(np.int64), minlength=FINE).astype("<i4")
+
+
+def coarse(fine: np.ndarray) -> np.ndarray:
+    return fine.reshape(-1, GROUPS, FINE // GROUPS).sum(2, dtype=np.int32)
+
+
+def _vectors(column, groups: int) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), "<i4").reshape(-1, groups)
 
 
 def _summaries(n: int):
@@ -86,7 +98,7 @@ def _keys(n: int, need: int, rarity):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             ids = b.column("doc_id").to_pylist()
-            h, cid, vec, vid, vn = [], [], [], [], []
+            h, cid, fine, vid, vn = [], [], [], [], []
             for k, s in _sets(b.column("text"), n):
                 if not len(s):
                     continue
@@ -94,18 +106,20 @@ def _keys(n: int, need: int, rarity):
                 first = s[order[: prefix_size(len(s), need)]]
                 h.append(first)
                 cid.append(np.full(len(first), ids[k]))
-                vec.append(count_vector(s).astype("<i4").tobytes())
+                fine.append(count_vector(s))
                 vid.append(ids[k])
                 vn.append(len(s))
             if not vid:
                 continue
             keys, owner = np.concatenate(h).view(np.int64), np.concatenate(cid)
             a, z = len(keys), len(vid)
+            vec = [x.astype("<i4").tobytes() for x in coarse(np.stack(fine))]
             yield pa.RecordBatch.from_arrays([
                 pa.array(np.concatenate([keys, np.zeros(z, np.int64)]), pa.int64()),
                 pa.array(np.concatenate([owner, vid]).astype(np.int64), pa.int64()),
                 pa.array(np.concatenate([np.zeros(a, np.int32), vn]).astype(np.int32), pa.int32()),
-                pa.array([None] * a + vec, pa.binary())], names=["key", "cid", "n", "vec"])
+                pa.array([None] * a + vec, pa.binary()), pa.array([None] * a + [x.tobytes() for x in fine], pa.binary())],
+                names=["key", "cid", "n", "vec", "fine"])
 
     return run
 
@@ -125,6 +139,28 @@ def _verify(n: int, need: int):
     return run
 
 
+def _bounded(need: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            if b.num_rows:
+                most = np.minimum(_vectors(b.column("fa"), FINE), _vectors(b.column("fb"), FINE)).sum(1, dtype=np.int64)
+                ok = enough(most, b.column("na").to_numpy().astype(np.int64), b.column("nb").to_numpy(), need=need)
+                yield b.select(["a", "b"]).filter(pa.array(ok))
+
+    return run
+
+
+def bounded(pairs: DataFrame, points: DataFrame, need: int) -> DataFrame:
+    """The pairs (a, b) whose sizes and summed minima of all FINE groups do
+    not rule a link out."""
+    n = points.select("cid", "n")
+    sized = (pairs.join(n.toDF("a", "na"), "a").join(n.toDF("b", "nb"), "b")
+             .filter((F.least("na", "nb") * 100 >= F.greatest("na", "nb") * need)))
+    f = points.select("cid", "fine")
+    both = cut(sized, "sized").join(f.toDF("a", "fa"), "a").join(f.toDF("b", "fb"), "b").select("a", "b", "na", "nb", "fa", "fb")
+    return both.mapInArrow(_bounded(need), "a long, b long")
+
+
 def verified(pairs: DataFrame, docs: DataFrame, n: int, need: int) -> DataFrame:
     """The pairs (a, b) of document ids whose whole sets link."""
     pairs = cut(pairs, "pairs")
@@ -135,37 +171,61 @@ def verified(pairs: DataFrame, docs: DataFrame, n: int, need: int) -> DataFrame:
     return cut(both.mapInArrow(_verify(n, need), "a long, b long"), "verified")
 
 
+def _leaves(cid, comp, size, vec, run, need: int) -> tuple[list, list]:
+    """Pairs within runs of at most one leaf, all runs of a batch together:
+    rows are compared with those 1, 2, ... further on in their run."""
+    a, b = [], []
+    for d in range(1, LEAF):
+        x = np.flatnonzero((run[d:] == run[:-d]) & (comp[d:] != comp[:-d])) if d < len(run) else run[:0]
+        if not len(x) and d < len(run) and not (run[d:] == run[:-d]).any():
+            break
+        for k in range(0, len(x), 1 << 14):
+            i = x[k: k + (1 << 14)]
+            ok = enough(np.minimum(vec[i], vec[i + d]).sum(1, dtype=np.int64), size[i].astype(np.int64), size[i + d], need=need)
+            a.append(np.minimum(cid[i], cid[i + d])[ok])
+            b.append(np.maximum(cid[i], cid[i + d])[ok])
+    return a, b
+
+
 def _block_pairs(need: int):
     """Rows sorted by (key, i, j, side) -> surviving pairs of each run."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def survivors(t: pa.Table) -> pa.RecordBatch:
+        def survivors(t: pa.Table, cuts: np.ndarray) -> pa.RecordBatch:
             side = t.column("side").to_numpy()
             cid, comp, size = (t.column(c).to_numpy() for c in ("cid", "comp", "n"))
-            vec = np.frombuffer(b"".join(t.column("vec").to_pylist()), "<i4").reshape(len(cid), GROUPS)
-            left, right = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
-            same = not len(right)
-            tree = RTree(vec[left], size[left])
-            a, b = [], []
-            for q in (left if same else right):
-                hit = left[tree.query(vec[q], int(size[q]), need)]
-                hit = hit[(comp[hit] != comp[q])]
-                hit = hit[cid[hit] < cid[q]] if same else hit
-                a.append(np.minimum(cid[hit], cid[q]))
-                b.append(np.maximum(cid[hit], cid[q]))
-            a, b = (np.concatenate(x) if x else np.empty(0, np.int64) for x in (a, b))
-            return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+            vec = _vectors(t.column("vec"), GROUPS)
+            lens = np.diff(cuts)
+            plain = np.logical_and(lens <= LEAF, np.maximum.reduceat(side, cuts[:-1]) == 0)
+            rows = np.flatnonzero(np.repeat(plain, lens))
+            of = np.repeat(np.arange(len(lens)), lens)[rows]
+            a, b = _leaves(cid[rows], comp[rows], size[rows], vec[rows], of, need)
+            for x, y in zip(cuts[:-1][~plain], cuts[1:][~plain], strict=True):
+                left, right = x + np.flatnonzero(side[x:y] == 0), x + np.flatnonzero(side[x:y] == 1)
+                same = not len(right)
+                tree = RTree(vec[left], size[left])
+                for q in (left if same else right):
+                    hit = left[tree.query(vec[q], int(size[q]), need)]
+                    hit = hit[(comp[hit] != comp[q])]
+                    hit = hit[cid[hit] < cid[q]] if same else hit
+                    a.append(np.minimum(cid[hit], cid[q]))
+                    b.append(np.maximum(cid[hit], cid[q]))
+            got = [np.concatenate(x).astype(np.int64) if x else np.empty(0, np.int64) for x in (a, b)]
+            if len(got[0]):  # a pair often shares several keys of a batch
+                both = np.unique(np.stack(got, 1), axis=0)
+                got = [both[:, 0], both[:, 1]]
+            return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in got], names=["a", "b"])
 
         rest: pa.Table | None = None
         for batch in batches:
             t = pa.Table.from_batches([batch])
             t = t if rest is None else pa.concat_tables([rest, t]).combine_chunks()
             k = np.stack([t.column(c).to_numpy() for c in ("key", "i", "j")])
-            cuts = [0, *(np.flatnonzero((k[:, 1:] != k[:, :-1]).any(0)) + 1).tolist(), len(t)]
-            for x, y in zip(cuts[:-2], cuts[1:-1], strict=True):
-                yield survivors(t.slice(x, y - x))
-            rest = t.slice(cuts[-2])  # at most one block pair
+            cuts = np.concatenate([[0], np.flatnonzero((k[:, 1:] != k[:, :-1]).any(0)) + 1])
+            if len(cuts) > 1:
+                yield survivors(t.slice(0, int(cuts[-1])), cuts)
+            rest = t.slice(int(cuts[-1]))  # at most one block pair
         if rest is not None and len(rest):
-            yield survivors(rest)
+            yield survivors(rest, np.asarray([0, len(rest)]))
 
     return run
 
@@ -174,8 +234,8 @@ def tree_pairs(entries: DataFrame, points: DataFrame, need: int, block: int) ->
     """entries(key, cid, comp) of keys with several components -> pairs of
     classes of different components that the R-trees cannot rule out."""
     sizes = entries.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / F.lit(block)).cast("int").alias("blocks"))
-    e = entries.join(sizes, "key").withColumn("own", F.pmod(F.xxhash64("cid", "key"), F.col("blocks")).cast("int"))
-    dealt = (e.join(points, "cid").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    e = entries.join(cut(sizes, "block-counts"), "key").withColumn("own", F.pmod(F.xxhash64("cid", "key"), F.col("blocks")).cast("int"))
+    dealt = (e.join(points.select("cid", "n", "vec"), "cid").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
              .select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
                      (F.col("own") > F.col("other")).cast("int").alias("side"), "cid", "comp", "n", "vec"))
     parts = dealt.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "side", "cid")
@@ -201,25 +261,25 @@ def jaccard_components(docs: DataFrame, n: int = WORDS, need: int = NEED, block:
     for r in seen.filter("grp is not null").groupBy("grp").agg(F.sum("cnt").alias("c")).collect():
         rarity[r["grp"]] = r["c"]
     sets = seen.filter("digest is not null and doc_id is not null").groupBy("doc_id").agg(F.max("n").alias("n"), F.max("digest").alias("digest"))
-    reps = sets.filter("n > 0").groupBy("digest").agg(F.min("doc_id").alias("rep"))
+    reps = cut(sets.filter("n > 0").groupBy("digest").agg(F.min("doc_id").alias("rep")), "representatives")
     known = cut(sets.join(reps, "digest", "left").select("doc_id", "n", F.coalesce("rep", "doc_id").alias("rep")), "classes")
     copies = cut(known.filter("rep <> doc_id").select("doc_id"), "copies")
     texts = docs.filter("doc_id is not null")
     one = texts.join(copies, "doc_id", "left_anti")
-    keyed = cut(one.mapInArrow(_keys(n, need, spark.sparkContext.broadcast(rarity)), "key long, cid long, n int, vec binary"), "keys")
+    keyed = cut(one.mapInArrow(_keys(n, need, spark.sparkContext.broadcast(rarity)), "key long, cid long, n int, vec binary, fine binary"), "keys")
     entries = keyed.filter("vec is null").select("key", "cid")
-    points = cut(keyed.filter("vec is not null").select("cid", "n", "vec").dropDuplicates(["cid"]), "points")
+    points = cut(keyed.filter("vec is not null").select("cid", "n", "vec", "fine").dropDuplicates(["cid"]), "points")
     several = entries.groupBy("key").agg(F.min("cid").alias("lead"), F.max("cid").alias("last")).filter("lead < last").select("key", "lead")
-    multi = cut(entries.join(several, "key"), "multi")
+    multi = cut(entries.join(cut(several, "shared-keys"), "key"), "multi")
     stars = (multi.filter("cid <> lead").groupBy("cid", "lead").agg(F.count(F.lit(1)).alias("c"))
              .groupBy("cid").agg(F.max(F.struct("c", F.col("lead"))).alias("m")).select(F.col("m.lead").alias("a"), F.col("cid").alias("b")))
-    links = verified(stars, texts, n, need)
+    links = verified(bounded(stars, points, need), texts, n, need)
     comp = components(links)
     joined = multi.select("key", "cid").join(comp, F.col("cid") == F.col("node"), "left") \
         .select("key", "cid", F.coalesce("comp", "cid").alias("comp"))
     open_keys = joined.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).filter("x < y").select("key")
-    unresolved = cut(joined.join(open_keys, "key", "left_semi").distinct(), "unresolved")
-    more = verified(tree_pairs(unresolved, points, need, block), texts, n, need)
+    unresolved = cut(joined.join(cut(open_keys, "open-keys"), "key", "left_semi").distinct(), "unresolved")
+    more = verified(bounded(tree_pairs(unresolved, points, need, block), points, need), texts, n, need)
     if not more.isEmpty():
         comp = components(links.unionByName(more))
     out = known.join(comp, F.col("rep") == F.col("node"), "left").select(
