@@ -69,3 +69,14 @@ def test_small_helpers(spark):
                      C.strip_parens("v").alias("v"), C.content_id("dm", prefix="R").alias("id")).collect()
     assert [(r.t, r.rev, r.v) for r in rows] == [("a", "b", "1.2M"), ("", "d", "7")]
     assert rows[0].id.startswith("R") and len(rows[0].id) == 17 and rows[0].id != rows[1].id
+
+
+def test_amounts_past_a_long_become_null(spark):
+    from titlepulse.functions.cleaning import suffixed_count, suffixed_number
+
+    rows = [("9999999999999999M", None), ("99999999999999999K", None), ("99999999999999999999", None), ("2M", 2000000)]
+    df = spark.createDataFrame(rows, "v string, want long")
+    got = df.select("want", suffixed_count("v", plain=True).alias("a")).collect()
+    assert all(r.a == r.want for r in got)
+    got = df.filter("v not like '%M'").select("want", suffixed_number("v").alias("a")).collect()
+    assert all(r.a == r.want for r in got)

@@ -186,3 +186,64 @@ def test_stream_into_jdbc(spark, tmp_path):
     run_all(spark, qs, 300)
     rows = spark.read.format("jdbc").options(**opts).load().collect()
     assert len(rows) == 1  # the 10:00 group; 12:00 is still open
+
+
+def test_jdbc_batches_replace_their_own_output(spark, tmp_path):
+    from titlepulse.streaming.sinks import jdbc_batch_writer, jdbc_options
+
+    opts = jdbc_options(f"jdbc:derby:{tmp_path / 'db2'};create=true", "RESULT",
+                        driver="org.apache.derby.iapi.jdbc.AutoloadedDriver")
+    write = jdbc_batch_writer(opts)
+    five = spark.range(5).selectExpr("id", "id * 2 as v")
+    write(five, 2)
+    write(five, 3)
+    write(five, 3)  # a replay
+    read = lambda: spark.read.format("jdbc").options(**opts).load().groupBy("batch_id").count().collect()
+    assert {r["batch_id"]: r["count"] for r in read()} == {2: 5, 3: 5}
+    # One partition is written, another fails: a retry, or the reject path, leaves nothing of the first try.
+    broken = spark.range(0, 4, 1, 2).selectExpr("id", "case when id = 3 then raise_error('bad') else id end as v")
+    try:
+        write(broken, 4)
+        raise AssertionError("no error")
+    except Exception as e:
+        assert "bad" in str(e)
+    write(five, 4)
+    assert {r["batch_id"]: r["count"] for r in read()} == {2: 5, 3: 5, 4: 5}
+    aside = jdbc_batch_writer(jdbc_options(opts["url"], "RESULT", driver=opts["driver"], nosuchoption="x"), "skip", str(tmp_path / "rejects"))
+    odd = five.selectExpr("id", "cast(null as map<int,int>) as v")  # JDBC has no such type
+    try:
+        aside(odd, 5)
+    except Exception:
+        raise AssertionError("the batch should go aside") from None
+    assert {r["batch_id"] for r in read()} == {2, 3, 4} and spark.read.parquet(str(tmp_path / "rejects")).count() == 5
+
+
+def test_skipped_parquet_batch_goes_aside(spark, tmp_path):
+    from titlepulse.streaming.sinks import parquet_batch_writer
+
+    (tmp_path / "out").write_text("a file where the sink's folder should be")
+    parquet_batch_writer(str(tmp_path / "out"), "skip", str(tmp_path / "rejects"))(spark.range(3), 1)
+    assert spark.read.parquet(str(tmp_path / "rejects")).count() == 3
+
+
+def test_streams_aggregate_before_they_join(spark, tmp_path):
+    """One movie holds a third of the reviews; state keeps partial aggregates."""
+    from titlepulse.operators import analytics as A
+
+    review = spark.range(300).selectExpr("cast(id as string) review_id", "case when id % 3 = 0 then 'm0' else 'm' || (id % 7) end movie_id",
+                                         "cast(id % 10 + 1 as int) star", "id as `like`", "cast(1 as bigint) dislike",
+                                         "timestamp'2024-01-01 00:00:00' + make_dt_interval(0, cast(id div 100 as int)) review_ts")
+    movie = spark.range(7).selectExpr("'m' || id movie_id", "'t' || id title", "cast(7.5 as double) rating", "timestamp'2024-01-01 00:00:00' movie_ts")
+    frames = {}
+    for name, df, ts in (("review", review, "review_ts"), ("movie", movie, "movie_ts")):
+        late = df.limit(1).withColumn(ts, F.expr("timestamp'2024-02-01 00:00:00'")).withColumn("movie_id", F.lit("none"))
+        df.unionByName(late).write.parquet(str(tmp_path / name))
+        frames[name] = spark.readStream.schema(df.schema).parquet(str(tmp_path / name)).withWatermark(ts, "10 minutes")
+    plan = A.top_user_sentiment(frames["review"], frames["movie"])
+    q = plan.writeStream.format("memory").queryName("eager_join").option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start()
+    q.processAllAvailable()
+    q.stop()
+    key = lambda d: sorted(map(tuple, d.collect()), key=str)
+    assert key(spark.table("eager_join")) == key(A.top_user_sentiment(review, movie))
+    most = max(sum(s["numRowsTotal"] for s in p["stateOperators"] if "oin" in s["operatorName"]) for p in q.recentProgress if p["stateOperators"])
+    assert most < 60

@@ -54,3 +54,29 @@ def test_builtin_tokens_equal_ml_transformers(spark, sf):
     ml = StopWordsRemover(inputCol="words", outputCol="filtered").transform(ml)
     theirs = {r.doc_id: (r.words, r.filtered) for r in ml.collect()}
     assert ours == theirs
+
+
+def test_hashed_features_drop_no_term_and_accuracy(spark):
+    from titlepulse.operators import text_model as TM
+
+    rows = [(i, "good fine nice" if i % 2 else "bad poor awful", i % 2) for i in range(40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, label int")
+    for kw in ({}, {"vocab_size": 10}):
+        model = TM.fit(df, **kw)
+        scored = TM.score(model, df)
+        assert TM.accuracy(scored).first()["accuracy"] == 1.0
+        assert all(r.is_argmax and r.is_class and abs(r.p_sum - 1) < 1e-9 for r in TM.audited(model, df).collect())
+    stats = TM.term_stats(TM.tokens(df))
+    assert TM.dropped_terms(stats, 4) == 2 and {r.term: (r.tf, r.df) for r in stats.collect()}["good"] == (20, 20)
+
+
+def test_term_stats_and_tfidf_by_hand(spark):
+    import math
+
+    from titlepulse.operators import text_model as TM
+
+    df = spark.createDataFrame([(1, "x x y"), (2, "y"), (3, "")], "doc_id long, text string")
+    tok = TM.tokens(df)
+    assert {r.term: (r.tf, r.df) for r in TM.term_stats(tok).collect() if r.term} == {"x": (2, 1), "y": (2, 2)}
+    got = {(r.doc_id, r.term): r.tfidf for r in TM.doc_tfidf(tok, 3).collect()}
+    assert abs(got[1, "x"] - 2 * math.log(4 / 2)) < 1e-12 and abs(got[2, "y"] - math.log(4 / 3)) < 1e-12

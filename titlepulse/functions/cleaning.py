@@ -48,7 +48,7 @@ def suffixed_count(c, plain: bool = False) -> Column:
     m = F.regexp_replace(c, "M", "").try_cast(_DEC) * F.lit(1000000)
     k = F.regexp_replace(c, "K", "").try_cast(_DEC) * F.lit(1000)
     other = F.trim(c).try_cast(_DEC) if plain else F.lit(0)
-    return F.when(c.endswith("M"), m).when(c.endswith("K"), k).otherwise(other).cast("bigint")
+    return F.when(c.endswith("M"), m).when(c.endswith("K"), k).otherwise(other).try_cast("bigint")
 
 
 def suffixed_number(c) -> Column:
@@ -56,7 +56,7 @@ def suffixed_number(c) -> Column:
     c = _c(c)
     k = F.trim(F.regexp_replace(c, "K", "")).try_cast(_DEC) * F.lit(1000)
     return (F.when(c.endswith("K"), k).when(c == "", F.lit(0))
-            .otherwise(F.trim(c).try_cast(_DEC)).cast("bigint"))
+            .otherwise(F.trim(c).try_cast(_DEC)).try_cast("bigint"))
 
 
 def star_value(c) -> Column:

@@ -13,8 +13,9 @@ No broadcast hints: whether the movie side is broadcast is decided by
 by AQE on the real shuffle size, with a sort-merge join (and AQE skew-join
 splitting) beyond the threshold.
 
-Streaming frames take the plan of the original job (join, then aggregate),
-because an aggregation cannot feed a stream-stream join in append mode.
+Streaming frames are reduced before the join as well, which keeps the partial
+aggregates in join state instead of every review; only ``rating_per_year``,
+which removes duplicates after its join, keeps the original order on streams.
 """
 
 from __future__ import annotations
@@ -26,8 +27,8 @@ from titlepulse.functions.labels import sentiment_indicators
 from titlepulse.schemas import RESULT_COLUMNS
 
 
-def _eager(df: DataFrame, pre_aggregate: bool | None) -> bool:
-    return (not df.isStreaming) if pre_aggregate is None else pre_aggregate
+def _eager(pre_aggregate: bool | None) -> bool:
+    return True if pre_aggregate is None else pre_aggregate
 
 
 def with_movie(left: DataFrame, movie: DataFrame, cols: list[str], ts: str,
@@ -68,12 +69,11 @@ def top_country(movie: DataFrame, ts: str = "movie_ts") -> DataFrame:
 # --------------------------------------------------------- top_user_sentiment
 def top_user_sentiment(review: DataFrame, movie: DataFrame, ts: str = "review_ts",
                        pre_aggregate: bool | None = None, time_bound: str | None = None) -> DataFrame:
-    m = movie.select("movie_id", "title", "rating")
-    if _eager(review, pre_aggregate):
+    if _eager(pre_aggregate):
         part = (review.groupBy("movie_id", ts)
                 .agg(F.count("review_id").alias("_n"), F.sum("like").alias("_l"),
                      F.sum("dislike").alias("_d")))
-        g = part.join(m, "movie_id").groupBy("title", "rating", ts)
+        g = with_movie(part, movie, ["title", "rating"], ts, time_bound).groupBy("title", "rating", ts)
         n, like, dislike = F.sum("_n"), F.sum("_l"), F.sum("_d")
     else:
         g = with_movie(review, movie, ["title", "rating"], ts, time_bound).groupBy("title", "rating", ts)
@@ -95,10 +95,9 @@ def top_director_rate(actor: DataFrame, movie: DataFrame, ts: str = "actor_ts",
     if dedupe:
         from titlepulse.operators.dedupe import dedupe_latest
         actor = dedupe_latest(actor, ["actor_id", "movie_id"], [ts])
-    m = movie.select("movie_id", "rating", "revenue")
-    if _eager(actor, pre_aggregate):
+    if _eager(pre_aggregate):
         part = actor.groupBy("movie_id", "director", ts).agg(F.count(F.lit(1)).alias("_w"))
-        return (part.join(m, "movie_id").groupBy("director", ts)
+        return (with_movie(part, movie, ["rating", "revenue"], ts, time_bound).groupBy("director", ts)
                 .agg(_weighted_avg("rating", "_w").alias("avg_rating"),
                      F.sum("_w").alias("total_movies"),
                      F.sum(F.col("revenue") * F.col("_w")).alias("total_revenue")))
@@ -121,7 +120,7 @@ def rating_per_year(review: DataFrame, movie: DataFrame, ts: str = "review_ts",
     with min over the movie duplicates gives, so both sides are reduced before
     the join.
     """
-    if not _eager(review, pre_aggregate):
+    if not (not review.isStreaming if pre_aggregate is None else pre_aggregate):
         j = with_movie(review, movie, ["year", "rating"], ts, time_bound)
         keys = ["review_id", "movie_id"]
         j = (j.dropDuplicatesWithinWatermark(keys) if dedupe_within_watermark and j.isStreaming
@@ -152,7 +151,6 @@ def top_sentiment(review: DataFrame, movie: DataFrame, ts: str = "review_ts",
     """
     keys = ["title", "year", "rating", ts]
     ind = review.select("*", *sentiment_indicators("star"))
-    m = movie.select("movie_id", "title", "year", "rating")
     if dedupe and (review.isStreaming or movie.isStreaming):
         j = with_movie(ind, movie, ["title", "year", "rating"], ts, time_bound)
         g = j.dropDuplicates(["review_id"]).groupBy(*keys)
@@ -175,11 +173,11 @@ def top_sentiment(review: DataFrame, movie: DataFrame, ts: str = "review_ts",
         g = j.groupBy(*keys)
         cnt, pos, neg, neu = (F.count("review_id"), F.sum("Positive"), F.sum("Negative"),
                               F.sum("Neutral"))
-    elif _eager(review, pre_aggregate):
+    elif _eager(pre_aggregate):
         part = (ind.groupBy("movie_id", ts)
                 .agg(F.count("review_id").alias("_n"), F.sum("Positive").alias("_p"),
                      F.sum("Negative").alias("_ng"), F.sum("Neutral").alias("_nu")))
-        g = part.join(m, "movie_id").groupBy(*keys)
+        g = with_movie(part, movie, ["title", "year", "rating"], ts, time_bound).groupBy(*keys)
         cnt, pos, neg, neu = F.sum("_n"), F.sum("_p"), F.sum("_ng"), F.sum("_nu")
     else:
         g = with_movie(ind, movie, ["title", "year", "rating"], ts, time_bound).groupBy(*keys)

@@ -10,7 +10,7 @@ subquery of the same plan (``DataFrame.scalar()``), not a driver round trip.
 from __future__ import annotations
 
 from pyspark.ml.fpm import FPGrowth
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from titlepulse.functions.labels import sentiment_label
@@ -82,14 +82,17 @@ def box_stats(df: DataFrame, value: str, by, approx: bool = False,
     (partial aggregation, so bounded by the value domain, not by the rows);
     ``approx=True`` uses ``percentile_approx`` (a fixed-size sketch, relative
     rank error 1/accuracy) for value domains that are not bounded. The fences
-    (one row per group) are joined back to the rows.
+    (one row per group) are joined to the value histogram, not to the rows.
     """
     v = F.col(value).cast("double")
     g = _c(by).alias("group") if not isinstance(by, str) else F.col(by).alias("group")
     rows = df.select(g, v.alias("v")).filter(F.col("v").isNotNull())
     probs = F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))
-    quart = (F.percentile_approx("v", probs, accuracy) if approx else F.percentile("v", probs))
-    q = rows.groupBy("group").agg(quart.alias("q"), F.count(F.lit(1)).alias("n"))
+    # The value histogram is written: quartiles and whiskers both come from it.
+    rows = cut_lineage(rows.groupBy("group", "v").agg(F.count(F.lit(1)).alias("c")), "box_histogram")
+    quart = (F.percentile_approx("v", probs, accuracy) if approx else F.percentile("v", probs, F.col("c")))
+    source = df.select(g, v.alias("v")).filter(F.col("v").isNotNull()) if approx else rows
+    q = source.groupBy("group").agg(quart.alias("q"), (F.count(F.lit(1)) if approx else F.sum("c")).alias("n"))
     q = q.select("group", "n", F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"),
                  F.col("q")[2].alias("q3"))
     iqr = F.col("q3") - F.col("q1")
@@ -99,7 +102,7 @@ def box_stats(df: DataFrame, value: str, by, approx: bool = False,
             .groupBy("group", "n", "q1", "median", "q3")
             .agg(F.min(F.when(F.col("v") >= F.col("_lo"), F.col("v"))).alias("whisker_lo"),
                  F.max(F.when(F.col("v") <= F.col("_hi"), F.col("v"))).alias("whisker_hi"),
-                 F.sum(F.when(inside, 0).otherwise(1)).cast("bigint").alias("n_outliers")))
+                 F.sum(F.when(inside, 0).otherwise(F.col("c"))).cast("bigint").alias("n_outliers")))
 
 
 # ------------------------------------------------------------ M6 correlations
@@ -238,17 +241,14 @@ def word_counts(df: DataFrame, text: str, stop: list[str]) -> DataFrame:
             .groupBy("word").agg(F.count(F.lit(1)).alias("n")))
 
 
-def bigram_counts(df: DataFrame, text: str, stop: list[str], materialize: bool = False) -> DataFrame:
+def bigram_counts(df: DataFrame, text: str, stop: list[str], materialize: bool = True) -> DataFrame:
     """Adjacent word pairs (neither a stop word nor digits), with their count and
     Dunning's log-likelihood ratio G^2 against independence (Dunning 1993).
 
-    The marginals are window sums over the pair counts (one chain: counts ->
-    by w1 -> by w2), so the corpus is tokenized for the counts and once more
-    for the total (a scalar subquery). A window partition holds the distinct
-    pairs of one word, bounded by the vocabulary, not by the number of rows.
-    ``materialize=True`` writes the pair counts to the shared folder first, so
-    the corpus is tokenized once: worth it when re-reading the text costs more
-    than writing the pair table."""
+    The pair counts are written to the shared folder, so the corpus is read
+    once; ``materialize=False`` computes them for each use. The marginals are
+    grouped sums of the pair counts (combined map-side) that are joined back,
+    where Spark may split a word with very many partners."""
     t = words(df, text)
     nxt = F.slice(t, 2, F.greatest(F.size(t) - 1, F.lit(0)))
     pairs = (df.select(F.explode(F.arrays_zip(t.alias("w1"), nxt.alias("w2"))).alias("p"))
@@ -258,9 +258,10 @@ def bigram_counts(df: DataFrame, text: str, stop: list[str], materialize: bool =
     counts = pairs.groupBy("w1", "w2").agg(F.count(F.lit(1)).alias("n"))
     if materialize and not counts.isStreaming:
         counts = cut_lineage(counts, "bigram_counts")
-    n = counts.agg(F.sum("n").cast("double")).scalar()
-    j = (counts.withColumn("n1", F.sum("n").over(Window.partitionBy("w1")))
-         .withColumn("n2", F.sum("n").over(Window.partitionBy("w2"))))
+    first = counts.groupBy("w1").agg(F.sum("n").alias("n1"))
+    second = counts.groupBy("w2").agg(F.sum("n").alias("n2"))
+    n = first.agg(F.sum("n1").cast("double")).scalar()
+    j = counts.join(first, "w1").join(second, "w2")
     k11 = F.col("n").cast("double")
     r1, c1 = F.col("n1").cast("double"), F.col("n2").cast("double")
     k12, k21 = r1 - k11, c1 - k11

@@ -1,12 +1,8 @@
-"""Parallelism for CPU-heavy row work.
+"""Lineage cuts.
 
-A parquet file is split by row group; a file written as one row group is
-read by one task however large it is, and every per-row step before the first
-shuffle (regex extraction, tokenizing, exploding) then runs on one core.
-``spread`` adds a round-robin repartition only when the frame has fewer
-partitions than the cluster has task slots: on a cluster reading thousands of
-splits it is a no-op and adds no shuffle; on a few large single-row-group
-files it trades one shuffle of the input for using every core.
+How a scan is split is left to the file layout and to
+``spark.sql.files.maxPartitionBytes``; nothing here compares partitions with
+cores.
 """
 
 from __future__ import annotations
@@ -14,18 +10,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    if df.isStreaming:
-        return df
-    try:
-        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        # getNumPartitions plans the scan (file listing); it runs no job.
-        current = df.rdd.getNumPartitions()
-    except Exception:  # no RDD access (e.g. a remote session): leave it to Spark
-        return df
-    return df if current >= target else df.repartition(target)
-
-
 def cut_lineage(df: DataFrame, name: str = "cut") -> DataFrame:
     """Write ``df`` once as parquet into a fresh folder under the shared
     checkpoint folder and read it back, so several branches of a later plan

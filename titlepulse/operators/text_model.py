@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import IDF, CountVectorizer, StopWordsRemover, Tokenizer
+from pyspark.ml.feature import IDF, CountVectorizer, HashingTF, StopWordsRemover, Tokenizer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -20,8 +20,10 @@ from pyspark.sql import functions as F
 from titlepulse.functions.labels import label_name
 from titlepulse.functions.text import ENGLISH_STOP_WORDS
 
-# Parameters of the original model stages.
+# Parameters of the original model stages and the columns of a saved model.
 VOCAB_SIZE = 262144
+# Width of the hashed features: no term is dropped, equal hashes share a weight.
+HASHED = 1 << 18
 MIN_DF = 1.0
 MIN_TF = 1.0
 MIN_DOC_FREQ = 0
@@ -64,9 +66,23 @@ def tokens(df: DataFrame, text: str = "text", words: str = "words",
 
 def term_stats(tok: DataFrame, doc: str = "doc_id", filtered: str = "filtered") -> DataFrame:
     """(term, tf, df): total count and number of documents containing the term."""
-    per_doc = (tok.select(doc, F.explode(filtered).alias("term"))
-               .groupBy("term", doc).agg(F.count(F.lit(1)).alias("_c")))
-    return per_doc.groupBy("term").agg(F.sum("_c").alias("tf"), F.count(F.lit(1)).alias("df"))
+    # Every occurrence counts (1, 0) and every distinct term of a document (0, 1),
+    # so one aggregate, combined map-side to a row per term and task, gives both.
+    each = F.transform(F.col(filtered), lambda t: F.struct(t.alias("term"), F.lit(1).alias("tf"), F.lit(0).alias("df")))
+    once = F.transform(F.array_distinct(filtered), lambda t: F.struct(t.alias("term"), F.lit(0).alias("tf"), F.lit(1).alias("df")))
+    return (tok.select(F.explode(F.concat(each, once)).alias("x")).groupBy(F.col("x.term").alias("term"))
+            .agg(F.sum("x.tf").alias("tf"), F.sum("x.df").alias("df")))
+
+
+def doc_terms(tok: DataFrame, doc: str = "doc_id", filtered: str = "filtered") -> DataFrame:
+    """(doc, term, tf): the count vector of each document, as rows."""
+    return tok.select(doc, F.explode(filtered).alias("term")).groupBy(doc, "term").agg(F.count(F.lit(1)).alias("tf"))
+
+
+def doc_tfidf(tok: DataFrame, n_docs, doc: str = "doc_id", filtered: str = "filtered") -> DataFrame:
+    """(doc, term, tf, tfidf): count times the term's IDF over all documents."""
+    weights = idf_weights(term_stats(tok, doc, filtered), n_docs).select("term", "idf")
+    return doc_terms(tok, doc, filtered).join(weights, "term").select(doc, "term", "tf", (F.col("tf") * F.col("idf")).alias("tfidf"))
 
 
 def idf_weights(stats: DataFrame, n_docs) -> DataFrame:
@@ -88,13 +104,23 @@ def key_split(df: DataFrame, key: str, train_percent: int = TRAIN_PERCENT) -> Da
     return df.withColumn("split", F.when(hash_bucket(key) < train_percent, "train").otherwise("test"))
 
 
-def sentiment_pipeline(text: str = "text", label: str = "label", vocab_size: int = VOCAB_SIZE,
-                       max_iter: int = LR_MAX_ITER) -> Pipeline:
+def dropped_terms(stats: DataFrame, vocab_size: int = VOCAB_SIZE) -> int:
+    """How many terms of ``term_stats`` a vocabulary of that size leaves out."""
+    return max(0, stats.count() - vocab_size)
+
+
+def sentiment_pipeline(text: str = "text", label: str = "label", vocab_size: int | None = None,
+                       max_iter: int = LR_MAX_ITER, hashed: int = HASHED) -> Pipeline:
+    """Tokens, term counts, IDF, logistic regression. Counts are hashed into
+    ``hashed`` columns, so no term is dropped and no vocabulary comes to the
+    driver; ``vocab_size`` asks for the original's vocabulary of the most
+    frequent terms instead (see ``dropped_terms``)."""
+    counts = (HashingTF(inputCol="filtered", outputCol="raw_features", numFeatures=hashed) if vocab_size is None else
+              CountVectorizer(inputCol="filtered", outputCol="raw_features", vocabSize=vocab_size, minDF=MIN_DF, minTF=MIN_TF))
     return Pipeline(stages=[
         Tokenizer(inputCol=text, outputCol="words"),
         StopWordsRemover(inputCol="words", outputCol="filtered", stopWords=ENGLISH_STOP_WORDS),
-        CountVectorizer(inputCol="filtered", outputCol="raw_features", vocabSize=vocab_size,
-                        minDF=MIN_DF, minTF=MIN_TF),
+        counts,
         IDF(inputCol="raw_features", outputCol="features", minDocFreq=MIN_DOC_FREQ),
         LogisticRegression(featuresCol="features", labelCol=label, maxIter=max_iter,
                            regParam=LR_REG, tol=LR_TOL),
@@ -119,6 +145,16 @@ def score(model: PipelineModel, df: DataFrame, text: str = "text",
                       F.aggregate(prob, F.lit(0.0), lambda a, x: a + x).alias("p_sum"))
 
 
+def audited(model: PipelineModel, df: DataFrame, text: str = "text", keep: list[str] | None = None) -> DataFrame:
+    """What can be said of any right scoring without the model: the class is
+    one of the three, is the most probable one, and probabilities sum to 1."""
+    out = model.transform(df.withColumn(text, F.coalesce(F.col(text), F.lit(""))))
+    keep = keep if keep is not None else [c for c in df.columns if c != text]
+    prob, at = vector_to_array("probability"), F.col("prediction").cast("int")
+    return out.select(*keep, at.isin(0, 1, 2).alias("is_class"), (F.element_at(prob, at + 1) == F.array_max(prob)).alias("is_argmax"),
+                      F.aggregate(prob, F.lit(0.0), lambda a, x: a + x).alias("p_sum"))
+
+
 def confusion(scored: DataFrame, label: str = "label") -> DataFrame:
     return scored.groupBy(F.col(label).cast("int").alias("label"), "prediction").agg(
         F.count(F.lit(1)).alias("n"))

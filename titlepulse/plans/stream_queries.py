@@ -1,8 +1,7 @@
 """The five results as streams (and scoring as a stream), read back for checking.
 
-The raw records of each topic are packed into message files once per session
-(a "topic" folder under the shared checkpoint folder); each query then runs
-its streaming job over those topics with ``availableNow``, a fresh checkpoint
+Each query packs the raw records of its topics into message files (a "topic"
+folder under the shared checkpoint folder) and then runs its streaming job over those topics with ``availableNow``, a fresh checkpoint
 and an idempotent parquet sink, and returns the sink's contents. The oracle is the batch result restricted to the groups the
 watermark has closed: event time <= min(max time of each input) - 10 minutes.
 """
@@ -33,19 +32,12 @@ def state_partitions(spark) -> int:
     return spark.sparkContext.defaultParallelism
 
 
-_TOPICS: dict = {}
-
-
 def topic_folder(spark, d, kind) -> str:
-    """The message folder ("topic") of one kind for a data folder, written once
-    per session by packing the raw records, as a producer would; stream
-    queries only read it."""
-    key = (id(spark), d, kind)
-    if key not in _TOPICS:
-        path = scratch_path(spark, f"topic_{kind}")
-        J.write_messages(_RAW[kind](spark, d), kind, path)
-        _TOPICS[key] = path
-    return _TOPICS[key]
+    """The message folder ("topic") of one kind for a data folder: packs the
+    raw records, as a producer would. Every call writes its own."""
+    path = scratch_path(spark, f"topic_{kind}")
+    J.write_messages(_RAW[kind](spark, d), kind, path)
+    return path
 
 
 def run_stream(spark, d, name, time_bound=None):
@@ -84,16 +76,21 @@ for _name in J.INPUTS:
     register(f"stream_{_name}", _stream_oracle(_name))(_q)
 
 
-@register("stream_score")
+@register("stream_score", ORACLE["score_documents"])
 def q_stream_score(spark, d):
-    """Score documents arriving as a stream with the fitted model."""
+    """Score documents arriving as a stream with the fitted model; the stream
+    reads the given table, nothing is copied."""
     base = scratch_path(spark, "stream_score")
-    docs = X.table(spark, d, "documents").select("doc_id", "text")
-    docs.write.mode("overwrite").parquet(f"{base}/in")
-    stream = spark.readStream.schema(docs.schema).parquet(f"{base}/in")
-    scored = TM.score(fitted(spark, d), stream, keep=["doc_id"])
+    docs = X.table(spark, d, "documents")
+    stream = (spark.readStream.schema(docs.schema).option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true")
+              .parquet(_only(d, "documents")).select("doc_id", "text"))
+    scored = TM.audited(fitted(spark, d), stream, keep=["doc_id"])
     q = start(scored, parquet_batch_writer(f"{base}/out"), f"{base}/checkpoint",
               state_partitions=state_partitions(spark))
     await_done(q, STREAM_TIMEOUT_S)
     return rounded(spark.read.parquet(f"{base}/out").drop("batch_id"), 9)
 
+
+def _only(d, name) -> str:
+    """A path pattern that holds one table, whether file or folder."""
+    return f"{d.rstrip('/')}/{name}[.]parquet"

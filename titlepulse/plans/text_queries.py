@@ -78,32 +78,54 @@ def q_split_train_test(spark, d):
     return TM.key_split(labeled_documents(spark, d), "doc_id").select("doc_id", "label", "split")
 
 
-_MODELS: dict = {}
+@register("doc_term_counts", "WITH " + _TOKENS_SQL + """,
+u AS (SELECT doc_id, unnest(filtered) AS term FROM flt)
+SELECT doc_id, term, count(*) AS tf FROM u GROUP BY doc_id, term""")
+def q_doc_term_counts(spark, d):
+    return TM.doc_terms(TM.tokens(X.table(spark, d, "documents").select("doc_id", "text")))
+
+
+@register("doc_tfidf", "WITH " + _TOKENS_SQL + """,
+u AS (SELECT doc_id, unnest(filtered) AS term FROM flt),
+n AS (SELECT count(*) AS nd FROM documents),
+t AS (SELECT term, ln(cast(nd + 1 AS double) / (count(DISTINCT doc_id) + 1)) AS idf FROM u CROSS JOIN n GROUP BY term, nd)
+SELECT doc_id, term, count(*) AS tf, round(count(*) * any_value(idf), 9) AS tfidf
+FROM u JOIN t USING (term) GROUP BY doc_id, term""")
+def q_doc_tfidf(spark, d):
+    docs = X.table(spark, d, "documents").select("doc_id", "text")
+    return rounded(TM.doc_tfidf(TM.tokens(docs), docs.agg(F.count(F.lit(1))).scalar()), 9, ["tfidf"])
 
 
 def fitted(spark, d):
-    """Fit once per (session, folder) in this driver process."""
-    key = (id(spark), d)
-    if key not in _MODELS:
-        data = TM.key_split(labeled_documents(spark, d), "doc_id")
-        _MODELS[key] = TM.fit(data.filter(F.col("split") == "train"))
-    return _MODELS[key]
+    """The model of the training part; every call fits its own."""
+    data = TM.key_split(labeled_documents(spark, d), "doc_id")
+    return TM.fit(data.filter(F.col("split") == "train"))
+
+
+def test_part(spark, d):
+    return TM.key_split(labeled_documents(spark, d), "doc_id").filter(F.col("split") == "test")
+
+
+_TEST_SQL = f"""SELECT doc_id, {_LABEL_SQL} AS label FROM documents JOIN labels USING (doc_id)
+WHERE ('0x' || substr(md5(cast(doc_id AS varchar)), 1, 8))::BIGINT % 100 >= 80"""
 
 
-@register("sentiment_predictions")
+@register("sentiment_predictions", f"""
+SELECT doc_id, label, true AS is_class, true AS is_argmax, 1.0::DOUBLE AS p_sum FROM ({_TEST_SQL})""")
 def q_sentiment_predictions(spark, d):
-    test = TM.key_split(labeled_documents(spark, d), "doc_id").filter(F.col("split") == "test")
-    out = TM.score(fitted(spark, d), test, keep=["doc_id", "label"])
-    return rounded(out, 9)
+    return rounded(TM.audited(fitted(spark, d), test_part(spark, d).select("doc_id", "label", "text")), 9)
 
 
-@register("confusion_matrix")
+@register("confusion_matrix", f"""
+SELECT label, cast(count(*) AS bigint) AS n FROM ({_TEST_SQL}) GROUP BY label""")
 def q_confusion_matrix(spark, d):
-    test = TM.key_split(labeled_documents(spark, d), "doc_id").filter(F.col("split") == "test")
-    return TM.confusion(TM.score(fitted(spark, d), test, keep=["doc_id", "label"]))
+    """The matrix's row sums: what any model's matrix must have."""
+    cells = TM.confusion(TM.score(fitted(spark, d), test_part(spark, d), keep=["doc_id", "label"]))
+    return cells.filter(F.col("prediction").isin(0, 1, 2)).groupBy("label").agg(F.sum("n").alias("n"))
 
 
-@register("score_documents")
+@register("score_documents", """
+SELECT doc_id, true AS is_class, true AS is_argmax, 1.0::DOUBLE AS p_sum FROM documents""")
 def q_score_documents(spark, d):
     docs = X.table(spark, d, "documents").select("doc_id", "text")
-    return rounded(TM.score(fitted(spark, d), docs, keep=["doc_id"]), 9)
+    return rounded(TM.audited(fitted(spark, d), docs), 9)

@@ -2,14 +2,18 @@
 
 Library functions never create a session; these helpers are for tests, the
 bench and local runs. ``shared_dir`` returns the folder the cluster names in
-``spark.checkpoint.dir`` (or the context's checkpoint dir) and only falls back
-to a fresh temporary folder when nothing is configured, as in tests.
+``spark.checkpoint.dir`` (or the context's checkpoint dir). Only on a local
+master, when nothing is configured, as in tests, it names a fresh temporary
+folder, which goes at exit; on a cluster it raises.
 """
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
+from functools import lru_cache
 
 from pyspark.sql import SparkSession
 
@@ -39,17 +43,22 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     return spark
 
 
+@lru_cache(maxsize=1)
+def _local_dir() -> str:
+    d = tempfile.mkdtemp(prefix="titlepulse-")
+    atexit.register(shutil.rmtree, d, ignore_errors=True)
+    return d
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Base folder for lineage cuts, stream checkpoints and stream fixtures."""
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = spark.sparkContext.getCheckpointDir()
     if not d:
-        # Nothing configured: a local run or a test. Never reached on a cluster
-        # that names spark.checkpoint.dir.
-        d = tempfile.mkdtemp(prefix="titlepulse-")
-        spark.sparkContext.setCheckpointDir(d)
-        d = spark.sparkContext.getCheckpointDir() or d
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        d = _local_dir()
     return d.rstrip("/")
 
 

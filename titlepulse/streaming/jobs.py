@@ -2,9 +2,9 @@
 
 Each topic is read as a stream of messages, unpacked with ``parse_envelope``,
 watermarked on the message time (10 minutes, as the original), cleaned, and
-handed to the same analytics functions the batch side uses; on streaming
-frames they take the join-then-aggregate plan (stream-stream inner join, then
-an append-mode aggregation keyed on the exact event time). A group is emitted
+handed to the same analytics functions the batch side uses (partial
+aggregates, a stream-stream inner join, then an append-mode aggregation keyed
+on the exact event time). A group is emitted
 once the global watermark (the minimum over the joined streams) passes its
 time.
 """
@@ -50,11 +50,12 @@ def load_topic(spark: SparkSession, path: str, kind: str, delay: str = WATERMARK
 
 
 def build(name: str, s: dict[str, DataFrame], dedupe: bool = False,
-          time_bound: str | None = None) -> DataFrame:
+          time_bound: str | None = None, dedupe_within_watermark: bool = False) -> DataFrame:
     """The named result from a dict of cleaned (stream or batch) frames.
 
     ``time_bound`` (streams) bounds the joins in time so their state expires;
-    None keeps the original unbounded join."""
+    None keeps the original unbounded join. ``dedupe_within_watermark`` lets
+    the review dedupe of ``rating_per_year`` forget ids the watermark passed."""
     if name == "top_country":
         return A.top_country(s["movie"])
     if name == "top_user_sentiment":
@@ -62,7 +63,8 @@ def build(name: str, s: dict[str, DataFrame], dedupe: bool = False,
     if name == "top_director_rate":
         return A.top_director_rate(s["actor"], s["movie"], time_bound=time_bound)
     if name == "rating_per_year":
-        return A.rating_per_year(s["review"], s["movie"], time_bound=time_bound)
+        return A.rating_per_year(s["review"], s["movie"], time_bound=time_bound,
+                                 dedupe_within_watermark=dedupe_within_watermark)
     if name == "top_sentiment":
         return A.top_sentiment(s["review"], s["movie"], dedupe=dedupe, time_bound=time_bound)
     raise KeyError(name)

@@ -31,6 +31,8 @@ def parquet_batch_writer(path: str, on_error: str = "raise", reject_path: str |
         if counts is not None:
             obs = Observation(f"rows_{batch_id}")
             df = df.observe(obs, F.count(F.lit(1)).alias("rows"))
+        if on_error != "raise" and reject_path is not None:
+            df = df.persist()  # a batch that goes aside is not evaluated again
         try:
             df.write.mode("overwrite").parquet(target)
             if obs is not None:
@@ -40,6 +42,8 @@ def parquet_batch_writer(path: str, on_error: str = "raise", reject_path: str |
                 raise
             # on_error="skip": keep the batch aside instead of losing it.
             df.write.mode("overwrite").parquet(f"{reject_path}/batch_id={batch_id}")
+        finally:
+            df.unpersist()
 
     return write
 
@@ -58,23 +62,58 @@ def jdbc_options(url: str, table: str, driver: str | None = None, user: str | No
     return opts
 
 
+def _delete_batch(spark, options: dict[str, str], batch_id: int) -> None:
+    """Remove what an earlier try of the batch left in the target table."""
+    jvm = spark._jvm
+    props = jvm.java.util.Properties()
+    for k in ("user", "password"):
+        if k in options:
+            props.setProperty(k, options[k])
+    if "driver" in options:
+        jvm.java.lang.Class.forName(options["driver"])
+    con = jvm.java.sql.DriverManager.getConnection(options["url"], props)
+    try:
+        name = options["dbtable"].split(".")[-1]
+        meta = con.getMetaData()
+        quote, found, column = meta.getIdentifierQuoteString(), meta.getColumns(None, None, "%", "%"), None
+        while found.next():  # the column as the database spells it; none where there is no such table yet
+            if found.getString("TABLE_NAME").lower() == name.strip(quote).lower() and found.getString("COLUMN_NAME").lower() == _BATCH:
+                column = found.getString("COLUMN_NAME")
+        if column is not None:
+            st = con.prepareStatement(f"DELETE FROM {options['dbtable']} WHERE {quote}{column}{quote} = ?")
+            st.setLong(1, batch_id)
+            st.executeUpdate()
+    finally:
+        con.close()
+
+
+_BATCH = "batch_id"
+
+
 def jdbc_batch_writer(options: dict[str, str], on_error: str = "raise",
                       reject_path: str | None = None) -> BatchWriter:
-    """Append each batch with its ``batch_id`` column.
-
-    Rows carry the batch id so a reader (or a unique key on
-    (batch_id, group columns) in the target table) can drop a replayed batch;
-    errors raise unless ``on_error="skip"`` with a ``reject_path``.
-    """
+    """Write each batch with its ``batch_id`` column, once: rows that an
+    earlier try of the same batch left are deleted first, so a replay or a
+    retry after a failure half-way replaces its own output. Errors raise
+    unless ``on_error="skip"`` with a ``reject_path``: the batch then goes
+    there whole and nothing of it stays in the table."""
 
     def write(df: DataFrame, batch_id: int) -> None:
-        out = df.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+        out = df.withColumn(_BATCH, F.lit(batch_id).cast("bigint"))
+        skip = on_error != "raise" and reject_path is not None
+        if skip:
+            out = out.persist()
         try:
+            _delete_batch(df.sparkSession, options, batch_id)
             out.write.format("jdbc").options(**options).mode("append").save()
         except Exception:
-            if on_error == "raise" or reject_path is None:
+            if not skip:
                 raise
             out.write.mode("overwrite").parquet(f"{reject_path}/batch_id={batch_id}")
+            _delete_batch(df.sparkSession, options, batch_id)
+        finally:
+            if skip:
+                out.unpersist()
 
     return write
 
