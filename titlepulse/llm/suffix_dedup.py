@@ -13,8 +13,8 @@ strings (hull), then its place. Steps:
    compared across boundaries.
 2. Equal hulls: all strings of the run are repeated. A suffix that no other
    shares: none is. Else (the ends of passages) its strings become keys of a
-   second suffix array, each with the hash of its 200 bytes, sorted and
-   compared in the same way.
+   second suffix array, its leading bytes with the hash of its 200 bytes,
+   sorted and compared in the same way.
 3. Covered bytes are removed. Texts without open strings are finished when
    they are first opened, the others are kept aside until step 2 is done.
 
@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, Window
 
 from titlepulse.llm.common import cut, one_text_per_id, ship
 from titlepulse.llm.winnow import choose, lead8, prefix_sums, span_hash
-from titlepulse.llm.words import mix, text_bytes
+from titlepulse.llm.words import text_bytes
 
 U = np.uint64
 WIDTH = 200
@@ -99,9 +99,10 @@ def _runs(k: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return run, np.bincount(run)
 
 
-def _bucket():
+def _bucket(whole: bool):
     """Sort one bucket, compare neighbours, and keep the rows that share k1
-    with another, or might across the bucket's boundary."""
+    (with ``whole`` k2 too) with another, or might across the bucket's
+    boundary: of these there are four at most."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
@@ -116,14 +117,15 @@ def _bucket():
         fresh = np.concatenate([[True], np.logical_or.reduce([c[1:] != c[:-1] for c in cols])])
         cols = [c[fresh] for c in cols]  # a row that came twice is one place
         n = len(cols[0])
-        share, shares = _runs(cols[:1])
         twin, twins = _runs(cols[:2])
-        first, last = share == 0, share == share[-1]
+        share, shares = (twin, twins) if whole else _runs(cols[:1])
         same = twins[twin] > 1
         rep = shares[share] > 1
+        first = (share == 0) & ~rep | (twin == 0) & ~same
+        last = (share == share[-1]) & ~rep | (twin == twin[-1]) & ~same
         # One of each hull stands for it where the run has open strings, or might have.
         open_run = np.bincount(share, weights=~same) > 0
-        lead = np.concatenate([[True], twin[1:] != twin[:-1]]) & same & (open_run[share] | first | last)
+        lead = np.concatenate([[True], twin[1:] != twin[:-1]]) & same & (open_run[share] | (share == 0) | (share == share[-1]))
         edge = np.zeros(n, bool)
         edge[[0, -1]] = True
         keep = rep | first | last | edge
@@ -134,11 +136,12 @@ def _bucket():
     return run
 
 
-def repeats(rows: DataFrame, name: str) -> DataFrame:
+def repeats(rows: DataFrame, name: str, whole: bool = False) -> DataFrame:
     """rows(k1, k2, doc_id, place, reach) -> those that share k1 with another
-    place, with ``same`` (k2 is shared too) and ``lead``."""
+    place, with ``same`` (k2 is shared too) and ``lead``; with ``whole`` only
+    those that share both."""
     dealt = rows.repartitionByRange("k1", "k2", "doc_id", "place")
-    got = cut(dealt.mapInArrow(_bucket(), BUCKET), name)
+    got = cut(dealt.mapInArrow(_bucket(whole), BUCKET), name)
     # First and last row of each bucket: two rows a bucket, whatever the data.
     edges = got.filter("edge").groupBy("part").agg(F.min(F.struct("k1", "k2")).alias("lo"), F.max(F.struct("k1", "k2")).alias("hi"))
     by = Window.orderBy("part")
@@ -151,7 +154,7 @@ def repeats(rows: DataFrame, name: str) -> DataFrame:
         .withColumn("same", F.col("same") | yes(F.col("first") & (F.col("prev") == here)) | yes(F.col("last") & (F.col("next") == here))) \
         .withColumn("lead", F.col("lead") | (F.col("same") & ~F.col("was"))).drop("was", "prev", "next")
     cols = ["k1", "k2", "doc_id", "place", "reach", "same", "lead"]
-    return got.filter("not first and not last").select(*cols).unionByName(side.filter("rep").select(*cols))
+    return got.filter("rep and not first and not last").select(*cols).unionByName(side.filter("same" if whole else "rep").select(*cols))
 
 
 def _covered(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -174,20 +177,20 @@ def without(raw: bytes, spans: list[tuple[int, int]]) -> bytes:
     return b"".join(kept)
 
 
-OPENED = ("kind int, doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary, body binary, spans array<long>, "
-          "k1 long, k2 long, place long")
-KINDS = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary(), pa.binary(), pa.list_(pa.int64()), pa.int64(), pa.int64(), pa.int64()]
-FINAL, ASIDE, STRING = 0, 1, 2
+OPENED = ("aside boolean, doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary, body binary, "
+          "spans array<long>, todo array<long>")
+KINDS = [pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int64())]
 
 
 def _final(doc: int, raw: bytes, spans: list[tuple[int, int]], texts: bool) -> dict:
     kept = without(raw, spans)
-    return {"kind": FINAL, "doc_id": doc, "n_bytes": len(raw), "n_removed": len(raw) - len(kept), "n_spans": len(spans),
+    return {"aside": False, "doc_id": doc, "n_bytes": len(raw), "n_removed": len(raw) - len(kept), "n_spans": len(spans),
             "kept_sha256": hashlib.sha256(kept).hexdigest(), "kept": kept if texts else None}
 
 
 def _open(width: int, texts: bool):
-    """Finish texts without open strings; others go aside with their strings."""
+    """Finish texts without open strings; others go aside with the places of
+    these."""
     schema = pa.schema([(c.split()[0], k) for c, k in zip(OPENED.split(", "), KINDS, strict=True)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -198,18 +201,11 @@ def _open(width: int, texts: bool):
                 raw, runs = text.as_py().encode(), runs or []
                 spans = _covered([(r["lo"], r["hi"] + width) for r in runs if r["same"]])
                 todo = [r for r in runs if r["open"]]
-                if not todo:
-                    out.append(_final(doc, raw, spans, texts))
+                if todo:
+                    out.append({"aside": True, "doc_id": doc, "body": raw, "spans": [x for s in spans for x in s],
+                                "todo": [x for r in todo for x in (r["lo"], r["hi"])]})
                 else:
-                    out.append({"kind": ASIDE, "doc_id": doc, "body": raw, "spans": [x for s in spans for x in s]})
-                    a = np.frombuffer(raw, np.uint8)
-                    at = np.unique(np.concatenate([np.arange(r["lo"], r["hi"] + 1) for r in todo]))
-                    h = span_hash(prefix_sums(a), at, at + width)
-                    n = len(at)
-                    blank = [pa.nulls(n, k) for k in KINDS[2:9]]
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(n, STRING, np.int32)), pa.array(np.full(n, doc, np.int64)), *blank,
-                                                      pa.array(_key(lead8(a, at), mix(h ^ U(0x5851F42D4C957F2D)))), pa.array(h.view(np.int64)),
-                                                      pa.array(at, pa.int64())], schema=schema)
+                    out.append(_final(doc, raw, spans, texts))
                 held += len(raw)
                 if held > 8 << 20:
                     yield pa.RecordBatch.from_pylist(out, schema)
@@ -220,10 +216,27 @@ def _open(width: int, texts: bool):
     return run
 
 
+def _strings(width: int):
+    """Keys of the open strings of texts that are aside."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for doc, text, todo in zip(b.column("doc_id").to_pylist(), b.column("body"), b.column("todo").to_pylist(), strict=True):
+                a = np.frombuffer(text.as_py(), np.uint8)
+                at = np.unique(np.concatenate([np.arange(lo, hi + 1) for lo, hi in zip(todo[::2], todo[1::2], strict=True)]))
+                h = span_hash(prefix_sums(a), at, at + width)
+                for k in range(0, len(at), 1 << 18):
+                    x = slice(k, k + (1 << 18))
+                    yield pa.RecordBatch.from_arrays([pa.array(v) for v in (
+                        lead8(a, at[x]).view(np.int64) ^ np.int64(-1 << 63), h[x].view(np.int64), np.full(len(at[x]), doc, np.int64),
+                        at[x].astype(np.int64), np.zeros(len(at[x]), np.int64))], names=["k1", "k2", "doc_id", "place", "reach"])
+
+    return run
+
+
 def _finish(width: int, texts: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"]
-        kinds = [KINDS[1], *KINDS[2:7]]
+        kinds = KINDS[1:7]
         for b in batches:
             rows = [_final(r["doc_id"], r["body"], _covered([*zip(r["spans"][::2], r["spans"][1::2], strict=True),
                                                             *((p, p + width) for p in r["places"] or [])]), texts) for r in b.to_pylist()]
@@ -255,11 +268,11 @@ def remove_repeats(docs: DataFrame, width: int = WIDTH, gram: int = GRAM, texts:
     runs = shared.groupBy("doc_id").agg(F.collect_list(run).alias("runs")).withColumnRenamed("doc_id", "of")
     opened = cut(docs.join(runs, F.col("doc_id") == F.col("of"), "left").select("doc_id", "text", "runs")
                  .mapInArrow(_open(width, texts), OPENED), "opened")
-    strings = opened.filter(F.col("kind") == STRING).select("k1", "k2", "doc_id", "place", F.lit(0).cast("long").alias("reach"))
-    found = repeats(strings, "strings").filter("same").groupBy(F.col("doc_id").alias("of")).agg(F.collect_set("place").alias("places"))
-    aside = opened.filter(F.col("kind") == ASIDE).select("doc_id", "body", "spans")
+    aside = opened.filter("aside").select("doc_id", "body", "spans", "todo")
+    found = repeats(aside.mapInArrow(_strings(width), keys), "strings", whole=True) \
+        .groupBy(F.col("doc_id").alias("of")).agg(F.collect_set("place").alias("places"))
     cols = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"]
     late = aside.join(found, F.col("doc_id") == F.col("of"), "left").select("doc_id", "body", "spans", "places") \
         .mapInArrow(_finish(width, texts), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
-    out = opened.filter(F.col("kind") == FINAL).select(*cols).unionByName(late)
+    out = opened.filter("not aside").select(*cols).unionByName(late)
     return (out if texts else out.drop("kept")).dropDuplicates(["doc_id"])
