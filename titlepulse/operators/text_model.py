@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from titlepulse.functions.labels import label_name
 from titlepulse.functions.text import ENGLISH_STOP_WORDS
+from titlepulse.session import scratch_path
 
 # Parameters of the original model stages and the columns of a saved model.
 VOCAB_SIZE = 262144
@@ -129,7 +130,13 @@ def sentiment_pipeline(text: str = "text", label: str = "label", vocab_size: int
 
 def fit(train: DataFrame, text: str = "text", label: str = "label", **kw) -> PipelineModel:
     staged = train.withColumn(text, F.coalesce(F.col(text), F.lit("")))
-    return sentiment_pipeline(text, label, **kw).fit(staged)
+    model = sentiment_pipeline(text, label, **kw).fit(staged)
+    # A fresh model holds its training summary and with it the session, which
+    # cannot be sent to tasks once the session has observed metrics; the saved
+    # model holds its coefficients alone.
+    path = scratch_path(train.sparkSession, "text_model")
+    model.write().overwrite().save(path)
+    return PipelineModel.load(path)
 
 
 def score(model: PipelineModel, df: DataFrame, text: str = "text",
