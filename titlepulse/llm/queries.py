@@ -6,7 +6,7 @@ import pyspark.sql.functions as F
 from pyspark.sql import DataFrame, SparkSession
 
 from titlepulse.llm import decontaminate, license_scan, warc_merkle
-from titlepulse.llm.common import read
+from titlepulse.llm.common import cut, read
 from titlepulse.llm.exact_dedup import exact_dedup
 from titlepulse.llm.license_scan import scan, templates
 from titlepulse.llm.ngram_join import jaccard_components
@@ -26,7 +26,7 @@ def op1_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_warc_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
-    records = warc_merkle.archive(read(spark, sf_dir, "pages"))
+    records = cut(warc_merkle.archive(read(spark, sf_dir, "pages")), "archive")
     return warc_merkle.audit(records, warc_merkle.damaged_copy(records)).select("file_id", "page_id", "off", "len", "sha256")
 
 

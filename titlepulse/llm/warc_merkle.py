@@ -109,7 +109,8 @@ def descend(a: DataFrame, b: DataFrame) -> DataFrame:
 
 def audit(records: DataFrame, replica: DataFrame) -> DataFrame:
     """Damaged records: file_id, page_id, off, len, sha256 (expected), found
-    (the replica's hash, null when it has no such record).
+    (the replica's hash, null when it has no such record). Both are read for
+    their trees and again for the damaged records, so pass written tables.
 
     Defined results: pages without id form a file of their own, null url and
     html are empty, equal pages are records of their own; two empty archives
