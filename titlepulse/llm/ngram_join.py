@@ -16,8 +16,8 @@ at a Jaccard similarity of 85 percent or more. What is done, in order:
 4. Keys whose classes are not yet one component are split into blocks, and
    each pair of blocks of a key goes to a task: an R-tree over the count
    vectors (64 groups) of one block is searched with the points of the other.
-   Pairs whose bound suffices, then also in 256 finer groups, are verified
-   on their whole sets.
+   Pairs whose bound suffices there, and then in 256 finer groups, leave the
+   task and are verified on their whole sets.
 5. Components of the verified links, carried back to all documents.
 
 Every set is computed from whole texts; comparisons are exact on 64-bit
@@ -68,8 +68,21 @@ def coarse(fine: np.ndarray) -> np.ndarray:
     return fine.reshape(-1, GROUPS, FINE // GROUPS).sum(2, dtype=np.int32)
 
 
-def _vectors(column, groups: int) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), "<i4").reshape(-1, groups)
+def packed(fine: np.ndarray) -> bytes:
+    """A count vector in one byte a group, in four where a count needs them."""
+    return (fine.astype(np.uint8) if fine.max() < 256 else fine).tobytes()
+
+
+def _vectors(column) -> np.ndarray:
+    raw = column.to_pylist()
+    if all(len(x) == FINE for x in raw):
+        return np.frombuffer(b"".join(raw), np.uint8).reshape(-1, FINE)
+    return np.stack([np.frombuffer(x, np.uint8 if len(x) == FINE else "<i4").astype(np.int32) for x in raw])
+
+
+def _possible(x: np.ndarray, y: np.ndarray, n: np.ndarray, m: np.ndarray, need: int) -> np.ndarray:
+    """Whether sums of minima let rows of x and y, of n and m shingles, link."""
+    return enough(np.minimum(x, y).sum(-1, dtype=np.int64), np.asarray(n).astype(np.int64), m, need=need)
 
 
 def _summaries(n: int):
@@ -98,7 +111,7 @@ def _keys(n: int, need: int, rarity):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             ids = b.column("doc_id").to_pylist()
-            h, cid, fine, vid, vn = [], [], [], [], []
+            h, cid, vec, vid, vn = [], [], [], [], []
             for k, s in _sets(b.column("text"), n):
                 if not len(s):
                     continue
@@ -106,20 +119,19 @@ def _keys(n: int, need: int, rarity):
                 first = s[order[: prefix_size(len(s), need)]]
                 h.append(first)
                 cid.append(np.full(len(first), ids[k]))
-                fine.append(count_vector(s))
+                vec.append(packed(count_vector(s)))
                 vid.append(ids[k])
                 vn.append(len(s))
             if not vid:
                 continue
             keys, owner = np.concatenate(h).view(np.int64), np.concatenate(cid)
             a, z = len(keys), len(vid)
-            vec = [x.astype("<i4").tobytes() for x in coarse(np.stack(fine))]
             yield pa.RecordBatch.from_arrays([
                 pa.array(np.concatenate([keys, np.zeros(z, np.int64)]), pa.int64()),
                 pa.array(np.concatenate([owner, vid]).astype(np.int64), pa.int64()),
                 pa.array(np.concatenate([np.zeros(a, np.int32), vn]).astype(np.int32), pa.int32()),
-                pa.array([None] * a + vec, pa.binary()), pa.array([None] * a + [x.tobytes() for x in fine], pa.binary())],
-                names=["key", "cid", "n", "vec", "fine"])
+                pa.array([None] * a + vec, pa.binary())],
+                names=["key", "cid", "n", "vec"])
 
     return run
 
@@ -143,8 +155,7 @@ def _bounded(need: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             if b.num_rows:
-                most = np.minimum(_vectors(b.column("fa"), FINE), _vectors(b.column("fb"), FINE)).sum(1, dtype=np.int64)
-                ok = enough(most, b.column("na").to_numpy().astype(np.int64), b.column("nb").to_numpy(), need=need)
+                ok = _possible(_vectors(b.column("va")), _vectors(b.column("vb")), b.column("na").to_numpy(), b.column("nb").to_numpy(), need)
                 yield b.select(["a", "b"]).filter(pa.array(ok))
 
     return run
@@ -156,8 +167,8 @@ def bounded(pairs: DataFrame, points: DataFrame, need: int) -> DataFrame:
     n = points.select("cid", "n")
     sized = (pairs.join(n.toDF("a", "na"), "a").join(n.toDF("b", "nb"), "b")
              .filter((F.least("na", "nb") * 100 >= F.greatest("na", "nb") * need)))
-    f = points.select("cid", "fine")
-    both = cut(sized, "sized").join(f.toDF("a", "fa"), "a").join(f.toDF("b", "fb"), "b").select("a", "b", "na", "nb", "fa", "fb")
+    v = points.select("cid", "vec")
+    both = cut(sized, "sized").join(v.toDF("a", "va"), "a").join(v.toDF("b", "vb"), "b").select("a", "b", "na", "nb", "va", "vb")
     return both.mapInArrow(_bounded(need), "a long, b long")
 
 
@@ -171,19 +182,21 @@ def verified(pairs: DataFrame, docs: DataFrame, n: int, need: int) -> DataFrame:
     return cut(both.mapInArrow(_verify(n, need), "a long, b long"), "verified")
 
 
-def _leaves(cid, comp, size, vec, run, need: int) -> tuple[list, list]:
+def _leaves(cid, comp, size, fine, run, need: int) -> tuple[list, list]:
     """Pairs within runs of at most one leaf, all runs of a batch together:
     rows are compared with those 1, 2, ... further on in their run."""
     a, b = [], []
+    vec = coarse(fine)
     for d in range(1, LEAF):
         x = np.flatnonzero((run[d:] == run[:-d]) & (comp[d:] != comp[:-d])) if d < len(run) else run[:0]
         if not len(x) and d < len(run) and not (run[d:] == run[:-d]).any():
             break
         for k in range(0, len(x), 1 << 14):
             i = x[k: k + (1 << 14)]
-            ok = enough(np.minimum(vec[i], vec[i + d]).sum(1, dtype=np.int64), size[i].astype(np.int64), size[i + d], need=need)
-            a.append(np.minimum(cid[i], cid[i + d])[ok])
-            b.append(np.maximum(cid[i], cid[i + d])[ok])
+            i = i[_possible(vec[i], vec[i + d], size[i], size[i + d], need)]
+            i = i[_possible(fine[i], fine[i + d], size[i], size[i + d], need)]
+            a.append(np.minimum(cid[i], cid[i + d]))
+            b.append(np.maximum(cid[i], cid[i + d]))
     return a, b
 
 
@@ -193,20 +206,22 @@ def _block_pairs(need: int):
         def survivors(t: pa.Table, cuts: np.ndarray) -> pa.RecordBatch:
             side = t.column("side").to_numpy()
             cid, comp, size = (t.column(c).to_numpy() for c in ("cid", "comp", "n"))
-            vec = _vectors(t.column("vec"), GROUPS)
+            fine = _vectors(t.column("vec"))
             lens = np.diff(cuts)
             plain = np.logical_and(lens <= LEAF, np.maximum.reduceat(side, cuts[:-1]) == 0)
             rows = np.flatnonzero(np.repeat(plain, lens))
             of = np.repeat(np.arange(len(lens)), lens)[rows]
-            a, b = _leaves(cid[rows], comp[rows], size[rows], vec[rows], of, need)
+            a, b = _leaves(cid[rows], comp[rows], size[rows], fine[rows], of, need)
             for x, y in zip(cuts[:-1][~plain], cuts[1:][~plain], strict=True):
                 left, right = x + np.flatnonzero(side[x:y] == 0), x + np.flatnonzero(side[x:y] == 1)
                 same = not len(right)
-                tree = RTree(vec[left], size[left])
+                vec = coarse(fine[x:y])
+                tree = RTree(vec[left - x], size[left])
                 for q in (left if same else right):
-                    hit = left[tree.query(vec[q], int(size[q]), need)]
+                    hit = left[tree.query(vec[q - x], int(size[q]), need)]
                     hit = hit[(comp[hit] != comp[q])]
                     hit = hit[cid[hit] < cid[q]] if same else hit
+                    hit = hit[_possible(fine[hit], fine[q], size[hit], size[q], need)]
                     a.append(np.minimum(cid[hit], cid[q]))
                     b.append(np.maximum(cid[hit], cid[q]))
             got = [np.concatenate(x).astype(np.int64) if x else np.empty(0, np.int64) for x in (a, b)]
@@ -266,9 +281,9 @@ def jaccard_components(docs: DataFrame, n: int = WORDS, need: int = NEED, block:
     copies = cut(known.filter("rep <> doc_id").select("doc_id"), "copies")
     texts = docs.filter("doc_id is not null")
     one = texts.join(copies, "doc_id", "left_anti")
-    keyed = cut(one.mapInArrow(_keys(n, need, spark.sparkContext.broadcast(rarity)), "key long, cid long, n int, vec binary, fine binary"), "keys")
+    keyed = cut(one.mapInArrow(_keys(n, need, spark.sparkContext.broadcast(rarity)), "key long, cid long, n int, vec binary"), "keys")
     entries = keyed.filter("vec is null").select("key", "cid")
-    points = cut(keyed.filter("vec is not null").select("cid", "n", "vec", "fine").dropDuplicates(["cid"]), "points")
+    points = cut(keyed.filter("vec is not null").select("cid", "n", "vec").dropDuplicates(["cid"]), "points")
     several = entries.groupBy("key").agg(F.min("cid").alias("lead"), F.max("cid").alias("last")).filter("lead < last").select("key", "lead")
     multi = cut(entries.join(cut(several, "shared-keys"), "key"), "multi")
     stars = (multi.filter("cid <> lead").groupBy("cid", "lead").agg(F.count(F.lit(1)).alias("c"))
@@ -279,7 +294,7 @@ def jaccard_components(docs: DataFrame, n: int = WORDS, need: int = NEED, block:
         .select("key", "cid", F.coalesce("comp", "cid").alias("comp"))
     open_keys = joined.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).filter("x < y").select("key")
     unresolved = cut(joined.join(cut(open_keys, "open-keys"), "key", "left_semi").distinct(), "unresolved")
-    more = verified(bounded(tree_pairs(unresolved, points, need, block), points, need), texts, n, need)
+    more = verified(tree_pairs(unresolved, points, need, block), texts, n, need)
     if not more.isEmpty():
         comp = components(links.unionByName(more))
     out = known.join(comp, F.col("rep") == F.col("node"), "left").select(
