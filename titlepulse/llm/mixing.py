@@ -99,15 +99,17 @@ def mixed(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], fit_r
         "doc_id", "text", F.array(*[(F.col("domain") == d).cast("double") for d in names]).alias("labels"))
     weights, bias, _ = fit(heads, len(names), fit_rows)
     p, n, rate = fresh(docs, "posterior"), fresh(docs, "n_tokens_mixed"), fresh(docs, "rate")
-    scored = with_scores(docs, weights, bias, p, n, posterior)
-    members = cut(scored.select(F.col(n).cast("double").alias("t"), F.col(p).alias("p")), "members")
+    members = cut(with_scores(docs, weights, bias, p, n, posterior)
+                  .select(F.col(n).cast("double").alias("t"), F.col(p).alias("p")), "members")
     residuals, step = fit_rates(members, target)
 
-    @F.pandas_udf("double")
-    def final(v: pd.Series) -> pd.Series:
-        return pd.Series(rates(np.stack(v.to_numpy()), residuals, step)[0]) if len(v) else pd.Series([], dtype=float)
+    def with_rate(z: np.ndarray) -> np.ndarray:
+        v = posterior(z)
+        return np.column_stack([v, rates(v, residuals, step)[0]])
 
-    return scored.withColumn(rate, final(F.col(p))), p, n, rate
+    # Posteriors and rate come from one pass: a task needs one Python worker, not two.
+    scored = with_scores(docs, weights, bias, p, n, with_rate)
+    return scored.withColumn(rate, F.element_at(p, -1)).withColumn(p, F.slice(p, 1, len(names))), p, n, rate
 
 
 def soft_mixing(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], fit_rows: int = FIT_ROWS) -> DataFrame:

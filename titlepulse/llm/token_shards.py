@@ -42,7 +42,8 @@ from titlepulse.session import scratch_path
 END_ID = 2
 SHARD_TOKENS = 1 << 18
 NO_ID = -(1 << 63)
-CACHED_PIECES = 1 << 20
+#: Pieces that a worker keeps; it starts anew when it holds so many.
+CACHED_PIECES = 1 << 17
 
 SHARD = ("part int, shard int, n_docs int, token_start long, n_tokens long, first_id long, last_id long, "
          "doc_ids binary, nth binary, null_ids binary, offsets binary, seed int, moves binary, marks binary, "
