@@ -23,11 +23,11 @@ def test_parse_edge_cases(spark):
 
 def test_pack_parse_round_trip(spark, sf):
     raw = X.raw_review(spark, sf)
-    packed = pack_envelope(raw, "review", ["review_id", "movie_id"], 100, group_cols=("review_ts",),
-                           bucket_chars=1)
-    stats = packed.groupBy("bucket", "review_ts").agg(
+    packed = pack_envelope(raw, "review", ["review_id", "movie_id"], 100, group_cols=("review_ts",))
+    stats = packed.groupBy("review_ts").agg(
         F.max("n_records").alias("mx"), F.sum(F.when(F.col("n_records") < 100, 1).otherwise(0)).alias("partial"))
     assert stats.filter((F.col("mx") > 100) | (F.col("partial") > 1)).count() == 0
+    assert stats.count() == raw.select("review_ts").distinct().count()
     back = parse_envelope(to_message_rows(packed, "review_ts").withColumn(
         "timestamp", F.timestamp_millis("ts_ms")), REVIEW, "timestamp", "review_ts")
     got = back.select("review_id", "movie_id", "star", "like", "dislike",
@@ -35,3 +35,19 @@ def test_pack_parse_round_trip(spark, sf):
     assert got.exceptAll(raw).count() == 0 and raw.exceptAll(got).count() == 0
     # every key is the hash of its value, so a resend of a message has the same key
     assert packed.filter(F.col("key") != F.sha2("value", 256)).count() == 0
+
+
+def test_pack_fills_messages_in_key_order(spark):
+    """Over several partitions, with repeated and null keys and a hot group:
+    every message but a group's last is full, and messages follow the keys."""
+    rows = [(None if i % 50 == 0 else f"k{i % 700:04d}", i, "hot" if i % 3 else f"g{i % 4}") for i in range(2000)]
+    df = spark.createDataFrame(rows, "k string, v int, g string").repartition(7)
+    for group in ((), ("g",)):
+        got = pack_envelope(df, "t", ["k", "v"], 30, group_cols=group).collect()
+        want: dict = {}
+        for k, v, g in sorted(rows, key=lambda r: (r[0] is not None, r[0] or "", r[1])):
+            want.setdefault(g if group else "", []).append((k, v))
+        chunks = {(g, n): x[30 * n: 30 * n + 30] for g, x in want.items() for n in range(-(-len(x) // 30))}
+        assert {(r["g"] if group else "", r.msg_no): (r.n_records, r.first_id, r.last_id) for r in got} == {
+            at: (len(c), c[0][0], c[-1][0]) for at, c in chunks.items()}
+    assert pack_envelope(df.limit(0), "t", ["k", "v"], 30).count() == 0

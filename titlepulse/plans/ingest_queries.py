@@ -35,18 +35,14 @@ def q_parse_envelope(spark, d):
 
 
 @register("pack_envelope", with_views(RAW_REVIEW) + """,
-b AS (SELECT *, substr(md5(concat_ws(chr(1), coalesce(review_id, ''), coalesce(movie_id, ''))), 1, 3)
-        AS bucket FROM raw_review),
-n AS (SELECT *, row_number() OVER (PARTITION BY bucket ORDER BY review_id NULLS FIRST,
-        movie_id NULLS FIRST, star NULLS FIRST, "like" NULLS FIRST, dislike NULLS FIRST,
-        review_ts NULLS FIRST) AS rn FROM b)
-SELECT 'review' AS topic, bucket, cast((rn - 1) // 100 AS bigint) AS msg_no,
+n AS (SELECT *, row_number() OVER (ORDER BY review_id NULLS FIRST, movie_id NULLS FIRST) AS rn FROM raw_review)
+SELECT 'review' AS topic, cast((rn - 1) // 100 AS bigint) AS msg_no,
   count(*) AS n_records, arg_min(review_id, rn) AS first_id, arg_max(review_id, rn) AS last_id
-FROM n GROUP BY bucket, (rn - 1) // 100""")
+FROM n GROUP BY (rn - 1) // 100""")
 def q_pack_envelope(spark, d):
     packed = pack_envelope(X.raw_review(spark, d), "review", ["review_id", "movie_id"],
                            MESSAGE_SIZES["review"])
-    return packed.select("topic", "bucket", "msg_no", "n_records", "first_id", "last_id")
+    return packed.select("topic", "msg_no", "n_records", "first_id", "last_id")
 
 
 def _tagged(spark, d):

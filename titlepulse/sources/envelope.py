@@ -4,20 +4,22 @@
 message time as the event time; ``pack_envelope`` builds messages of at most
 ``max_records`` records.
 
-Packing numbers records inside hash buckets of the record key (the first
-``bucket_chars`` hex digits of an md5), never over a whole topic: each bucket
-is a separate window partition, so no task sorts more than about
-1 / 16**bucket_chars of a topic, and every bucket ends with at most one
-partial message. A message holds at most ``max_records`` rows, so its
-``collect_list`` is bounded.
+Packing numbers the records of a topic one after the other in key order, as a
+producer sends them, so all messages but the last are full. No task sees a
+whole topic: records are range-partitioned and sorted by key, written once with
+their place in their partition, and partitions are numbered from the running
+sum of their sizes, which is one small row for each partition. A message holds at
+most ``max_records`` rows, so its ``collect_list`` is bounded.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from titlepulse.operators.partitioning import cut_lineage
+
 
 def parse_envelope(messages: DataFrame, schema: T.StructType, ts_col: str = "timestamp",
                    out_ts: str | None = None, value_col: str = "value") -> DataFrame:
@@ -32,35 +34,44 @@ def parse_envelope(messages: DataFrame, schema: T.StructType, ts_col: str = "tim
             .select("_r.*", out_ts))
 
 
-def bucket_of(key_cols: list[str], bucket_chars: int) -> Column:
-    """First hex digits of md5 over the key columns (null-safe, separator \\x01)."""
-    parts = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in key_cols]
-    return F.substring(F.md5(F.concat_ws("\u0001", *parts)), 1, bucket_chars)
+def numbered(records: DataFrame, key_cols: list[str], group_cols: tuple[str, ...] = ()) -> DataFrame:
+    """records and ``_rn``, their place (from 0) in key order among those with
+    the same ``group_cols``; ties by the hash of the whole record. The result
+    is read from a written table, so numbers that were given out stay."""
+    ties = F.xxhash64(*[c for c in records.columns if c not in group_cols])
+    order = [F.col(c).asc_nulls_first() for c in (*group_cols, *key_cols)]
+    dealt = records.withColumn("_tie", ties).repartitionByRange(*order, "_tie").sortWithinPartitions(*order, "_tie")
+    # The id counts the rows of a partition in their order; its upper bits are the partition.
+    placed = cut_lineage(dealt.drop("_tie").withColumn("_id", F.monotonically_increasing_id()), "packed-order")
+    part = F.shiftright("_id", 33).alias("_part")
+    sizes = placed.groupBy(*group_cols, part).agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    before = F.sum("_n").over(Window.partitionBy(*group_cols).orderBy("_part")) - F.col("_n")
+    starts = sizes.select(*[F.col(c).alias(f"_{c}") for c in group_cols], "_part", "_first", before.alias("_before"))
+    same = F.shiftright("_id", 33) == F.col("_part")
+    for c in group_cols:
+        same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
+    return placed.join(starts, same).select(*records.columns, (F.col("_id") - F.col("_first") + F.col("_before")).alias("_rn"))
 
 
 def pack_envelope(records: DataFrame, topic: str, key_cols: list[str], max_records: int,
-                  group_cols: tuple[str, ...] = (), bucket_chars: int = 3) -> DataFrame:
-    """Records -> messages (topic, bucket, msg_no, group cols, n_records, first_id, last_id, key, value).
+                  group_cols: tuple[str, ...] = ()) -> DataFrame:
+    """Records -> messages (topic, msg_no, group cols, n_records, first_id, last_id, key, value).
 
     ``group_cols`` (for example the message time) are kept out of the record
-    body; records share a message only when they share these values. Within a
-    bucket, records are numbered by the key columns, then by the remaining
-    columns so the numbering is a total order.
+    body; records share a message only when they share these values. All
+    messages of a group but its last hold ``max_records`` records.
     """
     group_cols = tuple(group_cols)
     rec_cols = [c for c in records.columns if c not in group_cols]
-    order = key_cols + [c for c in rec_cols if c not in key_cols]
-    w = Window.partitionBy(*group_cols, "bucket").orderBy(*[F.col(c).asc_nulls_first() for c in order])
-    numbered = (records.withColumn("bucket", bucket_of(key_cols, bucket_chars))
-                .withColumn("_rn", F.row_number().over(w))
-                .withColumn("msg_no", F.floor((F.col("_rn") - 1) / max_records).cast("bigint")))
-    msgs = (numbered.groupBy(*group_cols, "bucket", "msg_no")
+    placed = (numbered(records, key_cols, group_cols)
+              .withColumn("msg_no", F.floor(F.col("_rn") / max_records).cast("bigint")))
+    msgs = (placed.groupBy(*group_cols, "msg_no")
             .agg(F.array_sort(F.collect_list(F.struct(F.col("_rn"), F.struct(*rec_cols).alias("r"))))
                  .alias("_recs"), F.count(F.lit(1)).alias("n_records")))
     first_key = key_cols[0]
     value = F.to_json(F.transform("_recs", lambda x: x["r"]))
     return msgs.select(
-        F.lit(topic).alias("topic"), "bucket", "msg_no", *group_cols, "n_records",
+        F.lit(topic).alias("topic"), "msg_no", *group_cols, "n_records",
         F.col("_recs")[0]["r"][first_key].alias("first_id"),
         F.element_at("_recs", -1)["r"][first_key].alias("last_id"),
         F.sha2(value, 256).alias("key"), value.alias("value"))
