@@ -43,7 +43,7 @@ END_ID = 2
 SHARD_TOKENS = 1 << 18
 NO_ID = -(1 << 63)
 #: Pieces that a worker keeps; it starts anew when it holds so many.
-CACHED_PIECES = 1 << 17
+CACHED_PIECES = 1 << 20
 
 SHARD = ("part int, shard int, n_docs int, token_start long, n_tokens long, first_id long, last_id long, "
          "doc_ids binary, nth binary, null_ids binary, offsets binary, seed int, moves binary, marks binary, "
@@ -53,10 +53,11 @@ SHARD = ("part int, shard int, n_docs int, token_start long, n_tokens long, firs
 class _Pieces(dict):
     """piece (bytes without white space) -> its ids as bytes."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, most: int):
         from tokenizers import Tokenizer, pre_tokenizers
 
         super().__init__()
+        self.most = most
         self.tok = Tokenizer.from_file(path)
         self.model = self.tok.model
         self.to_chars = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
@@ -86,7 +87,7 @@ class _Pieces(dict):
             else:
                 chars = word
             got = self._ids([t.id for t in self.model.tokenize(chars)])
-            if len(self.cores) >= CACHED_PIECES:
+            if len(self.cores) >= self.most:
                 self.cores.clear()
             self.cores[word] = got
         return got
@@ -98,7 +99,7 @@ class _Pieces(dict):
             got = self._core(m[1].lower()) + (self._core(m[2]) if m[2] else b"")
         else:
             got = self._ids(self.tok.encode(text, add_special_tokens=False).ids)
-        if len(self) >= CACHED_PIECES:
+        if len(self) >= self.most:
             self.clear()
         self[piece] = got
         return got
@@ -109,13 +110,13 @@ PLAIN = re.compile(r"([a-zA-ZÀ-ÖØ-öø-ÿ]+)([.,;:!?|#$%&*()/+=_-]*)")
 
 
 @lru_cache(maxsize=2)
-def _pieces(path: str) -> _Pieces:
-    return _Pieces(path)
+def _pieces(path: str, most: int) -> _Pieces:
+    return _Pieces(path, most)
 
 
-def encoder(path: str, end_id: int | None = END_ID):
+def encoder(path: str, end_id: int | None = END_ID, cached: int = CACHED_PIECES):
     """Function from a text's UTF-8 bytes to its ids as little-endian bytes."""
-    pieces, end = _pieces(path), b"" if end_id is None else np.asarray([end_id], "<u4").tobytes()
+    pieces, end = _pieces(path, cached), b"" if end_id is None else np.asarray([end_id], "<u4").tobytes()
     get = pieces.__getitem__
     return lambda raw: b"".join(map(get, raw.split())) + end
 
@@ -146,11 +147,11 @@ def _arrow_schema() -> pa.Schema:
     return pa.schema([(c.split()[0], kinds[c.split()[1]]) for c in SHARD.split(", ")])
 
 
-def _writer(tokenizer: str, end_id: int, shard_tokens: int):
+def _writer(tokenizer: str, end_id: int, shard_tokens: int, cached: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        encode, schema = encoder(tokenizer_path(tokenizer), end_id), _arrow_schema()
+        encode, schema = encoder(tokenizer_path(tokenizer), end_id, cached), _arrow_schema()
         part = TaskContext.get().partitionId()
         ids: list = []
         nth: list = []
@@ -184,12 +185,12 @@ def _writer(tokenizer: str, end_id: int, shard_tokens: int):
 
 
 def write_shards(docs: DataFrame, path: str, tokenizer: str = "word_bpe_49k.json", end_id: int = END_ID,
-                 shard_tokens: int = SHARD_TOKENS) -> None:
+                 shard_tokens: int = SHARD_TOKENS, cached: int = CACHED_PIECES) -> None:
     """Encode ``docs`` (doc_id, text) and write the shards to ``path``."""
     ship(docs.sparkSession)
     rows = docs.select("doc_id", "text").repartitionByRange("doc_id") \
         .sortWithinPartitions("doc_id", F.xxhash64("text"), F.length("text"))
-    (rows.mapInArrow(_writer(tokenizer, end_id, shard_tokens), SHARD)
+    (rows.mapInArrow(_writer(tokenizer, end_id, shard_tokens, cached), SHARD)
      .write.option("compression", "zstd").option("parquet.block.size", 8 << 20).parquet(path))
 
 
@@ -263,8 +264,9 @@ def lookup(spark: SparkSession, path: str, doc_ids: list[int]) -> DataFrame:
 
 
 def token_shards(docs: DataFrame, tokenizer: str = "word_bpe_49k.json", end_id: int = END_ID,
-                 shard_tokens: int = SHARD_TOKENS) -> DataFrame:
+                 shard_tokens: int = SHARD_TOKENS, cached: int = CACHED_PIECES) -> DataFrame:
     """Write shards under the shared folder and read every document back.
+    ``cached`` pieces are kept by a worker: fewer need less memory, more time.
 
     Defined results: a null text is empty and has the end id alone; a null
     doc_id comes before all others; rows that repeat a doc_id are documents
@@ -273,5 +275,5 @@ def token_shards(docs: DataFrame, tokenizer: str = "word_bpe_49k.json", end_id:
     a shard of its own."""
     spark = docs.sparkSession
     path = scratch_path(spark, "llm-token-shards")
-    write_shards(docs, path, tokenizer, end_id, shard_tokens)
+    write_shards(docs, path, tokenizer, end_id, shard_tokens, cached)
     return read_digests(spark, path)
