@@ -296,6 +296,24 @@ def test_licences(spark, odd):
     assert rows(license_scan.scan(odd, own), "doc_id", "license") == [(4, "five"), (5, "five")]
 
 
+def test_licences_short_and_standard_texts(spark):
+    mit = ("Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), "
+           "to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, "
+           "sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following")
+    gpl = ("This program is free software: you can redistribute it and/or modify it under the terms of the GNU %sGeneral Public License as published by "
+           "the Free Software Foundation, either version %d of the License, or (at your option) any later version.")
+    texts = ["All rights reserved.", "a b\n(c) 2020 X. ALL RIGHTS\nreserved! all rights reserved", "all rights are reserved", "rights reserved all", mit,
+             gpl % ("", 3), gpl % ("", 2), gpl % ("Lesser ", 3), "All rights", None,
+             "Licensed under the Apache License, Version 2.0 (the \"License\");\n# you may not use this file except in compliance with the License.",
+             "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."]
+    got = rows(license_scan.scan(frame(spark, texts), license_scan.templates(spark)), "doc_id", "license", "first_word")
+    assert got == [(0, "all-rights-reserved", 0), (1, "all-rights-reserved", 5), (4, "MIT-permission", 0), (5, "GPL-3.0-notice", 13),
+                   (10, "Apache-2.0", 0), (10, "Apache-2.0-notice", 0), (11, "CC-BY-NC-4.0-notice", 0)]
+    own = license_scan.templates(spark, {"one": "public", "two": "all rights", "none": " - "})
+    assert rows(license_scan.scan(frame(spark, ["All rights", "Public", "public all rights", ""]), own), "doc_id", "license", "first_word", "containment") == [
+        (0, "two", 0, 1.0), (1, "one", 0, 1.0), (2, "one", 0, 1.0), (2, "two", 1, 1.0)]
+
+
 # ------------------------------------------------------------------ WARC audit
 
 def test_warc_audit(spark):

@@ -9,6 +9,9 @@ windows overlap so that every stretch lies whole in one of them. A template
 that was met is verified exactly: the share of its distinct shingles that the
 document holds must reach 0.8.
 
+A template of fewer than five words is one sequence, all its words: it is
+looked for whole, word by word, at every place of a text, without bands.
+
 Native: DataFrame functions alone. Bands can only meet where a window holds
 one of the templates' own shingles, so other windows are dropped before they
 are banded; no match is lost by that. Templates are a fixed, small table.
@@ -26,7 +29,9 @@ SHINGLE = 5
 WIDTH, STRIDE, STRETCH, BANDS = 8, 4, 4, 64
 CONTAINED = 0.8
 
-# Short public licence notices.
+# Public licence notices, one-line ones and the usual longer
+# ones. Where licences differ in a word of a notice, its stretch is chosen so
+# that the other licence's holds less than 0.8 of it.
 TEMPLATES = {
     "Apache-2.0": "Licensed under the Apache License, Version 2.0.",
     "MIT": "Released under the MIT License.",
@@ -35,23 +40,32 @@ TEMPLATES = {
     "CC-BY-4.0": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
     "BSD": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met",
     "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
-    "all-rights-reserved": "All rights reserved. No part of this publication may be reproduced without permission.",
+    "all-rights-reserved": "All rights reserved.",
+    "all-rights-reserved-notice": "All rights reserved. No part of this publication may be reproduced without permission.",
+    "Apache-2.0-notice": "Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in compliance with the License.",
+    "MIT-permission": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files "
+                      "(the Software), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, "
+                      "publish, distribute, sublicense, and/or sell copies of the Software",
+    "CC-BY-NC-4.0-notice": "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",
+    "GPL-3.0-notice": "under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License",
+    "BSD-disclaimer": "This software is provided by the copyright holders and contributors as is and any express or implied warranties, including, but not "
+                      "limited to, the implied warranties of merchantability and fitness for a particular purpose are disclaimed.",
 }
 
 
-def _with_shingles(df: DataFrame) -> DataFrame:
+def _with_shingles(df: DataFrame, size: int = SHINGLE) -> DataFrame:
     """df(..., text) with s, its shingles. Words and shingles each come out of
     an explode of one element: filters on them are not pushed below it, where
     the text would be split again for every shingle."""
     rest = [c for c in df.columns if c != "text"]
     return (df.select(*rest, F.explode(F.array(words(F.col("text")))).alias("w"))
-            .select(*rest, F.explode(F.array(shingles(F.col("w")))).alias("s")))
+            .select(*rest, F.explode(F.array(shingles(F.col("w"), size))).alias("s")))
 
 
-def shingles(w: Column) -> Column:
-    """Hashes of the 5-word shingles of a column of words, in order."""
-    return F.when(F.size(w) >= SHINGLE, F.transform(F.sequence(F.lit(1), F.size(w) - (SHINGLE - 1)),
-                                                    lambda i: F.xxhash64(F.slice(w, i, F.lit(SHINGLE))))).otherwise(F.array().cast("array<bigint>"))
+def shingles(w: Column, size: int = SHINGLE) -> Column:
+    """Hashes of the shingles of ``size`` words of a column of words, in order."""
+    return F.when(F.size(w) >= size, F.transform(F.sequence(F.lit(1), F.size(w) - (size - 1)),
+                                                 lambda i: F.xxhash64(F.slice(w, i, F.lit(size))))).otherwise(F.array().cast("array<bigint>"))
 
 
 def _starts(n: Column, step: int, width: int) -> Column:
@@ -67,23 +81,49 @@ def bands(window: Column) -> Column:
 
 
 def templates(spark: SparkSession, texts: dict[str, str] | None = None) -> DataFrame:
-    """(license, s): each template's shingles in order."""
+    """(license, size, s): the number of words of each template's shingles and
+    these in order; a template of fewer than five words is one shingle."""
     rows = list((TEMPLATES if texts is None else texts).items())
-    return _with_shingles(spark.createDataFrame(rows, "license string, text string")).filter(F.size("s") > 0)
+    w = spark.createDataFrame(rows, "license string, text string").select("license", words(F.col("text")).alias("w")).filter(F.size("w") > 0)
+    return w.select("license", F.least(F.lit(SHINGLE), F.size("w")).alias("size"),
+                    F.when(F.size("w") < SHINGLE, F.array(F.xxhash64("w"))).otherwise(shingles(F.col("w"))).alias("s"))
+
+
+def _whole(docs: DataFrame, licences: DataFrame, size: int, hashes: list[int]) -> DataFrame:
+    """Where the templates of ``size`` words, fewer than five, are held."""
+    known = F.array(*[F.lit(h) for h in hashes]).cast("array<bigint>")
+    held = _with_shingles(docs.select("doc_id", "text"), size).filter(F.arrays_overlap("s", known))
+    at = held.select("doc_id", F.posexplode("s").alias("pos", "shingle")).filter(F.col("shingle").isin(hashes))
+    own = licences.filter(F.col("size") == size).select("license", F.col("s")[0].alias("shingle"))
+    return (at.join(own, "shingle").groupBy("doc_id", "license").agg(F.min("pos").cast("long").alias("first_word"))
+            .select("doc_id", "license", "first_word", F.lit(1).cast("long").alias("n_found"), F.lit(1).cast("long").alias("n_shingles"),
+                    F.lit(1.0).alias("containment")))
 
 
 def scan(docs: DataFrame, licences: DataFrame, contained: float = CONTAINED) -> DataFrame:
     """Per document and licence found: doc_id, license, first_word, n_found,
     n_shingles, containment.
 
-    Defined results: null and empty texts and texts of fewer than five words
-    hold no licence; templates of fewer than five words are not looked for; of
+    Defined results: null and empty texts hold no licence; a template of fewer
+    than five words counts as one shingle, and texts of fewer than five words
+    hold such templates only; templates without words are not looked for; of
     repeated rows with one doc_id the union of their shingles is searched and
     first_word is the smallest place; rows without doc_id are one such
     document; an empty table gives no rows; further columns are not read."""
     licences = cut(licences, "licences")
     # As many shingles as the templates have, whatever the documents are.
-    known = F.array(*[F.lit(r[0]) for r in licences.select(F.explode("s")).distinct().collect()]).cast("array<bigint>")
+    hashes: dict[int, list[int]] = {SHINGLE: []}
+    for r in licences.select("size", F.explode("s").alias("x")).distinct().collect():
+        hashes.setdefault(r["size"], []).append(r["x"])
+    out = _contained(docs, licences.filter(F.col("size") == SHINGLE).select("license", "s"), hashes.pop(SHINGLE), contained)
+    for size in sorted(hashes):
+        out = out.unionByName(_whole(docs, licences, size, hashes[size]))
+    return out
+
+
+def _contained(docs: DataFrame, licences: DataFrame, hashes: list[int], contained: float) -> DataFrame:
+    """``scan`` for templates of five words and more."""
+    known = F.array(*[F.lit(h) for h in hashes]).cast("array<bigint>")
     stretch = licences.select("license", F.explode(_starts(F.size("s"), STRETCH, STRETCH)).alias("i"), "s") \
         .select("license", F.explode(bands(F.slice("s", F.col("i") + 1, F.lit(STRETCH)))).alias("b"))
     marks = cut(stretch.select("license", "b.band", "b.low").distinct(), "licence-bands")
