@@ -376,6 +376,33 @@ def test_site_quality_odd(spark, odd):
     assert site_quality(odd.filter("false"), some).collect() == []
 
 
+def test_site_quality_without_labels_keeps_all(spark, sites, odd):
+    docs, labels = sites
+    no_match = labels.selectExpr("doc_id + 100000 as doc_id", "quality", "toxic")
+    for some in (labels.filter("false"), no_match, labels.selectExpr("doc_id", "cast(null as int) as quality", "cast(null as int) as toxic")):
+        got = site_quality(docs, some).collect()
+        assert len(got) == 600 and all(r.keep and r.quality == r.toxic == 0.5 for r in got)
+    assert keep_good(odd, labels.filter("false")).count() == odd.count()
+
+
+@pytest.mark.parametrize("head", ["quality", "toxic"])
+def test_site_quality_with_labels_of_one_kind(sites, head):
+    docs, labels = sites
+    truth = {r.doc_id: getattr(r, head) for r in labels.collect()}
+    other = ({"quality", "toxic"} - {head}).pop()
+    got = {r.doc_id: r for r in site_quality(docs, labels.filter("doc_id < 300").selectExpr("doc_id", head, f"cast(null as int) as {other}")).collect()}
+    assert all(getattr(r, other) == 0.5 for r in got.values()) and all(r.keep == (r.quality >= 0.5 if head == "quality" else r.toxic < 0.5) for r in got.values())
+    assert sum(got[i].keep == (truth[i] == (head == "quality")) for i in range(300, 600)) >= 290
+
+
+def test_site_quality_with_labels_on_different_rows(sites):
+    docs, labels = sites
+    split = labels.filter("doc_id < 400").selectExpr("doc_id", "if(doc_id % 2 = 0, quality, null) as quality", "if(doc_id % 2 = 1, toxic, null) as toxic")
+    truth = {r.doc_id: r for r in labels.collect()}
+    got = {r.doc_id: r for r in site_quality(docs, split, fit_rows=200).collect()}
+    assert sum(got[i].keep == (truth[i].quality == 1 and truth[i].toxic == 0) for i in range(400, 600)) >= 185
+
+
 def test_mixing_meets_its_targets(spark):
     rnd = random.Random(5)
     docs = [(i, " ".join(rnd.choice(["aa", "bb", "cc"] if i % 4 else ["xx", "yy", "zz"]) for _ in range(rnd.randrange(5, 60))), None, None, 0)

@@ -97,30 +97,33 @@ def _fit_head(rows: np.ndarray, cols: np.ndarray, n: int, d: int, y: np.ndarray,
     return w * scale, b
 
 
-def fit(labelled: DataFrame, heads: int, rows: int = FIT_ROWS, l1: float = 0.4, steps: int = 150) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """labelled(doc_id, text, labels array<double> of ``heads`` 0/1 values) ->
-    (weights heads x DIM, intercepts, share of ones). Without rows all is 0."""
+def fit(labelled: DataFrame, heads: int, rows: int = FIT_ROWS, l1: float = 0.4, steps: int = 150, fetch: int | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """labelled(doc_id, text, labels array<double> of ``heads`` 0/1 values or
+    nulls) -> (weights heads x DIM, intercepts, share of ones). A head is
+    fitted on the first ``rows`` rows that have its label, of ``fetch`` (as
+    many, if not given) in all. Without such rows its weights and intercept
+    are 0 and its share is NaN."""
     spark = labelled.sparkSession
     ship(spark)
     picked = (labelled.select("text", "labels", F.xxhash64("doc_id").alias("h")).orderBy("h", F.xxhash64("text"))
-              .limit(rows).select("text", "labels"))
+              .limit(fetch or rows).select("text", "labels"))
     got = picked.mapInArrow(_sample_features, "labels array<double>, f array<int>").collect()
-    weights, bias, share = np.zeros((heads, DIM), np.float32), np.zeros(heads), np.full(heads, 0.5)
-    if not got:
-        return weights, bias, share
-    y = np.asarray([r.labels for r in got])
-    lens = np.asarray([len(r.f) for r in got])
-    r, c = np.repeat(np.arange(len(got)), lens), np.concatenate([np.asarray(x.f) for x in got])
-    often = np.bincount(c, minlength=DIM) >= min(LEAST_DF, len(got))
-    keep = often[c]
-    used, cols = np.unique(c[keep], return_inverse=True)
+    weights, bias, share = np.zeros((heads, DIM), np.float32), np.zeros(heads), np.full(heads, np.nan)
     for k in range(heads):
-        share[k] = (y[:, k].sum() + 1) / (len(got) + 2)
-        if y[:, k].min() != y[:, k].max():
-            w, bias[k] = _fit_head(r[keep], cols, len(got), len(used), y[:, k], l1, steps)
-            weights[k, used] = w
-        else:
-            bias[k] = 8.0 if y[0, k] else -8.0
+        own = [x for x in got if x.labels[k] is not None][:rows]
+        if not own:
+            continue
+        y = np.asarray([x.labels[k] for x in own])
+        share[k] = (y.sum() + 1) / (len(own) + 2)
+        if y.min() == y.max():
+            bias[k] = 8.0 if y[0] else -8.0
+            continue
+        r, c = np.repeat(np.arange(len(own)), [len(x.f) for x in own]), np.concatenate([np.asarray(x.f) for x in own])
+        often = np.bincount(c, minlength=DIM) >= min(LEAST_DF, len(own))
+        keep = often[c]
+        used, cols = np.unique(c[keep], return_inverse=True)
+        w, bias[k] = _fit_head(r[keep], cols, len(own), len(used), y, l1, steps)
+        weights[k, used] = w
     return weights, bias, share
 
 

@@ -28,10 +28,10 @@ STRENGTH = (2.0, 1e4)
 
 
 def labelled_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """(doc_id, text, labels) of the documents with both labels."""
-    both = labels.filter("quality is not null and toxic is not null").select(
+    """(doc_id, text, labels) of the documents with a label; the other may be null."""
+    some = labels.filter("quality is not null or toxic is not null").select(
         F.col("doc_id").alias("labelled"), F.array(F.col("quality").cast("double"), F.col("toxic").cast("double")).alias("labels"))
-    return docs.select("doc_id", "text").join(both, F.col("doc_id") == F.col("labelled")).select("doc_id", "text", "labels")
+    return docs.select("doc_id", "text").join(some, F.col("doc_id") == F.col("labelled")).select("doc_id", "text", "labels")
 
 
 def sample_ids(labels: DataFrame, rows: int) -> DataFrame:
@@ -40,6 +40,15 @@ def sample_ids(labels: DataFrame, rows: int) -> DataFrame:
                .orderBy(F.xxhash64("doc_id"), "quality", "toxic").limit(rows), "label-sample")
 
 
+def sample_labels(labels: DataFrame, rows: int) -> DataFrame:
+    """For each head at least the ``rows`` ids with its label that have the
+    smallest hashes: as many rows at most with both labels and with each one."""
+    own = labels.select("doc_id", "quality", "toxic").filter("doc_id is not null")
+    kinds = [own.filter(f"quality is {q} and toxic is {t}").orderBy(F.xxhash64("doc_id"), "quality", "toxic").limit(rows)
+             for q, t in (("not null", "not null"), ("not null", "null"), ("null", "not null"))]
+    return cut(kinds[0].unionByName(kinds[1]).unionByName(kinds[2]), "label-sample")
+
+
 def _logit(p: Column) -> Column:
     p = F.least(F.lit(1 - 1e-6), F.greatest(F.lit(1e-6), p))
     return F.log(p / (1 - p))
@@ -56,8 +65,10 @@ def _strength(mean: float, spread: float | None, noise: float | None) -> float:
 def judged(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> DataFrame:
     """docs and a struct column ``judgement`` (quality, toxic: posteriors;
     host and path shares; keep). See ``site_quality`` for odd input."""
-    train = labelled_rows(docs, sample_ids(labels, fit_rows))
-    weights, bias, share = fit(train, len(HEADS), fit_rows)
+    train = labelled_rows(docs, sample_labels(labels, fit_rows))
+    weights, bias, share = fit(train, len(HEADS), fit_rows, fetch=3 * fit_rows)
+    fitted = ~np.isnan(share)
+    share = np.where(fitted, share, 0.5)
     z, n = fresh(docs, "log_odds"), fresh(docs, "n_words_scored")
     scored = with_scores(docs, weights, bias, z, n)
     host, lang = F.coalesce(F.col("source"), F.lit("")), F.coalesce(F.col("lang"), F.lit(""))
@@ -93,7 +104,8 @@ def judged(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Data
         evidence = F.col(z)[k] - float(np.log(share[k] / (1 - share[k])))
         post.append(1 / (1 + F.exp(-(_logit(path) + evidence))))
         parts += [s[f"host{k}"].alias(f"host_{HEADS[k]}"), path.alias(f"path_{HEADS[k]}")]
-    keep = (post[0] >= 0.5) & (post[1] < 0.5)
+    # A head without labels rejects nothing.
+    keep = (post[0] >= 0.5 if fitted[0] else F.lit(True)) & (post[1] < 0.5 if fitted[1] else F.lit(True))
     return out.select(*[F.col(c) for c in docs.columns],
                       F.struct(post[0].alias("quality"), post[1].alias("toxic"), *parts, keep.alias("keep")).alias(fresh(docs, "judgement")))
 
@@ -102,11 +114,12 @@ def site_quality(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -
     """Per row of ``docs``: doc_id, quality, toxic, host and path shares, keep.
 
     Defined results: a null text is empty and is judged by its shape and its
-    site; null source or lang count as the site ''; labels without id or with
-    a null label are not used, repeated ones count as often as they come;
-    repeated documents are judged each; without labels the evidence is 0 and
-    posteriors are 0.5, so rows are kept; an empty table gives no rows;
-    further columns are not read."""
+    site; null source or lang count as the site ''; labels without id are not
+    used, of a row with one null label the other is used, repeated ones count
+    as often as they come; repeated documents are judged each; a head without
+    labels of these documents has evidence 0 and posteriors 0.5 and rejects
+    nothing, so without any labels all rows are kept; an empty table gives no
+    rows; further columns are not read."""
     j = F.col("judgement")
     return judged(docs.select("doc_id", "text", "lang", "source"), labels, fit_rows).select(
         "doc_id", *[j[c].alias(c) for c in ("quality", "toxic", "host_quality", "host_toxic", "path_quality", "path_toxic", "keep")])
