@@ -422,6 +422,27 @@ def test_mixing_meets_its_targets(spark):
     assert copies.columns == df.columns and abs(copies.count() - r.sum()) < 40
 
 
+@pytest.mark.parametrize("shares", [(0.3, 0.697, 0.001, 0.002), (0.3, 0.6996, 0.0002, 0.0002), (0.01, 0.97, 0.01, 0.01), (0.25, 0.25, 0.25, 0.25)])
+def test_mixing_meets_targets_of_skewed_domains(spark, shares):
+    p = [[0.99 if i == d else 0.01 / 3 for i in range(4)] for d in range(4)]
+    members = spark.createDataFrame([(float(s * 1e6), x) for s, x in zip(shares, p)], "t double, p array<double>")
+    target = np.asarray([0.2, 0.5, 0.15, 0.15])
+    m, off = mixing.fit_rates(members, target)
+    r = np.maximum(0, 1 - np.asarray(p) @ m)
+    assert off <= 5e-5 and np.abs((np.asarray(shares) * r) @ np.asarray(p) - target).max() <= 5.1e-5
+
+
+def test_mixing_reports_targets_that_cannot_be_met(spark):
+    p, t = np.asarray([[0.9, 0.1], [0.6, 0.4]]), np.asarray([0.5, 0.5])
+    members = spark.createDataFrame([(float(a), [float(y) for y in x]) for a, x in zip(t, p)], "t double, p array<double>")
+    with pytest.warns(UserWarning, match="miss a target share"):
+        m, off = mixing.fit_rates(members, np.asarray([0.1, 0.9]))
+    # The nearest point of the cone of (0.9, 0.1) and (0.6, 0.4) to (0.1, 0.9) lies on the latter.
+    best = np.asarray([0.6, 0.4]) * (np.asarray([0.6, 0.4]) @ [0.1, 0.9]) / 0.52
+    r = np.maximum(0, 1 - p @ m)
+    assert np.abs((t * r) @ p - best).max() < 1e-3 and off == pytest.approx(np.abs(best - [0.1, 0.9]).max(), abs=1e-3)
+
+
 def test_mixing_odd(spark, odd):
     labelled = odd.selectExpr("doc_id", "text", "cast(null as string) as domain")
     got = mixing.soft_mixing(odd, labelled, {"a": 1.0, "b": 1.0}).collect()

@@ -3,16 +3,19 @@
 A classifier fitted on labelled rows gives every document a posterior over
 domains. Document rates r >= 0 are fitted so that the expected domain token
 totals, the sum of r * tokens * posterior, meet the target shares of all
-tokens: nonnegative least squares by projected gradient steps with momentum,
-in the metric of the documents' tokens, from r = 1. One step needs one
-distributed sum of as many numbers as there are domains. In that metric a
-rate depends on a document through its posterior alone, so no state is kept
-per document: it is replayed from the short list of past residuals.
+tokens: nonnegative least squares in the metric of the documents' tokens, of
+all solutions the one nearest to r = 1. Those rates are max(0, 1 - p . m) for
+one number m per domain, so no state is kept per document: m is found by
+Newton steps on the dual problem, which is convex and piecewise quadratic.
+One step needs one distributed sum of the totals and of the k x k moments of
+the documents with a positive rate, and steps go on until the targets are met
+within ``TOLERANCE`` or least squares come no nearer to them.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import warnings
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -22,8 +25,9 @@ from pyspark.sql import DataFrame
 from titlepulse.llm.common import cut, ship
 from titlepulse.llm.linear import FIT_ROWS, fit, fresh, with_scores
 
-STEPS = 60
 TOLERANCE = 1e-4
+#: Weights of the distance to r = 1 against the residual, tried in turn.
+WEIGHTS = (1e-6, 1e-8, 1e-10, 1e-12)
 MAX_DOMAINS = 64
 
 
@@ -33,57 +37,90 @@ def posterior(z: np.ndarray) -> np.ndarray:
     return p / p.sum(1, keepdims=True)
 
 
-def rates(p: np.ndarray, residuals: list[np.ndarray], step: float) -> tuple[np.ndarray, np.ndarray]:
-    """(rates, point of the next gradient) after the steps that ``residuals``
-    (sums less targets at each point) led to."""
-    r = y = np.ones(len(p))
-    t = 1.0
-    for res in residuals:
-        new = np.maximum(0.0, y - step * (p @ res))
-        t2 = (1 + (1 + 4 * t * t) ** 0.5) / 2
-        y, r, t = np.maximum(0.0, new + (t - 1) / t2 * (new - r)), new, t2
-    return r, y
+def rates(p: np.ndarray, m: np.ndarray) -> np.ndarray:
+    """Rates of documents with posteriors ``p``."""
+    return np.maximum(0.0, 1 - p @ m)
 
 
-def fit_rates(members: DataFrame, target: np.ndarray, steps: int = STEPS, tolerance: float = TOLERANCE) -> tuple[list[np.ndarray], float]:
-    """members(t, p) -> the residuals that give the rates, and the step."""
+def moments(p: np.ndarray, t: np.ndarray, m: np.ndarray) -> np.ndarray:
+    """Half the sum of t r^2, the k sums of t r p, and the k x k sums of
+    t p p' over positive rates, one after the other."""
+    r = rates(p, m)
+    on = p[r > 0]
+    return np.concatenate([[0.5 * (t * r * r).sum()], (t * r) @ p, ((on * t[r > 0][:, None]).T @ on).ravel()])
+
+
+def solve(sums: Callable[[list[np.ndarray]], np.ndarray], target: np.ndarray, tolerance: float = TOLERANCE) -> tuple[np.ndarray, float]:
+    """sums(points) -> ``moments`` at each, summed over all documents, whose
+    tokens sum to 1. Returns m and the largest difference from ``target``.
+
+    For a weight e the rates that minimize e * sum of t (r - 1)^2 + |residual|^2
+    belong to the m that minimizes a convex function with the gradient
+    target + e m - sums. A smaller weight is tried as long as the targets are
+    not met and the last one came nearer by more than the tolerance."""
+    k = len(target)
+    near = tolerance * max(1e-9, target.max())
+
+    def at(x: np.ndarray, got: np.ndarray, e: float) -> tuple[float, np.ndarray, np.ndarray]:
+        return got[0] + target @ x + e / 2 * x @ x, target + e * x - got[1:1 + k], got[1 + k:].reshape(k, k) + e * np.eye(k)
+
+    m = np.zeros(k)
+    got = sums([m])[0]
+    last = np.inf
+    for e in WEIGHTS:
+        while True:
+            off = np.abs(got[1:1 + k] - target).max()
+            value, grad, hess = at(m, got, e)
+            if off <= near or np.abs(grad).max() <= near / 10:
+                break
+            step = -np.linalg.solve(hess, grad)
+            for sizes in ([1.0], [0.5 ** i for i in range(1, 9)], [0.5 ** i for i in range(9, 41, 2)]):
+                points = [m + x * step for x in sizes]
+                there = sums(points)
+                values = [at(x, g, e)[0] for x, g in zip(points, there)]
+                best = int(np.argmin(values))
+                if values[best] <= value + 1e-4 * sizes[best] * (grad @ step):
+                    m, got = points[best], there[best]
+                    break
+            else:
+                break  # no decrease in floating point: stationary
+        if off <= near or last - off <= near:
+            break
+        last = off
+    return m, float(off)
+
+
+def fit_rates(members: DataFrame, target: np.ndarray, tolerance: float = TOLERANCE) -> tuple[np.ndarray, float]:
+    """members(t, p) -> the m of their rates and the largest difference of a
+    domain's share from its target, which is warned of if not within
+    ``tolerance`` of the largest target."""
     ship(members.sparkSession)
     k = len(target)
     total = members.agg(F.sum("t").alias("t")).first()["t"] or 0
-    residuals: list[np.ndarray] = []
     if not total:
-        return residuals, 1.0
+        return np.zeros(k), 0.0
+
+    def sums(points: list[np.ndarray]) -> np.ndarray:
+        width = 1 + k + k * k
 
-    def sums(of: list[np.ndarray], step: float) -> np.ndarray:
         def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            s = np.zeros((2, k))
+            s = np.zeros((len(points), width))
             for f in frames:
                 if len(f):
                     p, t = np.stack(f["p"].to_numpy()), f["t"].to_numpy() / total
-                    r, y = rates(p, of, step)
-                    s += np.stack([(t * r) @ p, (t * y) @ p])
-            yield pd.DataFrame({"d": np.tile(np.arange(k), 2), "at": np.repeat([0, 1], k), "s": s.ravel()})
+                    s += np.stack([moments(p, t, m) for m in points])
+            yield pd.DataFrame({"at": np.repeat(np.arange(len(points)), width), "d": np.tile(np.arange(width), len(points)), "s": s.ravel()})
 
-        got = members.mapInPandas(run, "d int, at int, s double").groupBy("at", "d").agg(F.sum("s").alias("s")).collect()
-        out = np.zeros((2, k))
+        got = members.mapInPandas(run, "at int, d int, s double").groupBy("at", "d").agg(F.sum("s").alias("s")).collect()
+        out = np.zeros((len(points), width))
         for g in got:
             out[g["at"], g["d"]] = g["s"]
         return out
 
-    # The largest eigenvalue of the weighted moments of p bounds the step.
-    pairs = [F.sum(F.col("t") / total * F.col("p")[i] * F.col("p")[j]).alias(f"m{i}_{j}") for i in range(k) for j in range(i, k)]
-    m = members.agg(*pairs).first()
-    gram = np.zeros((k, k))
-    for i in range(k):
-        for j in range(i, k):
-            gram[i, j] = gram[j, i] = m[f"m{i}_{j}"] or 0.0
-    step = 1 / max(1e-9, float(np.linalg.eigvalsh(gram)[-1]))
-    for _ in range(steps):
-        at = sums(residuals, step)
-        if np.abs(at[0] - target).max() <= tolerance * max(1e-9, target.max()):
-            break
-        residuals.append(at[1] - target)
-    return residuals, step
+    m, off = solve(sums, target, tolerance)
+    if off > tolerance * max(1e-9, target.max()):
+        warnings.warn(f"the fitted rates miss a target share by {off:.2g}, the least that least squares reached", stacklevel=2)
+    return m, off
 
 
 def mixed(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], fit_rows: int = FIT_ROWS) -> tuple[DataFrame, str, str, str]:
@@ -101,11 +138,11 @@ def mixed(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], fit_r
     p, n, rate = fresh(docs, "posterior"), fresh(docs, "n_tokens_mixed"), fresh(docs, "rate")
     members = cut(with_scores(docs, weights, bias, p, n, posterior)
                   .select(F.col(n).cast("double").alias("t"), F.col(p).alias("p")), "members")
-    residuals, step = fit_rates(members, target)
+    m, _ = fit_rates(members, target)
 
     def with_rate(z: np.ndarray) -> np.ndarray:
         v = posterior(z)
-        return np.column_stack([v, rates(v, residuals, step)[0]])
+        return np.column_stack([v, rates(v, m)])
 
     # Posteriors and rate come from one pass: a task needs one Python worker, not two.
     scored = with_scores(docs, weights, bias, p, n, with_rate)
@@ -119,7 +156,8 @@ def soft_mixing(docs: DataFrame, labelled: DataFrame, targets: dict[str, float],
     and gets the rate of its posterior; repeated rows are rows of their own;
     labelled rows without a domain in ``targets`` are not used; without any,
     posteriors are equal and rates 1 unless the targets are unequal; targets
-    that no rates can meet are met as nearly as least squares allow; an empty
+    that no rates can meet are met as nearly as least squares allow, with a
+    warning that names the difference; an empty
     table gives no rows; further columns are not read."""
     out, p, n, rate = mixed(docs.select("doc_id", "text"), labelled, targets, fit_rows)
     return out.select("doc_id", F.col(n).alias("n_tokens"),
