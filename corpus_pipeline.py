@@ -24,8 +24,9 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of linked documents the one with the smallest id stays."""
-    return one_of_each(docs)
+    """Of documents that link at 80 percent of their 5-word shingles the one
+    with the smallest id stays."""
+    return one_of_each(docs, n=5, need=80)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
