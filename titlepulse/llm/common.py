@@ -58,3 +58,21 @@ def one_text_per_id(docs: DataFrame) -> DataFrame:
                 .filter("c > 1 and doc_id is not null").select(F.col("doc_id").alias("again"), "m"), "again")
     return (t.join(again, t["doc_id"] == again["again"], "left")
             .filter(F.col("m").isNull() | (F.col("m") == mark)).select("doc_id", "text"))
+
+
+def rowed(docs: DataFrame) -> DataFrame:
+    """(odd, row, doc_id, text): every row of docs under a key of its own. A
+    doc_id that stands once is its row's key; rows without doc_id and rows
+    that share one are odd, are numbered, and are written with their numbers,
+    so that the key stays when a task is run again. Null texts become empty."""
+    t = docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text"))
+    again = cut(t.groupBy("doc_id").agg(F.count(F.lit(1)).alias("c")).filter("c > 1 or doc_id is null")
+                .select(F.col("doc_id").alias("again")), "again")
+    plain = F.lit(False).alias("odd"), F.col("doc_id").alias("row"), "doc_id", "text"
+    if again.isEmpty():
+        return t.select(*plain)
+    known = again.filter("again is not null")
+    odd = t.filter("doc_id is null").unionByName(t.join(known, t["doc_id"] == known["again"], "left_semi"))
+    odd = cut(odd.withColumn("row", F.monotonically_increasing_id()), "odd-rows")
+    return (t.filter("doc_id is not null").join(known, t["doc_id"] == known["again"], "left_anti").select(*plain)
+            .unionByName(odd.select(F.lit(True).alias("odd"), "row", "doc_id", "text")))
