@@ -5,7 +5,7 @@ from __future__ import annotations
 import pyspark.sql.functions as F
 from pyspark.sql import DataFrame, SparkSession
 
-from titlepulse.llm import decontaminate, fim, license_scan, seed_extend, warc_merkle
+from titlepulse.llm import decontaminate, fim, license_scan, seed_extend, warc_merkle, zfast_trie
 from titlepulse.llm.common import cut, read
 from titlepulse.llm.exact_dedup import exact_dedup
 from titlepulse.llm.license_scan import scan, templates
@@ -78,6 +78,10 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.decontaminate(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
+def op11_zfast_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return zfast_trie.conversation_trie(read(spark, sf_dir, "conversations"))
+
+
 def op12_seed_extend(spark: SparkSession, sf_dir: str) -> DataFrame:
     return seed_extend.remove_repeated_words(read(spark, sf_dir, "documents"))
 
@@ -87,7 +91,7 @@ def op13_block_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_token_shards, op2_warc_merkle, op3_ngram_join, op4_url_rules, op5_soft_mixing, op6_suffix_dedup, op7_block_naming,
-                                   op8_license_scan, op9_site_quality, op10_decontamination, op12_seed_extend, op13_block_rotation)}
+                                   op8_license_scan, op9_site_quality, op10_decontamination, op11_zfast_trie, op12_seed_extend, op13_block_rotation)}
 
 ORACLE = {
     "op2_warc_merkle": warc_merkle.ORACLE,
@@ -98,6 +102,7 @@ SELECT doc_id, min(doc_id) OVER (PARTITION BY x) keep_id, count(*) OVER (PARTITI
 """,
     "op8_license_scan": license_scan.oracle(),
     "op10_decontamination": decontaminate.ORACLE,
+    "op11_zfast_trie": zfast_trie.ORACLE,
     "op12_seed_extend": seed_extend.ORACLE,
     "op13_block_rotation": fim.ORACLE,
 }
