@@ -81,6 +81,7 @@ def decimal_rounding(sql: str) -> str:
 # Import the modules that register queries (order = registration order).
 from titlepulse.plans import core_queries  # noqa: E402,F401
 from titlepulse.plans import ingest_queries  # noqa: E402,F401
+from titlepulse.plans import element_queries  # noqa: E402,F401
 from titlepulse.plans import mining_queries  # noqa: E402,F401
 from titlepulse.plans import text_queries  # noqa: E402,F401
 from titlepulse.plans import stream_queries  # noqa: E402,F401
