@@ -11,9 +11,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from titlepulse import fixtures as X
-from titlepulse.operators import text_model as TM
+from titlepulse.operators.term_model import score_by_terms
 from titlepulse.plans.catalog import ORACLE, register, rounded
-from titlepulse.plans.text_queries import fitted
+from titlepulse.plans.text_queries import spelled, trained
 from titlepulse.schemas import RESULT_COLUMNS, TS_COLUMNS
 from titlepulse.session import scratch_path
 from titlepulse.streaming import jobs as J
@@ -78,17 +78,16 @@ for _name in J.INPUTS:
 
 @register("stream_score", ORACLE["score_documents"])
 def q_stream_score(spark, d):
-    """Score documents arriving as a stream with the fitted model; the stream
-    reads the given table, nothing is copied."""
+    """Score documents arriving as a stream with the weight table, batch by
+    batch; the stream reads the given table, nothing is copied."""
     base = scratch_path(spark, "stream_score")
     docs = X.table(spark, d, "documents")
     stream = (spark.readStream.schema(docs.schema).option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true")
               .parquet(_only(d, "documents")).select("doc_id", "text"))
-    scored = TM.audited(fitted(spark, d), stream, keep=["doc_id"])
-    q = start(scored, parquet_batch_writer(f"{base}/out"), f"{base}/checkpoint",
-              state_partitions=state_partitions(spark))
+    weights, write = trained(spark, d), parquet_batch_writer(f"{base}/out")
+    q = start(stream, lambda df, batch: write(score_by_terms(weights, df, keep=["doc_id"]), batch), f"{base}/checkpoint")
     await_done(q, STREAM_TIMEOUT_S)
-    return rounded(spark.read.parquet(f"{base}/out").drop("batch_id"), 9)
+    return spelled(spark.read.parquet(f"{base}/out").drop("batch_id"))
 
 
 def _only(d, name) -> str:
