@@ -17,6 +17,7 @@ from titlepulse.plans.text_queries import spelled, trained
 from titlepulse.schemas import RESULT_COLUMNS, TS_COLUMNS
 from titlepulse.session import scratch_path
 from titlepulse.streaming import jobs as J
+from titlepulse.streaming.late import ROCKSDB, parsed, split_late
 from titlepulse.streaming.runner import await_done, start
 from titlepulse.streaming.sinks import parquet_batch_writer
 from titlepulse.plans.oracle_views import RAW_ACTOR, RAW_MOVIE, RAW_REVIEW
@@ -90,6 +91,22 @@ def q_stream_score(spark, d):
     return spelled(spark.read.parquet(f"{base}/out").drop("batch_id"))
 
 
+@register("stream_closed_rows", f"""WITH {RAW_MOVIE},
+bound AS (SELECT max(movie_ts) - INTERVAL 10 MINUTE AS b FROM raw_movie)
+SELECT movie_id, title, movie_ts, false AS late FROM raw_movie, bound WHERE movie_ts <= b AND NOT contains(movie_id, '{{')""")
+def q_stream_closed_rows(spark, d):
+    """Movies that the watermark has closed, and rows that came behind it
+    (none here: the topic is read at once)."""
+    base = scratch_path(spark, "stream_closed")
+    J.write_messages(X.raw_movie(spark, d), "movie", f"{base}/topic")
+    stream = J.load_topic(spark, f"{base}/topic", "movie").select("movie_id", "title", "movie_ts")
+    write = parquet_batch_writer(f"{base}/out")
+    q = start(split_late(stream, "movie_ts", ["movie_id"]), lambda df, batch: write(parsed(df, stream.schema), batch), f"{base}/checkpoint",
+              state_partitions=state_partitions(spark), state_store=ROCKSDB)
+    await_done(q, STREAM_TIMEOUT_S)
+    return spark.read.parquet(f"{base}/out").select("movie_id", "title", F.col("movie_ts").cast("timestamp_ntz").alias("movie_ts"), "late")
+
+
 def _only(d, name) -> str:
     """A path pattern that holds one table, whether file or folder."""
     return f"{d.rstrip('/')}/{name}[.]parquet"

@@ -8,6 +8,7 @@ waited on each query in turn), always with a time limit.
 
 from __future__ import annotations
 
+import threading
 import time
 
 from pyspark.sql import DataFrame
@@ -17,15 +18,20 @@ from pyspark.sql.streaming import StreamingQuery
 from titlepulse.streaming.sinks import BatchWriter
 
 
+#: A stream copies the session's settings when it starts; one start at a time changes them.
+_STARTING = threading.Lock()
+
+
 def start(df: DataFrame, writer: BatchWriter, checkpoint: str, name: str | None = None,
           trigger: str | None = "availableNow", output_mode: str = "append",
-          state_partitions: int | None = None) -> StreamingQuery:
+          state_partitions: int | None = None, state_store: str | None = None) -> StreamingQuery:
     """Start ``df`` into ``writer`` with its own checkpoint.
 
     ``state_partitions`` fixes the number of shuffle / state-store partitions
-    of a *new* query (a restarted one keeps the number in its checkpoint): the
-    stream takes the session value when it starts, so it is set for the start
-    only and restored afterwards."""
+    of a *new* query (a restarted one keeps the number in its checkpoint), and
+    ``state_store`` names the class of its state store: the stream takes both
+    from the session when it starts, so they are set for the start only, one
+    start at a time, and put back afterwards."""
     w = df.writeStream.outputMode(output_mode).foreachBatch(writer).option("checkpointLocation", checkpoint)
     if name:
         w = w.queryName(name)
@@ -33,16 +39,17 @@ def start(df: DataFrame, writer: BatchWriter, checkpoint: str, name: str | None
         w = w.trigger(availableNow=True)
     elif trigger:
         w = w.trigger(processingTime=trigger)
-    if not state_partitions:
-        return w.start()
+    wanted = {"spark.sql.shuffle.partitions": state_partitions, "spark.sql.streaming.stateStore.providerClass": state_store}
     conf = df.sparkSession.conf
-    key = "spark.sql.shuffle.partitions"
-    before = conf.get(key)
-    conf.set(key, str(state_partitions))
-    try:
-        return w.start()
-    finally:
-        conf.set(key, before)
+    with _STARTING:
+        before = {k: conf.get(k) for k, v in wanted.items() if v}
+        try:
+            for k in before:
+                conf.set(k, str(wanted[k]))
+            return w.start()
+        finally:
+            for k, v in before.items():
+                conf.set(k, v)
 
 
 def await_done(q: StreamingQuery, timeout_s: float) -> None:
