@@ -19,9 +19,9 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def cut(df: DataFrame, name: str) -> DataFrame:
+def cut(df: DataFrame, name: str, **options: str) -> DataFrame:
     """Write ``df`` once under the shared checkpoint folder and read it back."""
-    return cut_lineage(df, f"llm-{name}")
+    return cut_lineage(df, f"llm-{name}", **options)
 
 
 def ship(spark: SparkSession) -> None:

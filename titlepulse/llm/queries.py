@@ -26,7 +26,7 @@ def op1_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_warc_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
-    records = cut(warc_merkle.archive(read(spark, sf_dir, "pages")), "archive")
+    records = cut(warc_merkle.archive(read(spark, sf_dir, "pages")), "archive", compression="zstd")
     return warc_merkle.audit(records, warc_merkle.damaged_copy(records)).select("file_id", "page_id", "off", "len", "sha256")
 
 

@@ -19,6 +19,8 @@ from titlepulse.llm.common import cut
 
 FAN = 16
 FILE_IDS = 1000
+#: Files of pages without id: as many as this, below zero.
+LOOSE_FILES = 4096
 DATE = "1970-01-01T00:00:00Z"
 
 
@@ -34,9 +36,10 @@ def record(page_id: Column, url: Column, html: Column) -> Column:
 def archive(pages: DataFrame, file_ids: int = FILE_IDS) -> DataFrame:
     """pages(page_id, url, html) -> records (file_id, seq, page_id, off, len,
     record): a file holds the pages of ``file_ids`` consecutive ids in order
-    (equal ids by their content's hash), pages without id are in file -1."""
+    (equal ids by their content's hash); pages without id are dealt to
+    LOOSE_FILES files below zero by their content's hash."""
     rows = pages.select("page_id", record(F.col("page_id"), F.col("url"), F.col("html")).alias("record")) \
-        .withColumn("file_id", F.coalesce(F.floor(F.col("page_id") / file_ids), F.lit(-1)).cast("long")) \
+        .withColumn("file_id", F.coalesce(F.floor(F.col("page_id") / file_ids), -1 - F.pmod(F.xxhash64("record"), F.lit(LOOSE_FILES))).cast("long")) \
         .withColumn("len", F.length("record").cast("long"))
     order = Window.partitionBy("file_id").orderBy("page_id", F.xxhash64("record"), "len")
     return rows.select("file_id", (F.row_number().over(order) - 1).cast("long").alias("seq"), "page_id",
@@ -62,8 +65,8 @@ def tree(records: DataFrame, name: str = "tree") -> DataFrame:
         level = cut(level.groupBy("grp", F.expr(f"idx div {FAN}").alias("up")).agg(*node)
                     .select(F.lit(step).alias("step"), "grp", F.col("up").alias("idx"), "lo", "hi", "hash"), name)
         out = out.unionByName(level)
-    # Over the files: a file without records between two others is left out of its node; file -1 comes first.
-    level = level.select("step", F.lit(None).cast("long").alias("grp"), (F.col("grp") + 1).alias("idx"), "lo", "hi", "hash")
+    # Over the files: a file without records between two others is left out of its node; files below zero come first.
+    level = level.select("step", F.lit(None).cast("long").alias("grp"), (F.col("grp") + LOOSE_FILES).alias("idx"), "lo", "hi", "hash")
     most = level.agg(F.max("idx").alias("m")).first()["m"]
     first = True
     while most > 0 or first:
@@ -96,9 +99,9 @@ def descend(a: DataFrame, b: DataFrame) -> DataFrame:
     top, in_files = tops[0], files[0]
     bad = cut(differ(top, None), "frontier")
     for step in range(top - 1, -1, -1):
-        if step == in_files:  # from the files' tree into the files: idx + 1 was the file, its top node is 0
+        if step == in_files:  # from the files' tree into the files: idx counts them from -LOOSE_FILES, their top node is 0
             x, y = (t.filter(F.col("step") == step).select("grp", "idx", "hash")
-                    .join(bad, F.expr(f"(grp + 1) div {FAN}") == F.col("pi"), "left_semi") for t in (a, b))
+                    .join(bad, F.expr(f"(grp + {LOOSE_FILES}) div {FAN}") == F.col("pi"), "left_semi") for t in (a, b))
             both = x.alias("x").join(y.alias("y"), (F.col("x.grp") == F.col("y.grp")) & (F.col("x.idx") == F.col("y.idx")), "full")
             bad = cut(both.filter(~F.col("x.hash").eqNullSafe(F.col("y.hash"))).select(
                 F.coalesce("x.grp", "y.grp").alias("pg"), F.coalesce("x.idx", "y.idx").alias("pi")), "frontier")
@@ -112,7 +115,7 @@ def audit(records: DataFrame, replica: DataFrame) -> DataFrame:
     (the replica's hash, null when it has no such record). Both are read for
     their trees and again for the damaged records, so pass written tables.
 
-    Defined results: pages without id form a file of their own, null url and
+    Defined results: pages without id lie in files of their own, null url and
     html are empty, equal pages are records of their own; two empty archives
     agree; a record that only the replica has comes with null page_id, off,
     len and sha256; further columns are not read."""
@@ -126,7 +129,7 @@ def damaged_copy(records: DataFrame, every: int = 97, rest: int = 3) -> DataFram
     """A written replica in which the middle byte of each record whose page_id
     leaves ``rest`` modulo ``every`` became zero: bit rot to look for."""
     broken = F.expr("overlay(record placing unhex('00') from cast(len div 2 as int) for 1)")
-    return cut(records.withColumn("record", F.when(F.pmod("page_id", F.lit(every)) == rest, broken).otherwise(F.col("record"))), "replica")
+    return cut(records.withColumn("record", F.when(F.pmod("page_id", F.lit(every)) == rest, broken).otherwise(F.col("record"))), "replica", compression="zstd")
 
 
 ORACLE = r"""
