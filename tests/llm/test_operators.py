@@ -314,6 +314,21 @@ def test_licences_short_and_standard_texts(spark):
         (0, "two", 0, 1.0), (1, "one", 0, 1.0), (2, "one", 0, 1.0), (2, "two", 1, 1.0)]
 
 
+def test_licence_bands_choose_the_pairs(spark, monkeypatch):
+    """Whole licence texts are found; with few bands only pairs that met one are, and an empty template table finds none."""
+    from titlepulse.llm.license_texts import TEMPLATES
+
+    texts = [f"intro {i} words\n{t}\nmore {i}" for i, t in enumerate(TEMPLATES.values())]
+    want = {(i, name) for i, name in enumerate(TEMPLATES)}
+    got = set(rows(license_scan.scan(frame(spark, texts), license_scan.templates(spark)), "doc_id", "license"))
+    assert want <= got
+    monkeypatch.setattr(license_scan, "BANDS", 1)
+    few = set(rows(license_scan.scan(frame(spark, texts), license_scan.templates(spark)), "doc_id", "license"))
+    assert few < got and any(name.endswith("-text") for _, name in few)
+    none = license_scan.templates(spark, {"none": " "})
+    assert license_scan.scan(frame(spark, texts), none).collect() == []
+
+
 # ------------------------------------------------------------------ WARC audit
 
 def test_warc_audit(spark):
@@ -330,6 +345,10 @@ def test_warc_audit(spark):
         for off in sorted(o for g, o in raw if g == f):
             assert off == end
             end += len(raw[f, off])
+    loose = warc_merkle.archive(spark.createDataFrame([(None, f"u{i}", None) for i in range(40)], "page_id long, url string, html string"))
+    assert loose.select("file_id").distinct().count() > 20  # pages without id are dealt to many files
+    first = loose.orderBy("file_id").first()
+    assert [r.file_id for r in warc_merkle.audit(loose, loose.filter(f"file_id <> {first.file_id}")).collect()].count(first.file_id) >= 1
     missing = warc_merkle.audit(a, a.filter("not (file_id = 1 and seq = 2)")).collect()
     assert [(r.file_id, r.found) for r in missing] == [(1, None)]
     none = pages.filter("false")

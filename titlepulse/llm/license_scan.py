@@ -1,20 +1,20 @@
 """Operator 8: licence scans with MinHash bands over text windows.
 
-Texts are sequences of 5-word shingles. Overlapping windows of 8 shingles,
-each 4 further on, are compared with stretches of at most 4 shingles of the
-licence templates: each of 64 bands is one MinHash value (one row a band), so
-a stretch of s shingles that a window holds meets it in at least one band
-with probability 1 - (1 - s/8)^64, above 0.9998 for a single shingle, and
-windows overlap so that every stretch lies whole in one of them. A template
-that was met is verified exactly: the share of its distinct shingles that the
-document holds must reach 0.8.
-
-A template of fewer than five words is one sequence, all its words: it is
-looked for whole, word by word, at every place of a text, without bands.
-
-Native: DataFrame functions alone. Bands can only meet where a window holds
-one of the templates' own shingles, so other windows are dropped before they
-are banded; no match is lost by that. Templates are a fixed, small table.
+Texts are sequences of 5-word shingles; a template of fewer words is one
+shingle of its own size, and texts have shingles of these sizes too.
+Overlapping windows of 8 shingles, each 4 further on, are compared with
+stretches of at most 4 shingles of the licence templates: each of 64 bands is
+one MinHash value (one row a band), so a stretch of s shingles that a window
+holds meets it in at least one band with probability 1 - (1 - s/8)^64, above
+0.9998 for a single shingle, and windows overlap so that every stretch lies
+whole in one of them. The bands alone choose which templates are compared with
+which documents. A pair they chose is verified exactly: the share of the
+template's distinct shingles that the document holds must reach 0.8.
+
+Native: DataFrame functions alone. A band can only meet where the window's
+smallest shingle is one of the templates', so windows without any are not
+banded: a bit table of the templates' shingles, of a fixed size, says so. It
+can only let too many windows through, and no match is lost by it.
 """
 
 from __future__ import annotations
@@ -24,42 +24,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 
 from titlepulse.llm.common import cut
 from titlepulse.llm.decontaminate import words
+from titlepulse.llm.license_texts import TEMPLATES
 
 SHINGLE = 5
 WIDTH, STRIDE, STRETCH, BANDS = 8, 4, 4, 64
 CONTAINED = 0.8
-
-# Public licence notices, one-line ones and the usual longer
-# ones. Where licences differ in a word of a notice, its stretch is chosen so
-# that the other licence's holds less than 0.8 of it.
-TEMPLATES = {
-    "Apache-2.0": "Licensed under the Apache License, Version 2.0.",
-    "MIT": "Released under the MIT License.",
-    "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0.",
-    "GPL-3.0": "This work is licensed under the GNU General Public License, version 3.",
-    "CC-BY-4.0": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
-    "BSD": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met",
-    "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
-    "all-rights-reserved": "All rights reserved.",
-    "all-rights-reserved-notice": "All rights reserved. No part of this publication may be reproduced without permission.",
-    "Apache-2.0-notice": "Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in compliance with the License.",
-    "MIT-permission": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files "
-                      "(the Software), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, "
-                      "publish, distribute, sublicense, and/or sell copies of the Software",
-    "CC-BY-NC-4.0-notice": "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",
-    "GPL-3.0-notice": "under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License",
-    "BSD-disclaimer": "This software is provided by the copyright holders and contributors as is and any express or implied warranties, including, but not "
-                      "limited to, the implied warranties of merchantability and fitness for a particular purpose are disclaimed.",
-}
-
-
-def _with_shingles(df: DataFrame, size: int = SHINGLE) -> DataFrame:
-    """df(..., text) with s, its shingles. Words and shingles each come out of
-    an explode of one element: filters on them are not pushed below it, where
-    the text would be split again for every shingle."""
-    rest = [c for c in df.columns if c != "text"]
-    return (df.select(*rest, F.explode(F.array(words(F.col("text")))).alias("w"))
-            .select(*rest, F.explode(F.array(shingles(F.col("w"), size))).alias("s")))
+#: Bits of the table of template shingles: 2^18 words of 64 bits at most.
+BITS = 1 << 18
 
 
 def shingles(w: Column, size: int = SHINGLE) -> Column:
@@ -89,15 +60,21 @@ def templates(spark: SparkSession, texts: dict[str, str] | None = None) -> DataF
                     F.when(F.size("w") < SHINGLE, F.array(F.xxhash64("w"))).otherwise(shingles(F.col("w"))).alias("s"))
 
 
-def _whole(docs: DataFrame, licences: DataFrame, size: int, hashes: list[int]) -> DataFrame:
-    """Where the templates of ``size`` words, fewer than five, are held."""
-    known = F.array(*[F.lit(h) for h in hashes]).cast("array<bigint>")
-    held = _with_shingles(docs.select("doc_id", "text"), size).filter(F.arrays_overlap("s", known))
-    at = held.select("doc_id", F.posexplode("s").alias("pos", "shingle")).filter(F.col("shingle").isin(hashes))
-    own = licences.filter(F.col("size") == size).select("license", F.col("s")[0].alias("shingle"))
-    return (at.join(own, "shingle").groupBy("doc_id", "license").agg(F.min("pos").cast("long").alias("first_word"))
-            .select("doc_id", "license", "first_word", F.lit(1).cast("long").alias("n_found"), F.lit(1).cast("long").alias("n_shingles"),
-                    F.lit(1.0).alias("containment")))
+def bit_table(shingle: DataFrame, bits: int = BITS) -> Column:
+    """Bits of the shingles' hashes as 64-bit words: a constant of a fixed size."""
+    place = f"pmod(shingle, {bits})"
+    rows = shingle.select(F.expr(f"cast({place} div 64 as int)").alias("at"), F.expr(f"shiftleft(1L, cast({place} % 64 as int))").alias("bit")) \
+        .groupBy("at").agg(F.expr("bit_or(bit)").alias("word")).collect()  # bits / 64 rows at most
+    table = [0] * (bits // 64)
+    for r in rows:
+        table[r["at"]] = r["word"]
+    return F.split(F.lit(",".join(map(str, table))), ",").cast("array<bigint>")
+
+
+def _known(shingle: Column, table: Column, bits: int = BITS) -> Column:
+    place = F.pmod(shingle, F.lit(bits))
+    word = F.get(table, F.floor(place / 64).cast("int"))
+    return F.call_function("getbit", word, (place % 64).cast("int")) == 1
 
 
 def scan(docs: DataFrame, licences: DataFrame, contained: float = CONTAINED) -> DataFrame:
@@ -111,35 +88,33 @@ def scan(docs: DataFrame, licences: DataFrame, contained: float = CONTAINED) ->
     first_word is the smallest place; rows without doc_id are one such
     document; an empty table gives no rows; further columns are not read."""
     licences = cut(licences, "licences")
-    # As many shingles as the templates have, whatever the documents are.
-    hashes: dict[int, list[int]] = {SHINGLE: []}
-    for r in licences.select("size", F.explode("s").alias("x")).distinct().collect():
-        hashes.setdefault(r["size"], []).append(r["x"])
-    out = _contained(docs, licences.filter(F.col("size") == SHINGLE).select("license", "s"), hashes.pop(SHINGLE), contained)
-    for size in sorted(hashes):
-        out = out.unionByName(_whole(docs, licences, size, hashes[size]))
-    return out
-
-
-def _contained(docs: DataFrame, licences: DataFrame, hashes: list[int], contained: float) -> DataFrame:
-    """``scan`` for templates of five words and more."""
-    known = F.array(*[F.lit(h) for h in hashes]).cast("array<bigint>")
-    stretch = licences.select("license", F.explode(_starts(F.size("s"), STRETCH, STRETCH)).alias("i"), "s") \
-        .select("license", F.explode(bands(F.slice("s", F.col("i") + 1, F.lit(STRETCH)))).alias("b"))
-    marks = cut(stretch.select("license", "b.band", "b.low").distinct(), "licence-bands")
-    held = cut(_with_shingles(docs.select("doc_id", "text")).filter(F.arrays_overlap("s", known)), "licence-docs")
-    windows = (held.select("doc_id", "s", F.explode(_starts(F.size("s"), STRIDE, WIDTH)).alias("i"))
-               .select("doc_id", F.slice("s", F.col("i") + 1, F.lit(WIDTH)).alias("w")).filter(F.arrays_overlap("w", known)))
-    met = (windows.select("doc_id", F.explode(bands(F.col("w"))).alias("b")).select("doc_id", "b.band", "b.low")
-           .join(marks, ["band", "low"]).select("doc_id", "license").distinct())
-    met = cut(met, "licence-candidates")
-    own = licences.select("license", F.size(F.array_distinct("s")).cast("long").alias("n_shingles"), F.explode(F.array_distinct("s")).alias("shingle"))
-    at = held.select("doc_id", F.posexplode("s").alias("pos", "shingle"))
-    found = (at.join(own, "shingle").groupBy("doc_id", "license", "n_shingles", "shingle").agg(F.min("pos").alias("pos"))
-             .groupBy("doc_id", "license", "n_shingles").agg(F.count(F.lit(1)).alias("n_found"), F.min("pos").cast("long").alias("first_word")))
-    return (found.alias("f").join(met.alias("m"), F.col("f.doc_id").eqNullSafe(F.col("m.doc_id")) & (F.col("f.license") == F.col("m.license")), "left_semi")
-            .filter(F.col("n_found") >= F.col("n_shingles") * contained)
-            .select("doc_id", "license", "first_word", "n_found", "n_shingles", (F.col("n_found") / F.col("n_shingles")).alias("containment")))
+    sizes = [r["size"] for r in licences.select("size").distinct().orderBy("size").collect()]  # at most SHINGLE numbers
+    if not sizes:
+        return docs.limit(0).select("doc_id", *(F.lit(None).cast(t).alias(c) for c, t in (("license", "string"), ("first_word", "long"), ("n_found", "long"),
+                                                                                           ("n_shingles", "long"), ("containment", "double"))))
+    own = cut(licences.select("license", "size", F.size(F.array_distinct("s")).cast("long").alias("n_shingles"), F.explode(F.array_distinct("s")).alias("shingle")), "licence-shingles")
+    table = bit_table(own.select("shingle"))
+    # Marks of the templates' stretches.
+    stretch = licences.select("license", "size", F.explode(_starts(F.size("s"), STRETCH, STRETCH)).alias("i"), "s") \
+        .select("license", "size", F.explode(bands(F.slice("s", F.col("i") + 1, F.lit(STRETCH)))).alias("b"))
+    marks = cut(stretch.select("license", "size", "b.band", "b.low").distinct(), "licence-bands")
+    # Texts are split once; of each size only texts with a known bit go on.
+    split = docs.select("doc_id", F.explode(F.array(words(F.col("text")))).alias("w"))
+    cutup = split.select("doc_id", F.explode(F.array(*[F.struct(F.lit(n).alias("size"), shingles(F.col("w"), n).alias("s")) for n in sizes])).alias("x"))
+    held = cut(cutup.select("doc_id", "x.size", "x.s").filter(F.exists("s", lambda x: _known(x, table))), "licence-docs")
+    windows = (held.select("doc_id", "size", "s", F.explode(_starts(F.size("s"), STRIDE, WIDTH)).alias("i"))
+               .select("doc_id", "size", F.slice("s", F.col("i") + 1, F.lit(WIDTH)).alias("w")).filter(F.exists("w", lambda x: _known(x, table))))
+    # The bands choose the pairs.
+    met = cut(windows.select("doc_id", "size", F.explode(bands(F.col("w"))).alias("b")).select("doc_id", "size", "b.band", "b.low")
+              .join(marks, ["size", "band", "low"]).select("doc_id", "license", "size").distinct(), "licence-candidates")
+    # Containment of these pairs alone: the template's shingles are looked for in the document's.
+    at = held.select("doc_id", "size", F.posexplode("s").alias("pos", "shingle")).filter(_known(F.col("shingle"), table)) \
+        .groupBy("doc_id", "size", "shingle").agg(F.min("pos").alias("pos"))
+    asked = met.join(own, ["license", "size"]).withColumnRenamed("doc_id", "of")
+    found = (asked.alias("m").join(at.alias("d"), F.col("m.of").eqNullSafe(F.col("d.doc_id")) & (F.col("m.size") == F.col("d.size")) & (F.col("m.shingle") == F.col("d.shingle")))
+             .groupBy("of", "license", "n_shingles").agg(F.count(F.lit(1)).alias("n_found"), F.min("pos").cast("long").alias("first_word")))
+    return (found.filter(F.col("n_found") >= F.col("n_shingles") * contained)
+            .select(F.col("of").alias("doc_id"), "license", "first_word", "n_found", "n_shingles", (F.col("n_found") / F.col("n_shingles")).alias("containment")))
 
 
 def oracle() -> str:
@@ -147,12 +122,12 @@ def oracle() -> str:
     values = ", ".join("('%s', '%s')" % (k, v.replace("'", "''")) for k, v in TEMPLATES.items())
     low = "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
     return f"""
-WITH t AS (SELECT license, {low} w FROM (VALUES {values}) v(license, text)),
-ts AS (SELECT DISTINCT license, array_to_string(w[s:s + 4], ' ') x FROM (SELECT license, w, unnest(range(1, len(w) - 3)) s FROM t)),
+WITH t AS (SELECT license, w, least(len(w), 5) k FROM (SELECT license, {low} w FROM (VALUES {values}) v(license, text))),
+ts AS (SELECT DISTINCT license, k, array_to_string(w[s:s + k - 1], ' ') x FROM (SELECT license, w, k, unnest(range(1, len(w) - k + 2)) s FROM t)),
 tn AS (SELECT license, count(*)::BIGINT n_shingles FROM ts GROUP BY license),
 d AS (SELECT doc_id, {low} w FROM documents),
-ds AS (SELECT doc_id, array_to_string(w[s:s + 4], ' ') x, min(s) - 1 p FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) s FROM d) GROUP BY ALL),
-f AS (SELECT doc_id, license, count(*)::BIGINT n_found, min(p)::BIGINT first_word FROM ds JOIN ts USING (x) GROUP BY ALL)
+ds AS (SELECT doc_id, k, array_to_string(w[s:s + k - 1], ' ') x, min(s) - 1 p FROM (SELECT doc_id, w, k, unnest(range(1, len(w) - k + 2)) s FROM d, (SELECT DISTINCT k FROM t)) GROUP BY ALL),
+f AS (SELECT doc_id, license, count(*)::BIGINT n_found, min(p)::BIGINT first_word FROM ds JOIN ts USING (k, x) GROUP BY ALL)
 SELECT doc_id, license, first_word, n_found, n_shingles, n_found / n_shingles containment
 FROM f JOIN tn USING (license) WHERE n_found >= n_shingles * 0.8
 """
