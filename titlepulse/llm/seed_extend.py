@@ -141,11 +141,12 @@ def matched_runs(runs: DataFrame) -> DataFrame:
     """Runs that meet another one on their anchor: (odd, row, lo, more, same,
     open). ``same``: the whole run is repeated; ``open``: its windows are to
     be compared one by one, with those of runs that have the same anchor."""
-    seeds = (runs.groupBy("g").agg(F.count(F.lit(1)).alias("n"), F.min("hull").alias("h0"), F.max("hull").alias("h1"))
-             .filter("n > 1").select("g", (F.col("h0") != F.col("h1")).alias("several")))
+    # Counts are written, so that each join deals both sides anew and may split a hot seed.
+    seeds = cut(runs.groupBy("g").agg(F.count(F.lit(1)).alias("n"), F.min("hull").alias("h0"), F.max("hull").alias("h1"))
+                .filter("n > 1").select("g", (F.col("h0") != F.col("h1")).alias("several")), "seed-counts")
     met = cut(runs.join(seeds, "g"), "seed-runs")
     own = F.struct("odd", "row", "lo")
-    hulls = (met.filter("several").groupBy("g", "hull").agg(F.count(F.lit(1)).alias("n"), F.min(own).alias("first")))
+    hulls = cut(met.filter("several").groupBy("g", "hull").agg(F.count(F.lit(1)).alias("n"), F.min(own).alias("first")), "hulls")
     cols = ["odd", "row", "lo", "more"]
     # A seed with one hull alone: all its runs are equal, nothing is to be extended.
     equal = met.filter("not several").select(*cols, F.lit(True).alias("same"), F.lit(False).alias("open"))
@@ -267,7 +268,7 @@ def remove_repeated_words(docs: DataFrame, width: int = WIDTH, gram: int = GRAM,
                  .select("odd", "row", "doc_id", "text", "runs").mapInArrow(_open(width, texts), OPENED), "opened")
     aside = opened.filter("aside").select("odd", "row", "doc_id", "body", "spans", "todo")
     arms = cut(aside.mapInArrow(_arms(width), "w long, v long, odd boolean, row long, at long"), "arms")
-    again = arms.groupBy("w", "v").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("w", "v")
+    again = cut(arms.groupBy("w", "v").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("w", "v"), "matches")
     places = (arms.join(again, ["w", "v"], "left_semi").groupBy(F.col("odd").alias("o"), F.col("row").alias("r"))
               .agg(F.collect_list("at").alias("places")))
     late = aside.join(places, (F.col("odd") == F.col("o")) & (F.col("row") == F.col("r")), "left") \
