@@ -29,8 +29,8 @@ from titlepulse.llm.license_texts import TEMPLATES
 SHINGLE = 5
 WIDTH, STRIDE, STRETCH, BANDS = 8, 4, 4, 64
 CONTAINED = 0.8
-#: Bits of the table of template shingles: 2^18 words of 64 bits at most.
-BITS = 1 << 18
+#: Bits of the table of template shingles, a power of two, and bits that each shingle sets.
+BITS, PROBES = 1 << 18, 3
 
 
 def shingles(w: Column, size: int = SHINGLE) -> Column:
@@ -60,10 +60,16 @@ def templates(spark: SparkSession, texts: dict[str, str] | None = None) -> DataF
                     F.when(F.size("w") < SHINGLE, F.array(F.xxhash64("w"))).otherwise(shingles(F.col("w"))).alias("s"))
 
 
+def _places(shingle: Column, bits: int = BITS) -> list[Column]:
+    """The bits of a shingle: stretches of its hash."""
+    step = bits.bit_length() - 1
+    return [F.shiftrightunsigned(shingle, k * step).bitwiseAND(F.lit(bits - 1)) for k in range(PROBES)]
+
+
 def bit_table(shingle: DataFrame, bits: int = BITS) -> Column:
-    """Bits of the shingles' hashes as 64-bit words: a constant of a fixed size."""
-    place = f"pmod(shingle, {bits})"
-    rows = shingle.select(F.expr(f"cast({place} div 64 as int)").alias("at"), F.expr(f"shiftleft(1L, cast({place} % 64 as int))").alias("bit")) \
+    """Bits of all shingles as 64-bit words: a constant of a fixed size."""
+    rows = shingle.select(F.explode(F.array(*_places(F.col("shingle"), bits))).alias("p")) \
+        .select(F.expr("cast(p div 64 as int)").alias("at"), F.expr("shiftleft(1L, cast(p % 64 as int))").alias("bit")) \
         .groupBy("at").agg(F.expr("bit_or(bit)").alias("word")).collect()  # bits / 64 rows at most
     table = [0] * (bits // 64)
     for r in rows:
@@ -72,9 +78,10 @@ def bit_table(shingle: DataFrame, bits: int = BITS) -> Column:
 
 
 def _known(shingle: Column, table: Column, bits: int = BITS) -> Column:
-    place = F.pmod(shingle, F.lit(bits))
-    word = F.get(table, F.floor(place / 64).cast("int"))
-    return F.call_function("getbit", word, (place % 64).cast("int")) == 1
+    out = F.lit(True)
+    for p in _places(shingle, bits):
+        out = out & (F.call_function("getbit", F.get(table, F.shiftright(p, 6).cast("int")), p.bitwiseAND(F.lit(63)).cast("int")) == 1)
+    return out
 
 
 def scan(docs: DataFrame, licences: DataFrame, contained: float = CONTAINED) -> DataFrame:
