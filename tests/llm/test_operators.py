@@ -3,6 +3,7 @@ import hashlib
 import random
 import re
 import zlib
+from itertools import combinations
 
 import numpy as np
 import pytest
@@ -138,11 +139,11 @@ def test_ngram_join(spark, block):
 
 def test_ngram_join_odd(spark, odd):
     got = {r["doc_id"]: r for r in jaccard_components(odd).collect()}
-    assert len(got) == 10 and got[1]["n_shingles"] == 0 and got[2]["component_id"] == 2
+    assert jaccard_components(odd).count() == 11 and got[1]["n_shingles"] == 0 and got[9]["component_id"] == 9 and got[2]["component_id"] == 2
     assert got[5]["component_id"] == 4 and got[8]["component_id"] == 6 and got[None]["component_id"] is None
     kept = one_of_each(odd)
     assert kept.columns == odd.columns
-    assert sorted(r.doc_id or 0 for r in kept.collect()) == [0, 1, 2, 3, 4, 6, 9, 9]
+    assert sorted(r.doc_id or 0 for r in kept.collect()) == [0, 1, 2, 3, 4, 6, 9]
     assert jaccard_components(odd.filter("false")).collect() == []
 
 
@@ -186,12 +187,60 @@ def test_suffix_dedup(spark):
 
 def test_suffix_dedup_odd(odd):
     got = {r["doc_id"]: r for r in remove_repeats(odd, texts=True).collect()}
-    assert set(got) == set(range(1, 10)) and got[1]["n_bytes"] == 0
-    assert got[6]["n_removed"] == got[6]["n_bytes"] and got[9]["n_removed"] == 0  # a repeated row is no repeat
+    assert set(got) == {None, *range(1, 10)} and remove_repeats(odd).count() == 11 and got[1]["n_bytes"] == 0
+    assert got[6]["n_removed"] == got[6]["n_bytes"] and got[9]["n_removed"] == 0 and got[None]["n_bytes"] == 5
     assert got[8]["n_bytes"] - got[8]["n_removed"] <= 4 and bytes(got[4]["kept"]) == b"one two three four five"
     assert remove_repeats(odd.filter("false")).collect() == []
 
 
+# ------------------------------------------------------------------ every row
+
+def any_ids(n):
+    """Ids that stand once, repeat, or are missing."""
+    return [None if k % 5 == 0 else 7 if k % 5 == 1 else 100 + k for k in range(n)]
+
+
+def some_texts(rnd, words=40):
+    base = [" ".join(f"w{rnd.randrange(50)}" for _ in range(words)) for _ in range(6)]
+    return [rnd.choice(base) + rnd.choice(["", "", " tail", " other tail here"]) for _ in range(40)] + [None, "", "alone"]
+
+
+def test_every_row_is_compared_by_suffixes(spark):
+    texts = some_texts(random.Random(21))
+    ids = any_ids(len(texts))
+    got = sorted(rows(remove_repeats(frame(spark, texts, ids), 40, 16), "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"), key=repr)
+    assert got == sorted(((ids[r[0]], *r[1:]) for r in brute_repeats(texts, 40)), key=repr)
+
+
+def test_every_row_is_joined(spark):
+    texts = some_texts(random.Random(22), 120)
+    ids = any_ids(len(texts))
+    comps = brute_components(texts)
+    low = {}
+    for k, _, c in comps:
+        low[c] = min((i for i in (low.get(c), ids[k]) if i is not None), default=None)
+    got = sorted(rows(jaccard_components(frame(spark, texts, ids)), "doc_id", "n_shingles", "component_id"), key=repr)
+    assert got == sorted(((ids[k], n, low[c]) for k, n, c in comps), key=repr)
+    docs = frame(spark, texts, ids)
+    kept = one_of_each(docs, 4, 85)
+    assert kept.columns == docs.columns and kept.count() == len({c for _, _, c in comps})
+
+
+def test_every_row_is_searched(spark):
+    rnd = random.Random(23)
+    texts = some_texts(rnd)
+    ids = any_ids(len(texts))
+    items = [(1, texts[0]), (2, "alone"), (3, " ".join(texts[1].split()[5:30]))]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    want = [(ids[r[0]], *r[1:]) for r in brute_hits(texts, items)]
+    docs = frame(spark, texts, ids)
+    got = sorted(rows(dec.decontaminate(docs, bench), "doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"), key=repr)
+    assert got == sorted(want, key=repr)
+    clean = dec.without_contaminated(docs, bench)
+    assert clean.columns == docs.columns
+    assert sorted(rows(clean, "doc_id", "text"), key=repr) == sorted(((i, t) for i, t, r in zip(ids, texts, brute_hits(texts, items)) if not r[-1]), key=repr)
+
+
 # ------------------------------------------------------------------ decontamination
 
 def brute_hits(texts, items, size=13):
@@ -231,7 +280,7 @@ def test_decontamination_odd(spark, odd):
     bench = spark.createDataFrame([(None, "one two three four five"), (3, None), (4, "short"), (4, "short")], "item_id long, text string")
     got = {r["doc_id"]: r for r in dec.decontaminate(odd, bench).collect()}
     assert got[4]["n_hit"] == 5 and got[4]["n_items"] == 0 and got[9]["n_items"] == 1 and got[9]["contaminated"]
-    assert got[1]["n_words"] == 0 and not got[1]["contaminated"] and got[None]["n_words"] == 2 and len(got) == 10
+    assert got[1]["n_words"] == 0 and not got[1]["contaminated"] and got[None]["n_words"] == 2 and dec.decontaminate(odd, bench).count() == 11
     assert dec.decontaminate(odd.filter("false"), bench).collect() == []
     assert not any(r["contaminated"] for r in dec.decontaminate(odd, bench.filter("false")).collect())
 
@@ -267,19 +316,25 @@ def test_mined_rules_against_brute_force(spark):
         rows_.append((i, f"http://{'casino' if spam else 'news'}{'.m' if rnd.random() < .5 else ''}.net/{'win' if spam and rnd.random() < .7 else 'a'}/{i}",
                       spam if rnd.random() < 0.95 else not spam))
     labelled = spark.createDataFrame(rows_, "page_id long, url string, bad boolean")
-    rules = url_rules.mine(labelled, 0.05, 0.7).collect()
-    tokens = [(set(r.t), b) for r, (_, _, b) in zip(labelled.orderBy("page_id").select(url_rules.url_tokens(labelled["url"]).alias("t")).collect(), rows_)]
-    assert rules and {r.verdict for r in rules} == {"allow", "block"}
-    for r in rules:
-        fits = [b for t, b in tokens if set(r.tokens) <= t]
-        right = sum(b == (r.verdict == "block") for b in fits)
-        assert right / len(fits) == pytest.approx(r.confidence) and right / len(tokens) == pytest.approx(r.support)
-        assert r.confidence >= 0.7 and r.support >= 0.05
-    got = {r.page_id: r.verdict for r in url_rules.filter_urls(labelled, labelled).collect()}
+    mined = url_rules.mine(labelled, 15, 0.7).collect()
+    tokens = [(frozenset(r.t), b) for r, (_, _, b) in zip(labelled.orderBy("page_id").select(url_rules.url_tokens(labelled["url"]).alias("t")).collect(), rows_)]
+    holds, right = {}, {}
+    for t, b in tokens:
+        for n in range(1, len(t) + 1):
+            for part in combinations(sorted(t), n):
+                holds[part] = holds.get(part, 0) + 1
+                right[part, b] = right.get((part, b), 0) + 1
+    sure = {(p, b): n / holds[p] for (p, b), n in right.items() if n >= 15 and n / holds[p] >= 0.7}
+    # Pruned: a rule that one with a token less already gives as surely.
+    want = {k: c for k, c in sure.items() if not any(sure.get((tuple(x for x in k[0] if x != y), k[1]), 0) >= c for y in k[0])}
+    assert {(tuple(r.tokens), r.verdict == "block"): pytest.approx(r.confidence) for r in mined} == want and len(want) > 3
+    assert all(r.support == pytest.approx(right[tuple(r.tokens), r.verdict == "block"] / 300) for r in mined)
+    got = {r.page_id: r.verdict for r in url_rules.filter_urls(labelled, labelled, min_pages=15, min_confidence=0.7).collect()}
     for (i, _, _), (t, _) in zip(rows_, tokens):
-        fired = [(r.confidence, r.verdict) for r in url_rules.mine(labelled).collect() if set(r.tokens) <= t] if i < 3 else None
-        if fired is not None:
-            assert got[i] == (max(fired)[1] if fired else "allow")
+        fired = {k: c for k, c in want.items() if set(k[0]) <= t}
+        best = max(((c, b) for (p, b), c in fired.items() if not any(set(p) < set(q) for q, _ in fired)), default=(0, False))
+        assert got[i] == ("block" if best[1] else "allow")
+    assert url_rules.mine(labelled.limit(14), 15).collect() == []  # no rule from fewer pages, whatever the share
 
 
 # ------------------------------------------------------------------ licences

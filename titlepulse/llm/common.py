@@ -46,18 +46,37 @@ def ascii_lower(c: Column) -> Column:
     return F.translate(c, UPPER, UPPER.lower())
 
 
-def one_text_per_id(docs: DataFrame) -> DataFrame:
-    """(doc_id, text) with one text for every id: of rows that share a doc_id
-    the one with the smallest (hash, length) of its text stays; rows without
-    id and text stay as they are. Null texts become empty. The join is with
-    the repeated ids alone, which are few unless the table is odd; Spark
-    broadcasts them by their written size or else sorts and merges."""
-    t = docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text"))
-    mark = F.struct(F.xxhash64("text").alias("h"), F.length("text").alias("l"))
-    again = cut(t.groupBy("doc_id").agg(F.count(F.lit(1)).alias("c"), F.min(mark).alias("m"))
-                .filter("c > 1 and doc_id is not null").select(F.col("doc_id").alias("again"), "m"), "again")
-    return (t.join(again, t["doc_id"] == again["again"], "left")
-            .filter(F.col("m").isNull() | (F.col("m") == mark)).select("doc_id", "text"))
+def keyed(docs: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """(docs with ``_row``, a key of its own for every row; the odd rows).
+
+    A doc_id that stands once is its row's key. Rows without doc_id and rows
+    that share one are odd: they are numbered downwards from the smallest
+    doc_id and written, so that a key stays when a task is run again. Null
+    instead of odd rows where there are none."""
+    ids = cut(docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("c")).filter("c > 1 or doc_id is null").select(F.col("doc_id").alias("_again")), "again")
+    plain = F.col("doc_id").alias("_row")
+    if ids.isEmpty():
+        return docs.select("*", plain), None
+    low = min(0, docs.agg(F.min("doc_id").alias("m")).first()["m"] or 0)
+    known = ids.filter("_again is not null")
+    same = docs["doc_id"] == known["_again"]
+    odd = docs.filter("doc_id is null").unionByName(docs.join(known, same, "left_semi"))
+    odd = cut(odd.withColumn("_row", F.lit(low - 1) - F.monotonically_increasing_id()), "odd-rows")
+    return docs.filter("doc_id is not null").join(known, same, "left_anti").select("*", plain).unionByName(odd), odd
+
+
+def renamed(out: DataFrame, odd: DataFrame | None) -> DataFrame:
+    """``out``, whose doc_id is a key of ``keyed``, with the rows' own ids."""
+    if odd is None:
+        return out
+    own = odd.select(F.col("_row").alias("_key"), F.col("doc_id").alias("_own"), F.lit(True).alias("_odd"))
+    rest = [c for c in out.columns if c != "doc_id"]
+    return out.join(own, out["doc_id"] == own["_key"], "left").select(F.when(F.col("_odd"), F.col("_own")).otherwise(F.col("doc_id")).alias("doc_id"), *rest)
+
+
+def texts_by_row(rows: DataFrame) -> DataFrame:
+    """(doc_id, text) of ``keyed`` rows under their keys; null texts are empty."""
+    return rows.select(F.col("_row").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
 
 
 def rowed(docs: DataFrame) -> DataFrame:

@@ -18,7 +18,7 @@ from __future__ import annotations
 import pyspark.sql.functions as F
 from pyspark.sql import Column, DataFrame, Window
 
-from titlepulse.llm.common import UPPER, cut, one_text_per_id
+from titlepulse.llm.common import UPPER, cut, keyed, renamed, texts_by_row
 
 #: ASCII characters that are in no word; all others are, A-Z as a-z.
 NOT_WORD = "".join(chr(c) for c in [*range(0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x80)])
@@ -129,10 +129,10 @@ def proximity_matches(docs: DataFrame, benchmark: DataFrame, slack: int = 4, siz
     """(doc_id, item_id, start): places where the rarest terms of a window of
     the item stand within ``slack`` words of their places in it."""
     windows = item_windows(benchmark, size)
-    docs = one_text_per_id(docs)
-    probe, index = probe_index(docs, windows, n_probes)
+    rows, odd = keyed(docs.select("doc_id", "text"))
+    probe, index = probe_index(texts_by_row(rows), windows, n_probes)
     found = candidates(index, probe, n_probes, slack)
-    return found.join(windows.select("wid", "item_id"), "wid").select("doc_id", "item_id", "start").distinct()
+    return renamed(found.join(windows.select("wid", "item_id"), "wid").select("doc_id", "item_id", "start").distinct(), odd)
 
 
 def covered(matches: DataFrame) -> DataFrame:
@@ -146,27 +146,38 @@ def covered(matches: DataFrame) -> DataFrame:
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, n_probes: int = PROBES) -> DataFrame:
-    """Per document: doc_id, n_words, n_hit, n_items, items_sha256, contaminated.
+    """Per row of docs: doc_id, n_words, n_hit, n_items, items_sha256, contaminated.
 
     contaminated: n_hit > 0 and 20 * n_hit >= n_words. Defined results: null
-    and empty texts have no words and are never hit; of rows that share a
-    doc_id one stands for all (see one_text_per_id), so they give one row
-    when their texts are equal too; rows without doc_id are counted but not
-    searched; items without words have no window, items without item_id hit
-    words but are not listed; repeated items count once; a document is hit
-    by a window of any item alike, ties do not matter; empty tables give no
-    rows, or rows without hits; further columns are not read."""
-    docs = one_text_per_id(docs)
+    and empty texts have no words and are never hit; every row is searched and
+    comes back, rows that share a doc_id and rows without one too; items
+    without words have no window, items without item_id hit words but are not
+    listed; repeated items count once; a document is hit by a window of any
+    item alike, ties do not matter; empty tables give no rows, or rows without
+    hits; further columns are not read."""
+    rows, odd = keyed(docs.select("doc_id", "text"))
+    return renamed(_searched(texts_by_row(rows), benchmark, size, n_probes), odd)
+
+
+def without_contaminated(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, n_probes: int = PROBES) -> DataFrame:
+    """The rows of docs, all columns, less the contaminated ones; of rows that
+    share a doc_id or have none each is judged by its own text."""
+    rows, _ = keyed(docs)
+    bad = cut(_searched(texts_by_row(rows), benchmark, size, n_probes).filter("contaminated").select(F.col("doc_id").alias("_bad")), "contaminated")
+    return rows.join(bad, F.col("_row") == F.col("_bad"), "left_anti").select(*docs.columns)
+
+
+def _searched(docs: DataFrame, benchmark: DataFrame, size: int, n_probes: int) -> DataFrame:
+    """``decontaminate`` for docs(doc_id, text) with a key in each row."""
     windows = item_windows(benchmark, size)
     probe, index = probe_index(docs, windows, n_probes)
-    matches = cut(phrase_matches(docs.filter("doc_id is not null"), windows, probe, index.filter("doc_id is not null"), n_probes), "matches")
+    matches = cut(phrase_matches(docs, windows, probe, index, n_probes), "matches")
     items = (matches.join(windows.select("wid", "item_id"), "wid").filter("item_id is not null")
              .groupBy("doc_id", F.col("item_id").cast("string").alias("item")).agg(F.lit(1))
              .groupBy("doc_id").agg(F.collect_list("item").alias("items"))
              .select("doc_id", F.size("items").cast("long").alias("n_items"),
                      F.sha2(F.array_join(F.array_sort("items"), ",").cast("binary"), 256).alias("items_sha256")))
-    own = F.when(F.col("doc_id").isNull(), F.monotonically_increasing_id()).alias("own")
-    sizes = index.filter(F.col("term") == END).select("doc_id", F.col("pos").cast("long").alias("n_words"), own).distinct()
+    sizes = index.filter(F.col("term") == END).select("doc_id", F.col("pos").cast("long").alias("n_words"))
     hits = covered(matches).join(items, "doc_id", "left")
     n_hit = F.coalesce("n_hit", F.lit(0)).cast("long")
     return (sizes.join(hits, "doc_id", "left")

@@ -34,7 +34,7 @@ import pyarrow as pa
 import pyspark.sql.functions as F
 from pyspark.sql import DataFrame
 
-from titlepulse.llm.common import cut, one_text_per_id, ship
+from titlepulse.llm.common import cut, keyed, renamed, ship, texts_by_row
 from titlepulse.llm.graph import components
 from titlepulse.llm.rtree import RTree, enough
 from titlepulse.llm.words import BLACK, shingle_sets, text_bytes
@@ -261,26 +261,35 @@ def jaccard_components(docs: DataFrame, n: int = WORDS, need: int = NEED, block:
     """Per document: doc_id, n_shingles, component_id.
 
     Defined results: null and empty texts and texts without words have an
-    empty set and are alone; rows without doc_id come back with null
-    component_id and link with nothing; of rows that share a doc_id one stands
-    for all (see one_text_per_id), and they give one row; ties need no rule,
-    since a component is named by its smallest id; an empty table gives no
-    rows; further columns are not read."""
+    empty set and are alone; every row is a document of its own and comes
+    back, rows that share a doc_id and rows without one too; ties need no
+    rule, since a component is named by its smallest doc_id (null where none
+    of its rows has one); an empty table gives no rows; further columns are
+    not read."""
+    rows, odd = keyed(docs.select("doc_id", "text"))
+    out = _components(texts_by_row(rows), n, need, block)
+    if odd is None:
+        return out
+    own = cut(renamed(out.select("doc_id", "n_shingles", F.col("component_id").alias("comp")), odd), "own-ids")
+    low = cut(own.groupBy(F.col("comp").alias("c")).agg(F.min("doc_id").alias("component_id")), "own-components")
+    return own.join(low, F.col("comp") == F.col("c")).select("doc_id", "n_shingles", "component_id")
+
+
+def _components(docs: DataFrame, n: int, need: int, block: int = BLOCK) -> DataFrame:
+    """``jaccard_components`` for docs(doc_id, text) with a key in each row."""
     spark = docs.sparkSession
     ship(spark)
-    docs = one_text_per_id(docs)
     schema = "doc_id long, n int, digest binary, grp int, cnt long"
     seen = cut(docs.mapInArrow(_summaries(n), schema), "summaries")
     # RARITY numbers at most, whatever the corpus is.
     rarity = np.zeros(RARITY, np.int64)
     for r in seen.filter("grp is not null").groupBy("grp").agg(F.sum("cnt").alias("c")).collect():
         rarity[r["grp"]] = r["c"]
-    sets = seen.filter("digest is not null and doc_id is not null").groupBy("doc_id").agg(F.max("n").alias("n"), F.max("digest").alias("digest"))
+    sets = seen.filter("digest is not null").groupBy("doc_id").agg(F.max("n").alias("n"), F.max("digest").alias("digest"))
     reps = cut(sets.filter("n > 0").groupBy("digest").agg(F.min("doc_id").alias("rep")), "representatives")
     known = cut(sets.join(reps, "digest", "left").select("doc_id", "n", F.coalesce("rep", "doc_id").alias("rep")), "classes")
     copies = cut(known.filter("rep <> doc_id").select("doc_id"), "copies")
-    texts = docs.filter("doc_id is not null")
-    one = texts.join(copies, "doc_id", "left_anti")
+    one = docs.join(copies, "doc_id", "left_anti")
     keyed = cut(one.mapInArrow(_keys(n, need, spark.sparkContext.broadcast(rarity)), "key long, cid long, n int, vec binary"), "keys")
     entries = keyed.filter("vec is null").select("key", "cid")
     points = cut(keyed.filter("vec is not null").select("cid", "n", "vec").dropDuplicates(["cid"]), "points")
@@ -288,25 +297,31 @@ def jaccard_components(docs: DataFrame, n: int = WORDS, need: int = NEED, block:
     multi = cut(entries.join(cut(several, "shared-keys"), "key"), "multi")
     stars = (multi.filter("cid <> lead").groupBy("cid", "lead").agg(F.count(F.lit(1)).alias("c"))
              .groupBy("cid").agg(F.max(F.struct("c", F.col("lead"))).alias("m")).select(F.col("m.lead").alias("a"), F.col("cid").alias("b")))
-    links = verified(bounded(stars, points, need), texts, n, need)
+    links = verified(bounded(stars, points, need), docs, n, need)
     comp = components(links)
     joined = multi.select("key", "cid").join(comp, F.col("cid") == F.col("node"), "left") \
         .select("key", "cid", F.coalesce("comp", "cid").alias("comp"))
     open_keys = joined.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).filter("x < y").select("key")
     unresolved = cut(joined.join(cut(open_keys, "open-keys"), "key", "left_semi").distinct(), "unresolved")
-    more = verified(tree_pairs(unresolved, points, need, block), texts, n, need)
+    more = verified(tree_pairs(unresolved, points, need, block), docs, n, need)
     if not more.isEmpty():
         comp = components(links.unionByName(more))
-    out = known.join(comp, F.col("rep") == F.col("node"), "left").select(
+    return known.join(comp, F.col("rep") == F.col("node"), "left").select(
         "doc_id", F.col("n").cast("long").alias("n_shingles"), F.coalesce("comp", "rep").alias("component_id"))
-    alone = seen.filter("digest is not null and doc_id is null").select(
-        "doc_id", F.col("n").cast("long").alias("n_shingles"), F.lit(None).cast("long").alias("component_id"))
-    return out.unionByName(alone)
 
 
 def one_of_each(docs: DataFrame, n: int = WORDS, need: int = NEED) -> DataFrame:
-    """The rows of ``docs``, all columns, less those of documents that link
-    to one with a smaller id; rows without id stay, and of rows that repeat
-    a doc_id whole or in part all stay or go together."""
-    gone = cut(jaccard_components(docs, n, need).filter("component_id < doc_id").select(F.col("doc_id").alias("gone")), "gone")
-    return docs.join(gone, F.col("doc_id") == F.col("gone"), "left_anti")
+    """The rows of ``docs``, all columns, with one row of each component: that
+    of the smallest doc_id, rows without one last; of rows that share it any
+    one."""
+    rows, odd = keyed(docs)
+    out = _components(texts_by_row(rows), n, need)
+    if odd is None:
+        gone = out.filter("component_id < doc_id").select(F.col("doc_id").alias("_gone"))
+    else:
+        key = out.select(F.col("doc_id").alias("_gone"), "doc_id", "component_id")
+        own = cut(renamed(key, odd), "own-rows")
+        rank = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col("_gone").alias("key"))
+        stays = cut(own.groupBy("component_id").agg(F.min(rank).alias("m")).select(F.col("m.key").alias("_stays")), "staying")
+        gone = own.join(stays, F.col("_gone") == F.col("_stays"), "left_anti").select("_gone")
+    return rows.join(cut(gone, "gone"), F.col("_row") == F.col("_gone"), "left_anti").select(*docs.columns)

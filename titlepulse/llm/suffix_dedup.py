@@ -32,7 +32,7 @@ import pyarrow as pa
 import pyspark.sql.functions as F
 from pyspark.sql import DataFrame, Window
 
-from titlepulse.llm.common import cut, one_text_per_id, ship
+from titlepulse.llm.common import cut, keyed, renamed, ship, texts_by_row
 from titlepulse.llm.winnow import choose, lead8, prefix_sums, span_hash
 from titlepulse.llm.words import text_bytes
 
@@ -250,15 +250,16 @@ def remove_repeats(docs: DataFrame, width: int = WIDTH, gram: int = GRAM, texts:
     kept bytes where ``texts`` asks for them.
 
     Defined results: a null text is empty, and texts shorter than ``width``
-    bytes keep all; of rows that share a doc_id one stands for all (see
-    one_text_per_id) and they give one row, so a row is no repeat of itself;
-    rows without doc_id are not compared and not returned; a string that
-    overlaps its repeat counts; there are no ties, every copy is removed; an
-    empty table gives no rows; further columns are not read."""
+    bytes keep all; every row is a text of its own and comes back, so rows
+    that share a doc_id and rows without one are compared too, and repeated
+    rows are repeats of each other; a string that overlaps its repeat counts;
+    there are no ties, every copy is removed; an empty table gives no rows;
+    further columns are not read."""
     if width - gram >= 1 << 20 or not 8 <= gram <= width:
         raise ValueError("8 <= gram <= width, and strings of at most a megabyte")
     ship(docs.sparkSession)
-    docs = one_text_per_id(docs.filter("doc_id is not null"))
+    rows, odd = keyed(docs.select("doc_id", "text"))
+    docs = texts_by_row(rows)
     keys = "k1 long, k2 long, doc_id long, place long, reach long"
     shared = repeats(docs.mapInArrow(_suffixes(width, gram), keys), "suffixes")
     lo = F.col("place") - F.shiftright("reach", 20)
@@ -275,4 +276,4 @@ def remove_repeats(docs: DataFrame, width: int = WIDTH, gram: int = GRAM, texts:
     late = aside.join(found, F.col("doc_id") == F.col("of"), "left").select("doc_id", "body", "spans", "places") \
         .mapInArrow(_finish(width, texts), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
     out = opened.filter("not aside").select(*cols).unionByName(late)
-    return (out if texts else out.drop("kept")).dropDuplicates(["doc_id"])
+    return renamed(out if texts else out.drop("kept"), odd)
