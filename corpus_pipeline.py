@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from titlepulse.llm.common import cut, read
-from titlepulse.llm.decontaminate import decontaminate
+from titlepulse.llm.decontaminate import without_contaminated
 from titlepulse.llm.mixing import resampled
 from titlepulse.llm.ngram_join import one_of_each
 from titlepulse.llm.queries import TARGETS, labelled_domains
@@ -24,15 +24,14 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents that link at 80 percent of their 5-word shingles the one
-    with the smallest id stays."""
+    """Of rows that link at 80 percent of their 5-word shingles the one with
+    the smallest id stays."""
     return one_of_each(docs, n=5, need=80)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Contaminated documents go; rows without id stay."""
-    bad = cut(decontaminate(docs, read(spark, sf_dir, "benchmark")).filter("contaminated").select("doc_id").distinct(), "contaminated")
-    return docs.join(bad, "doc_id", "left_anti").select(*docs.columns)
+    """Contaminated rows go, each judged by its own text, whatever its id."""
+    return without_contaminated(docs, read(spark, sf_dir, "benchmark"))
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
