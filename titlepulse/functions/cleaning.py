@@ -76,8 +76,7 @@ def rejected(raw, cleaned) -> Column:
 
 
 def text_or_empty(c) -> Column:
-    """Trimmed text, or the empty string when missing (the crawler's
-    ``el.text.strip() if el else ""``)."""
+    """Trimmed text; a missing element counts as the empty text."""
     return F.coalesce(F.trim(_c(c)), F.lit(""))
 
 

@@ -62,8 +62,7 @@ def line_ids(lines: DataFrame, line: str = "line") -> DataFrame:
 def page_fields(pages: DataFrame, html: str = "html") -> DataFrame:
     """title, h1, lang, link count and article text length of each page.
 
-    Missing elements give the empty string, as the crawler's
-    ``el.text.strip() if el else ""`` does.
+    A missing element gives the empty string.
     """
     h = F.col(html)
     article = F.regexp_extract(h, ARTICLE_RE, 1)
