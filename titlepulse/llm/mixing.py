@@ -3,13 +3,16 @@
 A classifier fitted on labelled rows gives every document a posterior over
 domains. Document rates r >= 0 are fitted so that the expected domain token
 totals, the sum of r * tokens * posterior, meet the target shares of all
-tokens: nonnegative least squares in the metric of the documents' tokens, of
-all solutions the one nearest to r = 1. Those rates are max(0, 1 - p . m) for
-one number m per domain, so no state is kept per document: m is found by
-Newton steps on the dual problem, which is convex and piecewise quadratic.
-One step needs one distributed sum of the totals and of the k x k moments of
-the documents with a positive rate, and steps go on until the targets are met
-within ``TOLERANCE`` or least squares come no nearer to them.
+tokens: nonnegative least squares in the metric of the documents' tokens, by
+distributed projected gradient. The gradient of a document is p . d for one
+number d per domain, the totals' residual, scaled by the inverse of the k x k
+moment matrix, for which a step of 1 always descends. Steps are summed before
+the projection (r = max(0, 1 - p . m), m the sum of the steps so far), so the
+rates are those nearest to r = 1 of all that meet the targets, no state is
+kept per document, and a lost executor costs one pass at most. One step is one
+distributed sum of k totals; steps carry momentum, which is dropped (restart)
+when it points uphill. If the targets cannot be met, further steps without the
+scaling lead to the totals that are nearest to them in plain least squares.
 """
 
 from __future__ import annotations
@@ -26,8 +29,8 @@ from titlepulse.llm.common import cut, ship
 from titlepulse.llm.linear import FIT_ROWS, fit, fresh, with_scores
 
 TOLERANCE = 1e-4
-#: Weights of the distance to r = 1 against the residual, tried in turn.
-WEIGHTS = (1e-6, 1e-8, 1e-10, 1e-12)
+#: Most steps in either scaling; and steps in which the residual has to shrink by a thousandth.
+STEPS, PATIENCE = 400, 20
 MAX_DOMAINS = 64
 
 
@@ -42,52 +45,45 @@ def rates(p: np.ndarray, m: np.ndarray) -> np.ndarray:
     return np.maximum(0.0, 1 - p @ m)
 
 
-def moments(p: np.ndarray, t: np.ndarray, m: np.ndarray) -> np.ndarray:
-    """Half the sum of t r^2, the k sums of t r p, and the k x k sums of
-    t p p' over positive rates, one after the other."""
-    r = rates(p, m)
-    on = p[r > 0]
-    return np.concatenate([[0.5 * (t * r * r).sum()], (t * r) @ p, ((on * t[r > 0][:, None]).T @ on).ravel()])
-
+def totals(p: np.ndarray, t: np.ndarray, m: np.ndarray) -> np.ndarray:
+    """The k sums of t r p."""
+    return (t * rates(p, m)) @ p
+
+
+def descend(sums: Callable[[np.ndarray], np.ndarray], target: np.ndarray, scale: np.ndarray, m: np.ndarray, near: float) -> tuple[np.ndarray, float]:
+    """Steps from ``m`` along the scaled residual until no total is further
+    than ``near`` from its target, or the scaled residual stops shrinking.
+    Returns the best point met and its largest difference."""
+    at, last, speed, gap = m, m, 1.0, np.inf
+    best, off, least, since = m, np.inf, np.inf, 0
+    for _ in range(STEPS):
+        left = sums(at) - target
+        gap = np.abs(left).max()
+        size = float(left @ scale @ left)
+        since = 0 if size < least * 0.999 else since + 1
+        if size < least:
+            best, off, least = at, gap, size
+        if gap <= near:
+            return at, float(gap)
+        if since >= PATIENCE:
+            break
+        m = at + scale @ left
+        if left @ (m - last) < 0:  # momentum points uphill
+            speed = 1.0
+        faster = (1 + np.sqrt(1 + 4 * speed * speed)) / 2
+        at, last, speed = m + (speed - 1) / faster * (m - last), m, faster
+    return best, float(off)
 
-def solve(sums: Callable[[list[np.ndarray]], np.ndarray], target: np.ndarray, tolerance: float = TOLERANCE) -> tuple[np.ndarray, float]:
-    """sums(points) -> ``moments`` at each, summed over all documents, whose
-    tokens sum to 1. Returns m and the largest difference from ``target``.
 
-    For a weight e the rates that minimize e * sum of t (r - 1)^2 + |residual|^2
-    belong to the m that minimizes a convex function with the gradient
-    target + e m - sums. A smaller weight is tried as long as the targets are
-    not met and the last one came nearer by more than the tolerance."""
-    k = len(target)
+def solve(sums: Callable[[np.ndarray], np.ndarray], moment: np.ndarray, target: np.ndarray, tolerance: float = TOLERANCE) -> tuple[np.ndarray, float]:
+    """sums(m) -> ``totals`` of all documents, whose tokens sum to 1; moment
+    is the sum of t p p'. Returns m and the largest difference from ``target``."""
     near = tolerance * max(1e-9, target.max())
-
-    def at(x: np.ndarray, got: np.ndarray, e: float) -> tuple[float, np.ndarray, np.ndarray]:
-        return got[0] + target @ x + e / 2 * x @ x, target + e * x - got[1:1 + k], got[1 + k:].reshape(k, k) + e * np.eye(k)
-
-    m = np.zeros(k)
-    got = sums([m])[0]
-    last = np.inf
-    for e in WEIGHTS:
-        while True:
-            off = np.abs(got[1:1 + k] - target).max()
-            value, grad, hess = at(m, got, e)
-            if off <= near or np.abs(grad).max() <= near / 10:
-                break
-            step = -np.linalg.solve(hess, grad)
-            for sizes in ([1.0], [0.5 ** i for i in range(1, 9)], [0.5 ** i for i in range(9, 41, 2)]):
-                points = [m + x * step for x in sizes]
-                there = sums(points)
-                values = [at(x, g, e)[0] for x, g in zip(points, there)]
-                best = int(np.argmin(values))
-                if values[best] <= value + 1e-4 * sizes[best] * (grad @ step):
-                    m, got = points[best], there[best]
-                    break
-            else:
-                break  # no decrease in floating point: stationary
-        if off <= near or last - off <= near:
-            break
-        last = off
-    return m, float(off)
+    start = np.zeros(len(target))
+    m, off = descend(sums, target, np.linalg.pinv(moment, rcond=1e-12, hermitian=True), start, near)
+    if off > near:
+        m, off = descend(sums, target, np.eye(len(target)) / max(1e-12, np.linalg.eigvalsh(moment)[-1]), m, near)
+    return m, off
 
 
 def fit_rates(members: DataFrame, target: np.ndarray, tolerance: float = TOLERANCE) -> tuple[np.ndarray, float]:
@@ -100,24 +96,21 @@ def fit_rates(members: DataFrame, target: np.ndarray, tolerance: float = TOLERAN
     if not total:
         return np.zeros(k), 0.0
 
-    def sums(points: list[np.ndarray]) -> np.ndarray:
-        width = 1 + k + k * k
-
+    def summed(width: int, part: Callable[[np.ndarray, np.ndarray], np.ndarray]) -> np.ndarray:
         def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            s = np.zeros((len(points), width))
+            s = np.zeros(width)
             for f in frames:
                 if len(f):
-                    p, t = np.stack(f["p"].to_numpy()), f["t"].to_numpy() / total
-                    s += np.stack([moments(p, t, m) for m in points])
-            yield pd.DataFrame({"at": np.repeat(np.arange(len(points)), width), "d": np.tile(np.arange(width), len(points)), "s": s.ravel()})
-
-        got = members.mapInPandas(run, "at int, d int, s double").groupBy("at", "d").agg(F.sum("s").alias("s")).collect()
-        out = np.zeros((len(points), width))
-        for g in got:
-            out[g["at"], g["d"]] = g["s"]
+                    s += part(np.stack(f["p"].to_numpy()), f["t"].to_numpy() / total)
+            yield pd.DataFrame({"d": np.arange(width), "s": s})
+
+        out = np.zeros(width)
+        for g in members.mapInPandas(run, "d int, s double").groupBy("d").agg(F.sum("s").alias("s")).collect():
+            out[g["d"]] = g["s"]
         return out
 
-    m, off = solve(sums, target, tolerance)
+    moment = summed(k * k, lambda p, t: ((p * t[:, None]).T @ p).ravel()).reshape(k, k)
+    m, off = solve(lambda m: summed(k, lambda p, t: totals(p, t, m)), moment, target, tolerance)
     if off > tolerance * max(1e-9, target.max()):
         warnings.warn(f"the fitted rates miss a target share by {off:.2g}, the least that least squares reached", stacklevel=2)
     return m, off
