@@ -14,9 +14,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from titlepulse.functions.labels import sentiment_label
+from titlepulse.operators.itemsets import partition_itemsets
 from titlepulse.operators.partitioning import cut_lineage
 from titlepulse.schemas import DISLIKE_HIGH_OVER, LIKE_HIGH_OVER
 
+#: Longest basket whose power set is formed.
+POWERSET_ITEMS = 8
+
 
 def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -156,18 +160,24 @@ def itemsets_from_weighted(w: DataFrame, min_support: float) -> DataFrame:
 
 
 def frequent_itemsets(basket_df: DataFrame, min_support: float, items: str = "items",
-                      method: str = "powerset") -> DataFrame:
+                      method: str = "auto") -> DataFrame:
     """Itemsets with frequency >= ceil(min_support * #baskets): (items sorted, freq).
 
-    ``powerset`` (default): exact counting over the power set of each distinct
-    basket (here at most 4 items, so at most 15 subsets each).
-    ``fpgrowth``: Spark ML's parallel FP-Growth, for long baskets.
+    ``powerset``: exact counting over the power set of each distinct basket.
+    ``partitions``: two-pass partition mining, exact, for long baskets.
+    ``fpgrowth``: Spark ML's parallel FP-Growth.
+    ``auto`` (default): ``powerset`` while no basket has more than
+    ``POWERSET_ITEMS`` items, else ``partitions``; both give the same rows.
     """
     if method == "fpgrowth":
         model = FPGrowth(itemsCol=items, minSupport=min_support, minConfidence=1.0).fit(
             basket_df.select(F.array_distinct(F.col(items)).alias(items)))
         return model.freqItemsets.select(F.array_sort("items").alias("items"), "freq")
-    return itemsets_from_weighted(weighted_baskets(basket_df, items), min_support)
+    w = weighted_baskets(basket_df, items)
+    if method == "auto":
+        longest = w.agg(F.max(F.size("items"))).first()[0] or 0
+        method = "powerset" if longest <= POWERSET_ITEMS else "partitions"
+    return itemsets_from_weighted(w, min_support) if method == "powerset" else partition_itemsets(w, min_support)
 
 
 def association_rules(itemsets: DataFrame, n_baskets, min_confidence: float) -> DataFrame:

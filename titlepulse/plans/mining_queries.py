@@ -173,6 +173,33 @@ def q_frequent_itemsets(spark, d):
                      F.size("items").cast("bigint").alias("n_items"), "freq")
 
 
+AUDIENCE_SUPPORT = 0.8
+
+_LEVELS_SQL = """[cast(star AS varchar), CASE WHEN "like" > 500 THEN 'like_high' ELSE 'like_low' END,
+    CASE WHEN dislike > 100 THEN 'dislike_high' ELSE 'dislike_low' END]"""
+
+
+@register("audience_itemsets", with_views(REVIEW_NUM).replace("WITH ", "WITH RECURSIVE ", 1) + f""",
+occ AS (SELECT DISTINCT movie_id, item FROM (SELECT movie_id, unnest({_LEVELS_SQL}) AS item FROM review_num) t WHERE item IS NOT NULL),
+b AS (SELECT movie_id, list(item) AS items FROM occ GROUP BY movie_id),
+least AS (SELECT ceil({AUDIENCE_SUPPORT} * count(*)) AS c FROM b),
+fs AS (SELECT [item] AS items, count(*) AS freq FROM occ GROUP BY item HAVING count(*) >= (SELECT c FROM least)
+  UNION ALL
+  SELECT list_append(f.items, o.item) AS items, count(*) AS freq
+  FROM fs f JOIN b ON list_has_all(b.items, f.items) JOIN occ o ON o.movie_id = b.movie_id AND o.item > f.items[-1]
+  GROUP BY 1 HAVING count(*) >= (SELECT c FROM least))
+SELECT array_to_string(items, ',') AS itemset, cast(len(items) AS bigint) AS n_items, cast(freq AS bigint) AS freq FROM fs""")
+def q_audience_itemsets(spark, d):
+    """Sets of stars and reaction levels that the reviews of a title hold
+    together: baskets of up to 14 items, one for each title."""
+    levels = F.array(F.col("star").cast("string"), F.when(F.col("like") > 500, "like_high").otherwise("like_low"),
+                     F.when(F.col("dislike") > 100, "dislike_high").otherwise("dislike_low"))
+    per_title = (reviews(spark, d).select("movie_id", F.explode(levels).alias("item")).filter("item IS NOT NULL")
+                 .groupBy("movie_id").agg(F.collect_set("item").alias("items")))
+    fi = M.frequent_itemsets(per_title, AUDIENCE_SUPPORT)
+    return fi.select(F.array_join("items", ",").alias("itemset"), F.size("items").cast("bigint").alias("n_items"), "freq")
+
+
 def _rules(spark, d):
     w, fi = _itemsets(spark, d)
     return M.rule_text(M.association_rules(fi, M.basket_count(w), MIN_CONFIDENCE))
