@@ -119,7 +119,20 @@ def rating_per_year(review: DataFrame, movie: DataFrame, ts: str = "review_ts",
     (ts, year, rating), which is what min over the review duplicates paired
     with min over the movie duplicates gives, so both sides are reduced before
     the join.
+
+    Streams with ``dedupe_within_watermark``: repeated reviews and movies go
+    before the join, each within the watermark delay, and reviews meet the
+    movies as counts per (movie_id, ts). With a ``time_bound`` every state of
+    the plan expires: ids and open groups behind the watermark, join rows
+    behind the watermark and the bound.
     """
+    if dedupe_within_watermark and review.isStreaming and movie.isStreaming and not pre_aggregate:
+        r = (review.dropDuplicatesWithinWatermark(["review_id", "movie_id"]).groupBy("movie_id", ts)
+             .agg(F.count(F.lit(1)).alias("_w"), F.count("review_id").alias("_r")))
+        m = movie.dropDuplicatesWithinWatermark(["movie_id"])
+        return (with_movie(r, m, ["year", "rating"], ts, time_bound).groupBy("year", ts)
+                .agg(_weighted_avg("rating", "_w").alias("avg_rating"),
+                     F.sum("_w").alias("total_movie"), F.sum("_r").alias("total_review")))
     if not (not review.isStreaming if pre_aggregate is None else pre_aggregate):
         j = with_movie(review, movie, ["year", "rating"], ts, time_bound)
         keys = ["review_id", "movie_id"]

@@ -39,16 +39,27 @@ def clean_review(review: DataFrame) -> DataFrame:
     return out.drop("date") if "date" in out.columns else out
 
 
+def _reject_counts(kind: str) -> list:
+    checks = {
+        "movie": {"revenue": C.money_amount, "budget": C.budget_amount},
+        "review": {"star": C.star_value, "like": C.suffixed_number, "dislike": C.suffixed_number},
+    }.get(kind, {})
+    return [F.sum(C.rejected(c, fn(c)).cast("long")).alias(f"rejected_{c}") for c, fn in checks.items()]
+
+
+def observed_rejects(raw: DataFrame, kind: str) -> DataFrame:
+    """The same frame, which reports values that did not parse as the metrics
+    ``rejects_<kind>`` with each batch of a stream; a kind without numbers is
+    left as it is."""
+    aggs = _reject_counts(kind)
+    return raw.observe(f"rejects_{kind}", *aggs) if aggs else raw
+
+
 def with_reject_counts(raw: DataFrame, kind: str, name: str | None = None):
     """Attach an ``Observation`` counting values that did not parse.
 
     Returns ``(observed_raw_frame, observation)``; the counts are filled in by
     whatever action runs the frame, without an extra pass.
     """
-    checks = {
-        "movie": {"revenue": C.money_amount, "budget": C.budget_amount},
-        "review": {"star": C.star_value, "like": C.suffixed_number, "dislike": C.suffixed_number},
-    }[kind]
     obs = Observation(name or f"rejects_{kind}")
-    aggs = [F.sum(C.rejected(c, fn(c)).cast("long")).alias(f"rejected_{c}") for c, fn in checks.items()]
-    return raw.observe(obs, *aggs), obs
+    return raw.observe(obs, *_reject_counts(kind)), obs

@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from titlepulse.operators import analytics as A
-from titlepulse.operators.clean import clean_actor, clean_movie, clean_review
+from titlepulse.operators.clean import clean_actor, clean_movie, clean_review, observed_rejects
 from titlepulse.schemas import MESSAGE_SIZES, RECORD_SCHEMAS, TS_COLUMNS
 from titlepulse.sources.envelope import pack_envelope, parse_envelope, to_message_rows
 from titlepulse.sources.streams import file_stream, kafka_stream
@@ -34,16 +34,17 @@ def write_messages(records: DataFrame, kind: str, path: str) -> None:
 
 def load_topic(spark: SparkSession, path: str, kind: str, delay: str = WATERMARK_DELAY,
                max_files_per_trigger: int | None = None, bootstrap: str | None = None,
-               max_offsets_per_trigger: int | None = None) -> DataFrame:
+               max_offsets_per_trigger: int | None = None, count_rejects: bool = False) -> DataFrame:
     """Messages -> watermarked, cleaned records of one kind.
 
     ``path`` is a folder of message files, or, with ``bootstrap`` servers, the
-    name of a broker topic; both give key, value, topic, timestamp."""
+    name of a broker topic; both give key, value, topic, timestamp.
+    ``count_rejects`` reports values that did not parse with each batch."""
     ts = TS_COLUMNS[kind]
     msgs = (kafka_stream(spark, path, bootstrap=bootstrap, max_offsets_per_trigger=max_offsets_per_trigger)
             if bootstrap else file_stream(spark, path, max_files_per_trigger))
     recs = parse_envelope(msgs, RECORD_SCHEMAS[kind], "timestamp", ts).withWatermark(ts, delay)
-    return _CLEAN[kind](recs)
+    return _CLEAN[kind](observed_rejects(recs, kind) if count_rejects else recs)
 
 
 def build(name: str, s: dict[str, DataFrame], dedupe: bool = False,
@@ -52,7 +53,7 @@ def build(name: str, s: dict[str, DataFrame], dedupe: bool = False,
 
     ``time_bound`` (streams) bounds the joins in time so their state expires;
     None keeps the original unbounded join. ``dedupe_within_watermark`` lets
-    the review dedupe of ``rating_per_year`` forget ids the watermark passed."""
+    the dedupe of ``rating_per_year`` forget ids the watermark passed."""
     if name == "top_country":
         return A.top_country(s["movie"])
     if name == "top_user_sentiment":
@@ -79,21 +80,24 @@ INPUTS = {
 def start_all(spark: SparkSession, topic_paths: dict[str, str], out_base: str, checkpoint_base: str,
               names: tuple[str, ...] = tuple(INPUTS), trigger: str | None = "availableNow",
               time_bound: str | None = None, state_partitions: int | None = None,
-              writer_factory=None, bootstrap: str | None = None) -> list:
+              writer_factory=None, bootstrap: str | None = None, dedupe_within_watermark: bool = False,
+              state_store: str | None = None, count_rejects: bool = True) -> list:
     """Start the named results together, each reading its topics, each with
     its own checkpoint and idempotent sink (as the original service did with
     its five queries). ``topic_paths`` maps movie / actor / review to message
     folders, or to broker topics when ``bootstrap`` is given;
-    ``writer_factory(name)`` may supply another sink (JDBC ...).
+    ``writer_factory(name)`` may supply another sink (JDBC ...). A service
+    that runs for long sets ``time_bound`` and ``dedupe_within_watermark``, so
+    that all state expires, and a ``state_store`` for state beyond memory.
     Wait on the returned queries with ``runner.run_all``."""
     from titlepulse.streaming.runner import start
     from titlepulse.streaming.sinks import parquet_batch_writer
 
     queries = []
     for name in names:
-        frames = {k: load_topic(spark, topic_paths[k], k, bootstrap=bootstrap) for k in INPUTS[name]}
-        result = build(name, frames, time_bound=time_bound)
+        frames = {k: load_topic(spark, topic_paths[k], k, bootstrap=bootstrap, count_rejects=count_rejects) for k in INPUTS[name]}
+        result = build(name, frames, time_bound=time_bound, dedupe_within_watermark=dedupe_within_watermark)
         writer = writer_factory(name) if writer_factory else parquet_batch_writer(f"{out_base}/{name}")
         queries.append(start(result, writer, f"{checkpoint_base}/{name}", name=name, trigger=trigger,
-                             state_partitions=state_partitions))
+                             state_partitions=state_partitions, state_store=state_store))
     return queries
