@@ -44,6 +44,8 @@ SHARD_TOKENS = 1 << 18
 NO_ID = -(1 << 63)
 #: Pieces that a worker keeps; it starts anew when it holds so many.
 CACHED_PIECES = 1 << 20
+#: Spans of keys that a look-up compares with the shards' id ranges.
+SPANS = 64
 
 SHARD = ("part int, shard int, n_docs int, token_start long, n_tokens long, first_id long, last_id long, "
          "doc_ids binary, nth binary, null_ids binary, offsets binary, seed int, moves binary, marks binary, "
@@ -239,27 +241,33 @@ def read_digests(spark: SparkSession, path: str) -> DataFrame:
 
 
 def lookup(spark: SparkSession, path: str, doc_ids: list[int]) -> DataFrame:
-    """Ids of a stated list of keys: only shards whose id range holds a key
-    are read, and each key takes constant time there. A key that is in no
-    shard gives no row; one that repeats gives its first document."""
+    """Ids of a stated list of keys: each key takes constant time in its shard,
+    one look at the hash index and one at the key stored in the slot it names.
+    Shards are chosen by at most ``SPANS`` spans of keys, split at the widest
+    gaps, which the scan compares with the id ranges of its row groups. A key
+    that is in no shard gives no row; one that repeats gives its first document."""
     ship(spark)
-    wanted = sorted(set(doc_ids))
+    wanted = np.unique(np.asarray(doc_ids, np.int64))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for row in b.to_pylist():
-                keys = np.asarray([k for k in wanted if row["first_id"] <= k <= row["last_id"]], np.int64)
-                parts, _, _ = _open(row, keys, np.zeros(len(keys), np.int64))
-                # The range can hold a key that was never stored: its fingerprint must match and its key too.
-                stored = set(_i8(row["doc_ids"]).tolist())
-                found = [(k, _u4(p).tolist()) for k, p in zip(keys.tolist(), parts, strict=True)
-                         if p is not None and k in stored]
+                keys = wanted[np.searchsorted(wanted, row["first_id"]):np.searchsorted(wanted, row["last_id"], "right")]
+                if not len(keys):
+                    continue
+                parts, at, _ = _open(row, keys, np.zeros(len(keys), np.int64))
+                # A key that was never stored may have the fingerprint of its slot, but not its key.
+                same = (_i8(row["doc_ids"])[at] == keys) & (_i8(row["nth"])[at] == 0) & (np.frombuffer(row["null_ids"], np.uint8)[at] == 0)
+                found = [(k, _u4(p).tolist()) for k, p, s in zip(keys.tolist(), parts, same.tolist(), strict=True) if p is not None and s]
                 yield pa.RecordBatch.from_pydict({"doc_id": pa.array([k for k, _ in found], pa.int64()),
                                                   "ids": pa.array([i for _, i in found], pa.list_(pa.int64()))})
 
+    gaps = np.diff(wanted.astype(object)).astype(float)  # exact: ids may span the whole range of 64 bits
+    cuts = np.sort(np.argsort(-gaps, kind="stable")[:SPANS - 1]) + 1
     hit = F.lit(False)
-    for k in wanted:
-        hit = hit | ((F.col("first_id") <= k) & (F.col("last_id") >= k))
+    for span in np.split(wanted, cuts):
+        if len(span):
+            hit = hit | ((F.col("first_id") <= int(span[-1])) & (F.col("last_id") >= int(span[0])))
     return spark.read.parquet(path).filter(hit).mapInArrow(run, "doc_id long, ids array<long>")
 
 
