@@ -20,6 +20,7 @@ from titlepulse.streaming import jobs as J
 from titlepulse.streaming.late import ROCKSDB, parsed, split_late
 from titlepulse.streaming.runner import await_done, start
 from titlepulse.streaming.sinks import parquet_batch_writer
+from titlepulse.streaming.topk import best_items, current_top
 from titlepulse.plans.oracle_views import RAW_ACTOR, RAW_MOVIE, RAW_REVIEW
 
 STREAM_TIMEOUT_S = 1800
@@ -107,6 +108,21 @@ def q_stream_closed_rows(spark, d):
     return spark.read.parquet(f"{base}/out").select("movie_id", "title", F.col("movie_ts").cast("timestamp_ntz").alias("movie_ts"), "late")
 
 
+@register("stream_top_movies_per_country", f"SELECT country, movie_id, rating, revenue, rank FROM ({ORACLE['top_movies_per_country']}) AS ranked")
+def q_stream_top_movies_per_country(spark, d):
+    """The three best movies of each country as the movies arrive, kept
+    up to date in state."""
+    base = scratch_path(spark, "stream_top")
+    J.write_messages(X.raw_movie(spark, d), "movie", f"{base}/topic")
+    stream = J.load_topic(spark, f"{base}/topic", "movie").select("country", "movie_id", "rating", "revenue")
+    q = start(best_items(stream, "country", "movie_id", "rating", "revenue", 3), parquet_batch_writer(f"{base}/out"), f"{base}/checkpoint",
+              output_mode="update", state_partitions=state_partitions(spark), state_store=ROCKSDB)
+    await_done(q, STREAM_TIMEOUT_S)
+    best = current_top(spark.read.parquet(f"{base}/out"), 3)
+    return best.select(F.col("key").alias("country"), F.col("item").alias("movie_id"), F.col("avg").alias("rating"), F.col("total").alias("revenue"),
+                       F.col("rank").cast("bigint").alias("rank"))
+
+
 def _only(d, name) -> str:
     """A path pattern that holds one table, whether file or folder."""
     return f"{d.rstrip('/')}/{name}[.]parquet"
