@@ -6,9 +6,11 @@ from pyspark.sql import functions as F
 
 from titlepulse import fixtures as X
 from titlepulse.functions.cleaning import not_junk
+from titlepulse.functions.labels import sentiment_label
 from titlepulse.functions.text import ENGLISH_STOP_WORDS, sql_list
 from titlepulse.operators import lookups as L
 from titlepulse.operators import mining as M
+from titlepulse.operators import sketches as S
 from titlepulse.operators.topk import top_k
 from titlepulse.plans.catalog import register, rounded
 from titlepulse.plans.core_queries import actors, movies, reviews
@@ -91,11 +93,19 @@ SELECT f.sentiment, n, round(q1, 6) AS q1, round(median, 6) AS median, round(q3,
   cast(sum(CASE WHEN v >= lo AND v <= hi THEN 0 ELSE 1 END) AS bigint) AS n_outliers
 FROM r JOIN f USING (sentiment) GROUP BY f.sentiment, n, q1, median, q3""")
 def q_like_boxplot(spark, d):
-    from titlepulse.functions.labels import sentiment_label
     out = M.box_stats(reviews(spark, d), "like", sentiment_label("star"))
     return rounded(out.withColumnRenamed("group", "sentiment"))
 
 
+@register("like_quantiles")
+def q_like_quantiles(spark, d):
+    """Quartiles of the likes by sentiment, merged from a sketch for each
+    sentiment and day, with their rank error. SQL has no such sketch: tested
+    against numpy."""
+    r = reviews(spark, d).select(sentiment_label("star").alias("sentiment"), F.to_date("review_ts").alias("day"), "like")
+    return S.merged_quantiles(S.quantile_sketches(r, "like", ["sentiment", "day"]), ["sentiment"], [0.25, 0.5, 0.75])
+
+
 _CORR_COLS = ["star", "like", "dislike"]
 
 
@@ -151,6 +161,15 @@ def q_bigram_counts(spark, d):
     return rounded(M.bigram_counts(X.table(spark, d, "documents"), "text", ENGLISH_STOP_WORDS))
 
 
+@register("heavy_words")
+def q_heavy_words(spark, d):
+    """The twenty most frequent words of each language, merged from a sketch
+    for each source, with the error of their counts. Tested against exact counts."""
+    t = X.table(spark, d, "documents")
+    w = t.select("lang", "source", F.explode(M.words(t, "text")).alias("word")).filter(~F.col("word").isin(ENGLISH_STOP_WORDS))
+    return S.merged_heavy_hitters(S.frequency_sketches(w, "word", ["lang", "source"]), ["lang"], 20)
+
+
 # ----------------------------------------------------------------- baskets / rules
 @register("baskets", with_views(REVIEW_NUM) + f"""
 SELECT array_to_string({_BASKET_SQL}, ',') AS basket, count(*) AS n FROM review_num GROUP BY 1""")
