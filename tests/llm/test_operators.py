@@ -64,6 +64,15 @@ def test_exact_dedup_odd(odd):
     assert exact_dedup(odd.filter("false")).collect() == []
 
 
+def test_exact_dedup_gives_every_row(spark):
+    ids = [3, 3, 3, None, None, 8, 9, 9, None, 12, 12]
+    texts = ["a b", "a  b", "c", "c", "x", "x", "y", "y", "z", None, ""]
+    got = rows(exact_dedup(frame(spark, texts, ids)), "doc_id", "keep_id", "group_size", "kept")
+    want = [(3, 3, 2, True), (3, 3, 2, False), (3, 3, 2, True), (None, 3, 2, False), (None, 8, 2, False), (8, 8, 2, True),
+            (9, 9, 2, True), (9, 9, 2, False), (None, None, 1, True), (12, 12, 2, True), (12, 12, 2, False)]
+    assert got == sorted(want, key=lambda r: tuple((x is not None, x) for x in r))
+
+
 # ------------------------------------------------------------------ token shards
 
 def test_token_shards_equal_the_library(spark, odd):
