@@ -3,11 +3,12 @@ person search, best directors, best movies per country."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from titlepulse.functions.labels import sentiment_indicators
+from titlepulse.operators.postings import search_bitmaps, search_grams, write_bitmap_index, write_gram_index
 from titlepulse.operators.topk import top_k
 
 
@@ -52,6 +53,21 @@ def movie_filter(movie: DataFrame, actor: DataFrame, review: DataFrame,
     return out
 
 
+def index_movies(movie: DataFrame, actor: DataFrame, review: DataFrame, path: str) -> None:
+    """Write what ``movie_filter`` gives without a filter, indexed by country,
+    prevailing sentiment and the grams of the director's name."""
+    write_bitmap_index(movie_filter(movie, actor, review), ["movie_id"], ["country", "dominant"], path, names=("director",))
+
+
+def indexed_movie_filter(spark: SparkSession, path: str, min_rating: float | None = None, countries: list[str] | None = None,
+                         director_contains: str | None = None, sentiment: str | None = None) -> DataFrame:
+    """``movie_filter`` from the tables of ``index_movies``."""
+    values = {"country": countries or [], "dominant": [sentiment] if sentiment else []}
+    return search_bitmaps(spark, path, {f: v for f, v in values.items() if v},
+                          {"director": director_contains} if director_contains else {},
+                          None if min_rating is None else F.col("rating") >= min_rating)
+
+
 def revenue_rating_corr(movie: DataFrame, by: str = "country", all_label: str = "ALL") -> DataFrame:
     """corr(revenue, rating) per group and overall, one pass (ROLLUP)."""
     out = movie.rollup(by).agg(F.corr(F.col("revenue").cast("double"), F.col("rating")).alias("corr"),
@@ -76,13 +92,27 @@ def credits(actor: DataFrame) -> DataFrame:
 def person_search(actor: DataFrame, movie: DataFrame, term: str) -> DataFrame:
     """People whose name contains ``term`` (case-insensitive), with the
     director-table aggregates per (person, role)."""
-    found = credits(actor).filter(F.lower("person").contains(term.lower()))
+    return person_totals(credits(actor).filter(F.lower("person").contains(term.lower())), movie)
+
+
+def person_totals(credit: DataFrame, movie: DataFrame) -> DataFrame:
+    """The director table's aggregates per (person, role)."""
     m = movie.select("movie_id", "rating", "revenue")
-    return (found.join(m, "movie_id").groupBy("person", "role")
+    return (credit.join(m, "movie_id").groupBy("person", "role")
             .agg(F.avg("rating").alias("avg_rating"), F.count("movie_id").alias("total_movies"),
                  F.sum("revenue").alias("total_revenue")))
 
 
+def index_people(actor: DataFrame, movie: DataFrame, path: str) -> None:
+    """Write the totals of every (person, role), posted under the name's grams."""
+    write_gram_index(person_totals(credits(actor), movie), "person", path)
+
+
+def indexed_person_search(spark: SparkSession, path: str, term: str) -> DataFrame:
+    """``person_search`` from the postings of ``index_people`` alone."""
+    return search_grams(spark, path, "person", term)
+
+
 def director_totals(actor: DataFrame, movie: DataFrame) -> DataFrame:
     m = movie.select("movie_id", "rating", "revenue")
     return (actor.select("movie_id", "director").join(m, "movie_id").groupBy("director")

@@ -17,6 +17,7 @@ from titlepulse.plans.core_queries import actors, movies, reviews
 from titlepulse.plans.oracle_views import (
     ACTOR_NUM, MOVIE_NUM, RAW_ACTOR, REVIEW_NUM, SENTIMENT_SQL, with_views,
 )
+from titlepulse.session import scratch_path
 
 # The mining parameters of the original job.
 MIN_SUPPORT = 0.1
@@ -271,7 +272,8 @@ def q_top_movies_per_country(spark, d):
 _FILTER_COUNTRIES = ["NATION_1", "NATION_2", "NATION_3", "NATION_4", "NATION_5"]
 
 
-@register("movie_filter", with_views(MOVIE_NUM, RAW_ACTOR, ACTOR_NUM, REVIEW_NUM) + f""",
+def _filter_sql(where: str, dominant: str) -> str:
+    return with_views(MOVIE_NUM, RAW_ACTOR, ACTOR_NUM, REVIEW_NUM) + f""",
 s AS (SELECT movie_id, count(review_id) AS total_review,
         cast(sum(CASE WHEN star >= 8 THEN 1 ELSE 0 END) AS bigint) AS Positive,
         cast(sum(CASE WHEN star < 5 THEN 1 ELSE 0 END) AS bigint) AS Negative,
@@ -281,16 +283,30 @@ j AS (SELECT movie_id, title, country, rating, director,
         coalesce(total_review, 0) AS total_review, coalesce(Positive, 0) AS Positive,
         coalesce(Negative, 0) AS Negative, coalesce(Neutral, 0) AS Neutral
       FROM movie_num JOIN actor_num USING (movie_id) LEFT JOIN s USING (movie_id)
-      WHERE rating >= 5.0 AND country IN ({", ".join(f"'{c}'" for c in _FILTER_COUNTRIES)})),
+      WHERE {where}),
 k AS (SELECT *, CASE WHEN total_review = 0 THEN NULL
         WHEN Positive >= Negative AND Positive >= Neutral THEN 'Positive'
         WHEN Neutral >= Negative THEN 'Neutral' ELSE 'Negative' END AS dominant FROM j)
-SELECT * FROM k WHERE dominant = 'Negative'""")
+SELECT * FROM k WHERE dominant = '{dominant}'"""
+
+
+_IN_COUNTRIES = f"""country IN ({", ".join(f"'{c}'" for c in _FILTER_COUNTRIES)})"""
+
+
+@register("movie_filter", _filter_sql(f"rating >= 5.0 AND {_IN_COUNTRIES}", "Negative"))
 def q_movie_filter(spark, d):
     return L.movie_filter(movies(spark, d), actors(spark, d), reviews(spark, d), min_rating=5.0,
                           countries=_FILTER_COUNTRIES, sentiment="Negative")
 
 
+@register("indexed_movie_filter", _filter_sql(f"rating >= 2.0 AND {_IN_COUNTRIES} AND contains(lower(director), 'r#00000000')", "Negative"))
+def q_indexed_movie_filter(spark, d):
+    path = scratch_path(spark, "movie-index")
+    L.index_movies(movies(spark, d), actors(spark, d), reviews(spark, d), path)
+    return L.indexed_movie_filter(spark, path, min_rating=2.0, countries=_FILTER_COUNTRIES,
+                                  director_contains="R#00000000", sentiment="Negative")
+
+
 @register("revenue_rating_corr", with_views(MOVIE_NUM) + """
 SELECT CASE WHEN grouping(country) = 1 THEN 'ALL' ELSE country END AS country,
   round(corr(cast(revenue AS double), rating), 9) AS corr, count(*) AS n
@@ -302,14 +318,24 @@ def q_revenue_rating_corr(spark, d):
 _PERSON = "brand#1"
 
 
-@register("person_search", with_views(MOVIE_NUM, RAW_ACTOR) + f""",
+_PERSON_SQL = with_views(MOVIE_NUM, RAW_ACTOR) + f""",
 c AS (SELECT movie_id, director AS person, 'director' AS role FROM raw_actor
       UNION ALL SELECT movie_id, unnest(from_json(writers, '["VARCHAR"]')), 'writer' FROM raw_actor
       UNION ALL SELECT movie_id, unnest(from_json(stars, '["VARCHAR"]')), 'star' FROM raw_actor)
 SELECT person, role, round(avg(rating), 6) AS avg_rating, count(movie_id) AS total_movies,
   cast(sum(revenue) AS bigint) AS total_revenue
 FROM c JOIN movie_num USING (movie_id) WHERE contains(lower(person), '{_PERSON}')
-GROUP BY person, role""")
+GROUP BY person, role"""
+
+
+@register("person_search", _PERSON_SQL)
 def q_person_search(spark, d):
     actor = X.raw_actor(spark, d).filter(not_junk("actor_id"))
     return rounded(L.person_search(actor, movies(spark, d), _PERSON))
+
+
+@register("indexed_person_search", _PERSON_SQL)
+def q_indexed_person_search(spark, d):
+    path = scratch_path(spark, "people-index")
+    L.index_people(X.raw_actor(spark, d).filter(not_junk("actor_id")), movies(spark, d), path)
+    return rounded(L.indexed_person_search(spark, path, _PERSON))
