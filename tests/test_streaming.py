@@ -247,3 +247,42 @@ def test_streams_aggregate_before_they_join(spark, tmp_path):
     assert key(spark.table("eager_join")) == key(A.top_user_sentiment(review, movie))
     most = max(sum(s["numRowsTotal"] for s in p["stateOperators"] if "oin" in s["operatorName"]) for p in q.recentProgress if p["stateOperators"])
     assert most < 60
+
+
+def test_yearly_ratings_keep_counts_in_join_state(spark, tmp_path):
+    """Repeated reviews and movies count once; the join holds a row per movie and time, not per review."""
+    review = spark.range(600).selectExpr("cast(id % 300 as string) review_id", "'m' || (id % 300 % 7) movie_id",
+                                         "timestamp'2024-01-01 00:00:00' + make_dt_interval(0, cast(id % 300 div 100 as int)) review_ts")
+    movie = spark.range(14).selectExpr("'m' || id % 7 movie_id", "cast(2000 + id % 7 % 2 as int) year", "cast(id % 7 as double) rating",
+                                       "timestamp'2024-01-01 00:00:00' movie_ts")
+    frames = {}
+    for name, df, ts in (("review", review, "review_ts"), ("movie", movie, "movie_ts")):
+        late = df.limit(1).withColumn(ts, F.expr("timestamp'2024-02-01 00:00:00'")).withColumn("movie_id", F.lit("none"))
+        df.unionByName(late).write.parquet(str(tmp_path / name))
+        frames[name] = spark.readStream.schema(df.schema).parquet(str(tmp_path / name)).withWatermark(ts, "10 minutes")
+    q = start(A.rating_per_year(frames["review"], frames["movie"]), parquet_batch_writer(str(tmp_path / "out")), str(tmp_path / "c"), state_partitions=2)
+    await_done(q, 300)
+    key = lambda d: sorted(map(tuple, d.select("year", "review_ts", "avg_rating", "total_movie", "total_review").collect()))
+    assert key(spark.read.parquet(str(tmp_path / "out"))) == key(A.rating_per_year(review, movie))
+    most = max(sum(s["numRowsTotal"] for s in p["stateOperators"] if "oin" in s["operatorName"]) for p in q.recentProgress if p["stateOperators"])
+    assert most < 60
+
+
+def test_stream_queries_keep_state_off_the_heap(spark, sf, monkeypatch):
+    from titlepulse.plans import stream_queries as S
+    from titlepulse.streaming.runner import ROCKSDB
+
+    seen = []
+
+    def started(*a, **kw):
+        q = start(*a, **kw)
+        await_done(q, 300)
+        seen.extend(k for p in q.recentProgress for s in p.get("stateOperators", []) for k in s["customMetrics"])
+        return q
+
+    before = spark.conf.get("spark.sql.streaming.stateStore.providerClass")
+    monkeypatch.setattr(S, "start", started)
+    S.run_stream(spark, sf, "top_country")
+    assert any(k.startswith("rocksdb") for k in seen)
+    assert spark.conf.get("spark.sql.streaming.stateStore.providerClass") == before != ROCKSDB
+    assert spark.conf.get("spark.sql.streaming.stateStore.rocksdb.writeBufferSizeMB", None) is None

@@ -14,8 +14,8 @@ by AQE on the real shuffle size, with a sort-merge join (and AQE skew-join
 splitting) beyond the threshold.
 
 Streaming frames are reduced before the join as well, which keeps the partial
-aggregates in join state instead of every review; only ``rating_per_year``,
-which removes duplicates after its join, keeps the original order on streams.
+aggregates in join state instead of every review; ``rating_per_year`` removes
+its duplicates on each side, so that it can do the same.
 """
 
 from __future__ import annotations
@@ -120,16 +120,19 @@ def rating_per_year(review: DataFrame, movie: DataFrame, ts: str = "review_ts",
     with min over the movie duplicates gives, so both sides are reduced before
     the join.
 
-    Streams with ``dedupe_within_watermark``: repeated reviews and movies go
-    before the join, each within the watermark delay, and reviews meet the
-    movies as counts per (movie_id, ts). With a ``time_bound`` every state of
-    the plan expires: ids and open groups behind the watermark, join rows
-    behind the watermark and the bound.
+    Streams: repeated reviews and movies go before the join, the first that
+    came stays, and reviews meet the movies as counts per (movie_id, ts).
+    ``dedupe_within_watermark`` forgets ids that the watermark passed; with a
+    ``time_bound`` as well every state of the plan expires: ids and open
+    groups behind the watermark, join rows behind the watermark and the bound.
     """
-    if dedupe_within_watermark and review.isStreaming and movie.isStreaming and not pre_aggregate:
-        r = (review.dropDuplicatesWithinWatermark(["review_id", "movie_id"]).groupBy("movie_id", ts)
+    if review.isStreaming and movie.isStreaming and pre_aggregate is None:
+        def once(df: DataFrame, keys: list[str]) -> DataFrame:
+            return df.dropDuplicatesWithinWatermark(keys) if dedupe_within_watermark else df.dropDuplicates(keys)
+
+        r = (once(review.select("review_id", "movie_id", ts), ["review_id", "movie_id"]).groupBy("movie_id", ts)
              .agg(F.count(F.lit(1)).alias("_w"), F.count("review_id").alias("_r")))
-        m = movie.dropDuplicatesWithinWatermark(["movie_id"])
+        m = once(movie, ["movie_id"])
         return (with_movie(r, m, ["year", "rating"], ts, time_bound).groupBy("year", ts)
                 .agg(_weighted_avg("rating", "_w").alias("avg_rating"),
                      F.sum("_w").alias("total_movie"), F.sum("_r").alias("total_review")))

@@ -17,8 +17,8 @@ from titlepulse.plans.text_queries import spelled, trained
 from titlepulse.schemas import RESULT_COLUMNS, TS_COLUMNS
 from titlepulse.session import scratch_path
 from titlepulse.streaming import jobs as J
-from titlepulse.streaming.late import ROCKSDB, parsed, split_late
-from titlepulse.streaming.runner import await_done, start
+from titlepulse.streaming.late import parsed, split_late
+from titlepulse.streaming.runner import LARGE_STATE, ROCKSDB, await_done, start
 from titlepulse.streaming.sinks import parquet_batch_writer
 from titlepulse.streaming.topk import best_items, current_top
 from titlepulse.plans.oracle_views import RAW_ACTOR, RAW_MOVIE, RAW_REVIEW
@@ -44,13 +44,14 @@ def topic_folder(spark, d, kind) -> str:
 
 def run_stream(spark, d, name, time_bound=None):
     """Run the named stream over its topics to completion (fresh checkpoint
-    and sink) and return what its sink holds."""
+    and sink) and return what its sink holds. State is kept in RocksDB: it
+    grows with the input and would not fit the executors' heaps."""
     base = scratch_path(spark, f"stream_{name}")
     frames = {kind: J.load_topic(spark, topic_folder(spark, d, kind), kind)
               for kind in J.INPUTS[name]}
     result = J.build(name, frames, time_bound=time_bound)
     q = start(result, parquet_batch_writer(f"{base}/out"), f"{base}/checkpoint",
-              state_partitions=state_partitions(spark))
+              state_partitions=state_partitions(spark), state_store=ROCKSDB, state_options=LARGE_STATE)
     await_done(q, STREAM_TIMEOUT_S)
     out = spark.read.parquet(f"{base}/out").drop("batch_id")
     ts_cols = set(TS_COLUMNS.values())

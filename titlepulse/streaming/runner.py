@@ -18,20 +18,29 @@ from pyspark.sql.streaming import StreamingQuery
 from titlepulse.streaming.sinks import BatchWriter
 
 
+#: State in RocksDB, on the executors' disks.
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+#: For much state in RocksDB: small write buffers, for an executor holds many
+#: stores; a commit writes the changes alone; rows are not counted (progress
+#: reports 0), as each write would look its key up for it.
+LARGE_STATE = {f"spark.sql.streaming.stateStore.rocksdb.{k}": v for k, v in
+               {"writeBufferSizeMB": "32", "changelogCheckpointing.enabled": "true", "trackTotalNumberOfRows": "false"}.items()}
+
 #: A stream copies the session's settings when it starts; one start at a time changes them.
 _STARTING = threading.Lock()
 
 
 def start(df: DataFrame, writer: BatchWriter, checkpoint: str, name: str | None = None,
           trigger: str | None = "availableNow", output_mode: str = "append",
-          state_partitions: int | None = None, state_store: str | None = None) -> StreamingQuery:
+          state_partitions: int | None = None, state_store: str | None = None,
+          state_options: dict[str, str] | None = None) -> StreamingQuery:
     """Start ``df`` into ``writer`` with its own checkpoint.
 
     ``state_partitions`` fixes the number of shuffle / state-store partitions
     of a *new* query (a restarted one keeps the number in its checkpoint), and
-    ``state_store`` names the class of its state store: the stream takes both
-    from the session when it starts, so they are set for the start only, one
-    start at a time, and put back afterwards."""
+    ``state_store`` names the class of its state store, ``state_options`` are
+    settings of it: the stream takes them from the session when it starts, so
+    they are set for the start only, one start at a time, and put back afterwards."""
     w = df.writeStream.outputMode(output_mode).foreachBatch(writer).option("checkpointLocation", checkpoint)
     if name:
         w = w.queryName(name)
@@ -40,16 +49,20 @@ def start(df: DataFrame, writer: BatchWriter, checkpoint: str, name: str | None
     elif trigger:
         w = w.trigger(processingTime=trigger)
     wanted = {"spark.sql.shuffle.partitions": state_partitions, "spark.sql.streaming.stateStore.providerClass": state_store}
+    wanted |= state_options or {}
     conf = df.sparkSession.conf
     with _STARTING:
-        before = {k: conf.get(k) for k, v in wanted.items() if v}
+        before = {k: conf.get(k, None) for k, v in wanted.items() if v}
         try:
             for k in before:
                 conf.set(k, str(wanted[k]))
             return w.start()
         finally:
             for k, v in before.items():
-                conf.set(k, v)
+                if v is None:
+                    conf.unset(k)
+                else:
+                    conf.set(k, v)
 
 
 def await_done(q: StreamingQuery, timeout_s: float) -> None:
