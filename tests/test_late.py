@@ -63,3 +63,57 @@ def test_late_rows_at_a_join(spark, tmp_path):
     assert sorted(r["review_id"] for r in closed.collect()) == ["r1", "r2", "r9"]
     both = read("ro/closed").unionByName(read("ro/late")).join(read("mo/closed").unionByName(read("mo/late")), "movie_id")
     assert sorted(r["review_id"] for r in both.collect()) == ["r1", "r2", "r3", "r4", "r9"]
+
+
+class _Map(dict):
+    calls = 0
+
+    def containsKey(self, k):
+        _Map.calls += 1
+        return k in self
+
+    def getValue(self, k):
+        _Map.calls += 1
+        return self[k]
+
+    def updateValue(self, k, v):
+        _Map.calls += 1
+        self[k] = v
+
+    def removeKey(self, k):
+        _Map.calls += 1
+        del self[k]
+
+
+class _Handle:
+    def __init__(self):
+        self.timers = []
+
+    def getMapState(self, *_):
+        return _Map()
+
+    def registerTimer(self, at):
+        self.timers.append(at)
+
+
+class _Timer:
+    def __init__(self, at):
+        self.getExpiryTimeInMs = lambda: at
+        self.getCurrentWatermarkInMs = lambda: 5
+
+
+def test_state_is_called_by_the_chunk():
+    """Every call on state is a round trip; rows go in and out in chunks, each once, over several batches."""
+    splitter, handle = L.LateSplitter(), _Handle()
+    splitter.init(handle)
+    _Map.calls = 0
+    rows = [{"event_ms": 10 + i % 3, "row": str(i)} for i in range(9000)] + [{"event_ms": t, "row": f"late{t}"} for t in (None, 4)]
+    late = [r["row"] for part in (rows[:5000], rows[5000:]) for r in splitter.handleInputRows((0,), iter(part), _Timer(0))]
+    assert late == ["lateNone", "late4"] and sorted(handle.timers) == [10, 11, 12]
+    out = [r["row"] for at in handle.timers for r in splitter.handleExpiredTimer((0,), _Timer(5), _Timer(at))]
+    assert sorted(out, key=int) == [str(i) for i in range(9000)] and not splitter.rows and not splitter.sizes
+    assert _Map.calls < 500
+    # Many open times: what is held stays bounded, each row still comes out once.
+    many = [{"event_ms": 10 + i, "row": str(i)} for i in range(3 * L.HELD)]
+    assert not list(splitter.handleInputRows((0,), iter(many), _Timer(0)))
+    assert len(splitter.rows) == 3 * L.HELD

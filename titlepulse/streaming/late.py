@@ -21,47 +21,71 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+from titlepulse.streaming.runner import ROCKSDB as ROCKSDB
 from titlepulse.streaming.sinks import BatchWriter
 
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 BUCKETS = 64
+#: Rows of one state entry, and rows that a group holds before it writes them.
+CHUNK = 256
+HELD = 4096
 OUT = "late boolean, event_ms long, row string"
 
 
 class LateSplitter(StatefulProcessor):
-    """Per bucket: event time (ms) -> number of rows, and the rows under
-    (event time, number)."""
+    """Per bucket: event time (ms) -> number of chunks, and chunks of at most
+    ``CHUNK`` rows under (event time, number). A call on state is a round trip
+    to the executor, so rows go in and out by the chunk."""
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.sizes = handle.getMapState("sizes", T.StructType([T.StructField("event_ms", T.LongType())]),
                                         T.StructType([T.StructField("n", T.LongType())]))
         self.rows = handle.getMapState("rows", T.StructType([T.StructField("event_ms", T.LongType()), T.StructField("k", T.LongType())]),
-                                       T.StructType([T.StructField("row", T.StringType())]))
+                                       T.StructType([T.StructField("rows", T.ArrayType(T.StringType()))]))
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
         mark = timerValues.getCurrentWatermarkInMs()
+        held: dict[int, list[str]] = {}
+        count = 0
         for r in rows:
-            at = (r["event_ms"],)
-            if r["event_ms"] is None:  # no event time: never closed by a watermark
-                yield Row(late=True, event_ms=None, row=r["row"])
+            at = r["event_ms"]
+            # Without event time a row is never closed by a watermark; a passed time is open while its timer waits.
+            if at is None or (at <= mark and at not in held and not self.sizes.containsKey((at,))):
+                yield Row(late=True, event_ms=at, row=r["row"])
                 continue
-            known = self.sizes.containsKey(at)
-            if not known and r["event_ms"] <= mark:
-                yield Row(late=True, event_ms=r["event_ms"], row=r["row"])
-                continue
-            n = self.sizes.getValue(at)[0] if known else 0
-            if not known:
-                self.handle.registerTimer(r["event_ms"])
-            self.rows.updateValue((r["event_ms"], n), (r["row"],))
-            self.sizes.updateValue(at, (n + 1,))
+            chunk = held.setdefault(at, [])
+            chunk.append(r["row"])
+            count += 1
+            if len(chunk) == CHUNK:
+                self._store(at, chunk)
+                held[at] = []
+                count -= CHUNK
+            elif count >= HELD:
+                self._store_all(held)
+                held, count = {}, 0
+        self._store_all(held)
+
+    def _store_all(self, held: dict[int, list[str]]) -> None:
+        for at, chunk in held.items():
+            if chunk:
+                self._store(at, chunk)
+
+    def _store(self, at: int, chunk: list[str]) -> None:
+        n = 0
+        if self.sizes.containsKey((at,)):
+            n = self.sizes.getValue((at,))[0]
+        else:
+            self.handle.registerTimer(at)
+        self.rows.updateValue((at, n), (chunk,))
+        self.sizes.updateValue((at,), (n + 1,))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         at = expiredTimerInfo.getExpiryTimeInMs()
         if not self.sizes.containsKey((at,)):
             return
         for k in range(self.sizes.getValue((at,))[0]):
-            yield Row(late=False, event_ms=at, row=self.rows.getValue((at, k))[0])
+            for row in self.rows.getValue((at, k))[0]:
+                yield Row(late=False, event_ms=at, row=row)
             self.rows.removeKey((at, k))
         self.sizes.removeKey((at,))
 
