@@ -51,3 +51,12 @@ def test_pack_fills_messages_in_key_order(spark):
         assert {(r["g"] if group else "", r.msg_no): (r.n_records, r.first_id, r.last_id) for r in got} == {
             at: (len(c), c[0][0], c[-1][0]) for at, c in chunks.items()}
     assert pack_envelope(df.limit(0), "t", ["k", "v"], 30).count() == 0
+
+
+def test_numbering_broadcasts_the_small_side(spark):
+    from titlepulse.sources.envelope import numbered
+
+    rows = spark.range(100).selectExpr("cast(id as string) k", "id % 3 g")
+    df = numbered(rows, ["k"], ("g",))
+    assert "SortMergeJoin" not in df._jdf.queryExecution().executedPlan().toString()
+    assert sorted((r.g, r._rn) for r in df.collect()) == sorted((g, n) for g in range(3) for n in range(34 if g == 0 else 33))

@@ -46,7 +46,8 @@ def numbered(records: DataFrame, key_cols: list[str], group_cols: tuple[str, ...
     part = F.shiftright("_id", 33).alias("_part")
     sizes = placed.groupBy(*group_cols, part).agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_n"))
     before = F.sum("_n").over(Window.partitionBy(*group_cols).orderBy("_part")) - F.col("_n")
-    starts = sizes.select(*[F.col(c).alias(f"_{c}") for c in group_cols], "_part", "_first", before.alias("_before"))
+    # Written, so that Spark knows how small it is before it plans the join, and does not deal out all records for it.
+    starts = cut_lineage(sizes.select(*[F.col(c).alias(f"_{c}") for c in group_cols], "_part", "_first", before.alias("_before")), "packed-starts")
     same = F.shiftright("_id", 33) == F.col("_part")
     for c in group_cols:
         same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
