@@ -111,3 +111,13 @@ def test_scatter_log_bins(spark):
     df = spark.createDataFrame([(0, 0), (1, 3), (5, 7), (6, 4), (1000, 1)], "like long, dislike long")
     got = {(r.like, r.dislike): r.n for r in M.scatter_points(df, "like", "dislike", log_bins=True).collect()}
     assert got == {(0, 0): 1, (1, 2): 1, (4, 4): 2, (512, 1): 1}
+
+
+def test_bigrams_split_a_text_once_and_join_by_hash(spark):
+    docs = spark.createDataFrame([("red fox and red fox 12 x9 fox",), (None,), ("a",), ("",)], "text string")
+    df = M.bigram_counts(docs, "text", ["and"], materialize=False)
+    counts = df._jdf.queryExecution().executedPlan().toString()
+    assert counts.count("ShuffledHashJoin") == 2 and "SortMergeJoin" not in counts
+    assert {(r.w1, r.w2): r.n for r in df.collect()} == {("red", "fox"): 2, ("x9", "fox"): 1}
+    for line in counts.splitlines():
+        assert line.count("regexp_extract_all") <= 1

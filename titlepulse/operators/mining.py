@@ -259,19 +259,20 @@ def bigram_counts(df: DataFrame, text: str, stop: list[str], materialize: bool =
     once; ``materialize=False`` computes them for each use. The marginals are
     grouped sums of the pair counts (combined map-side) that are joined back,
     where Spark may split a word with very many partners."""
-    t = words(df, text)
-    nxt = F.slice(t, 2, F.greatest(F.size(t) - 1, F.lit(0)))
-    pairs = (df.select(F.explode(F.arrays_zip(t.alias("w1"), nxt.alias("w2"))).alias("p"))
+    # One column for the words, so that a text is split once; one look at a word for both of its pairs.
+    t = df.select(F.transform(words(df, text), lambda w: F.when(_kept(w, stop), w)).alias("t"))
+    nxt = F.slice("t", 2, F.greatest(F.size("t") - 1, F.lit(0)))
+    pairs = (t.select(F.explode(F.arrays_zip(F.col("t").alias("w1"), nxt.alias("w2"))).alias("p"))
              .select("p.w1", "p.w2")
-             .filter(F.col("w1").isNotNull() & F.col("w2").isNotNull())
-             .filter(_kept(F.col("w1"), stop) & _kept(F.col("w2"), stop)))
+             .filter(F.col("w1").isNotNull() & F.col("w2").isNotNull()))
     counts = pairs.groupBy("w1", "w2").agg(F.count(F.lit(1)).alias("n"))
     if materialize and not counts.isStreaming:
         counts = cut_lineage(counts, "bigram_counts")
     first = counts.groupBy("w1").agg(F.sum("n").alias("n1"))
     second = counts.groupBy("w2").agg(F.sum("n").alias("n2"))
     n = first.agg(F.sum("n1").cast("double")).scalar()
-    j = counts.join(first, "w1").join(second, "w2")
+    # A row per word is hashed by the partition, so that the pairs need no sort.
+    j = counts.join(first.hint("shuffle_hash"), "w1").join(second.hint("shuffle_hash"), "w2")
     k11 = F.col("n").cast("double")
     r1, c1 = F.col("n1").cast("double"), F.col("n2").cast("double")
     k12, k21 = r1 - k11, c1 - k11
