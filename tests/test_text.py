@@ -1,3 +1,5 @@
+import math
+
 import pytest
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import StopWordsRemover
@@ -80,3 +82,14 @@ def test_term_stats_and_tfidf_by_hand(spark):
     assert {r.term: (r.tf, r.df) for r in TM.term_stats(tok).collect() if r.term} == {"x": (2, 1), "y": (2, 2)}
     got = {(r.doc_id, r.term): r.tfidf for r in TM.doc_tfidf(tok, 3).collect()}
     assert abs(got[1, "x"] - 2 * math.log(4 / 2)) < 1e-12 and abs(got[2, "y"] - math.log(4 / 3)) < 1e-12
+
+
+def test_doc_tfidf_hashes_the_weights(spark):
+    """Repeated and null ids: counts are summed by id, a term's df counts rows."""
+    docs = spark.createDataFrame([(1, "fox fox red"), (1, "fox"), (None, "red"), (2, None)], "doc_id long, text string")
+    df = TM.doc_tfidf(TM.tokens(docs), 4)
+    assert "ShuffledHashJoin" in df._jdf.queryExecution().executedPlan().toString()
+    got = {(r.doc_id, r.term): (r.tf, round(r.tfidf, 9)) for r in df.collect()}
+    idf = {t: math.log(5 / (n + 1)) for t, n in (("fox", 2), ("red", 2), ("", 1))}
+    exp = {(1, "fox"): 3, (1, "red"): 1, (None, "red"): 1, (2, ""): 1}
+    assert got == {k: (n, round(n * idf[k[1]], 9)) for k, n in exp.items()}

@@ -81,9 +81,13 @@ def doc_terms(tok: DataFrame, doc: str = "doc_id", filtered: str = "filtered") -
 
 
 def doc_tfidf(tok: DataFrame, n_docs, doc: str = "doc_id", filtered: str = "filtered") -> DataFrame:
-    """(doc, term, tf, tfidf): count times the term's IDF over all documents."""
-    weights = idf_weights(term_stats(tok, doc, filtered), n_docs).select("term", "idf")
-    return doc_terms(tok, doc, filtered).join(weights, "term").select(doc, "term", "tf", (F.col("tf") * F.col("idf")).alias("tfidf"))
+    """(doc, term, tf, tfidf): count times the term's IDF over all documents.
+
+    Of the statistics only the document frequency is wanted; the weights, a
+    row per term, are hashed by the partition, so that the counts need no sort."""
+    once = tok.select(F.explode(F.array_distinct(filtered)).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    weights = idf_weights(once, n_docs).select("term", "idf")
+    return doc_terms(tok, doc, filtered).join(weights.hint("shuffle_hash"), "term").select(doc, "term", "tf", (F.col("tf") * F.col("idf")).alias("tfidf"))
 
 
 def idf_weights(stats: DataFrame, n_docs) -> DataFrame:
