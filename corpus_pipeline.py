@@ -42,7 +42,7 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def token_output(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token shards, read back: doc_id, start, n_tokens, ids_crc32. Workers hold
     other stages' memory too, so they keep fewer pieces."""
-    return token_shards(docs, cached=1 << 17)
+    return token_shards(docs, cached=1 << 15)
 
 
 STAGES = [

@@ -22,3 +22,17 @@ def test_many_keys_over_many_shards(spark, tmp_path):
     assert len(first) == 1 and list(first[0].ids) in [token_shards._u4(encode(t.encode())).tolist() for i, t in rows if i == ids[0]]
     assert token_shards.lookup(spark, path, []).collect() == []
     assert token_shards.lookup(spark, path, [max(ids) - 1]).collect() == []
+
+
+def test_files_hold_few_shards(spark, tmp_path):
+    """What a reader takes as one batch is bounded by the file."""
+    import pyspark.sql.functions as F
+
+    from titlepulse.llm import token_shards as S
+
+    docs = spark.range(400).selectExpr("id as doc_id", "repeat('some words of a text ', 20) as text")
+    S.write_shards(docs, str(tmp_path / "s"), shard_tokens=200)
+    n = spark.read.parquet(str(tmp_path / "s")).groupBy(F.input_file_name()).count()
+    assert n.agg(F.max("count")).first()[0] <= S.FILE_SHARDS < 400
+    out = S.read_digests(spark, str(tmp_path / "s"))
+    assert out.count() == 400 and out.agg(F.max(F.col("start") + F.col("n_tokens"))).first()[0] == out.agg(F.sum("n_tokens")).first()[0]

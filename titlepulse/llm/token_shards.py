@@ -44,6 +44,8 @@ SHARD_TOKENS = 1 << 18
 NO_ID = -(1 << 63)
 #: Pieces that a worker keeps; it starts anew when it holds so many.
 CACHED_PIECES = 1 << 20
+#: Shards of one file. A reader takes what it is dealt as one Arrow batch, in the JVM and in Python.
+FILE_SHARDS = 8
 #: Spans of keys that a look-up compares with the shards' id ranges.
 SPANS = 64
 
@@ -153,6 +155,7 @@ def _writer(tokenizer: str, end_id: int, shard_tokens: int, cached: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
+        pa.default_memory_pool().release_unused()  # what earlier tasks of this worker left
         encode, schema = encoder(tokenizer_path(tokenizer), end_id, cached), _arrow_schema()
         part = TaskContext.get().partitionId()
         ids: list = []
@@ -193,7 +196,7 @@ def write_shards(docs: DataFrame, path: str, tokenizer: str = "word_bpe_49k.json
     rows = docs.select("doc_id", "text").repartitionByRange("doc_id") \
         .sortWithinPartitions("doc_id", F.xxhash64("text"), F.length("text"))
     (rows.mapInArrow(_writer(tokenizer, end_id, shard_tokens, cached), SHARD)
-     .write.option("compression", "zstd").option("parquet.block.size", 8 << 20).parquet(path))
+     .write.option("compression", "zstd").option("maxRecordsPerFile", FILE_SHARDS).option("parquet.block.size", 8 << 20).parquet(path))
 
 
 def _u4(raw: bytes) -> np.ndarray:
@@ -212,6 +215,7 @@ def _open(row: dict, keys: np.ndarray, nth: np.ndarray) -> list[bytes | None]:
 
 
 def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    pa.default_memory_pool().release_unused()
     for b in batches:
         for k in range(b.num_rows):
             row = b.slice(k, 1).to_pylist()[0]
