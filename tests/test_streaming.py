@@ -286,3 +286,53 @@ def test_stream_queries_keep_state_off_the_heap(spark, sf, monkeypatch):
     assert any(k.startswith("rocksdb") for k in seen)
     assert spark.conf.get("spark.sql.streaming.stateStore.providerClass") == before != ROCKSDB
     assert spark.conf.get("spark.sql.streaming.stateStore.rocksdb.writeBufferSizeMB", None) is None
+
+
+@pytest.mark.parametrize("key_order", [False, True])
+def test_yearly_ratings_count_a_movie_once_per_batch(spark, tmp_path, key_order, monkeypatch):
+    """Many event times of a movie make one row of join state in a micro-batch; reviews and movies with null fields count as in the batch."""
+    from titlepulse.streaming.runner import ROCKSDB, SORTED_INSERTS
+
+    monkeypatch.setattr(A, "COUNT_ROWS", 4096)
+    review = spark.range(900).selectExpr("case when id % 300 = 5 then null else cast(id % 300 as string) end review_id",
+                                         "case when id % 300 = 6 then null else 'm' || (id % 300 % 7) end movie_id",
+                                         "timestamp'2024-01-01 00:00:00' + make_dt_interval(0, cast(id % 300 % 48 as int)) review_ts")
+    movie = spark.range(14).selectExpr("'m' || id % 7 movie_id", "cast(2000 + id % 7 % 2 as int) year", "case when id % 7 < 6 then cast(id % 7 as double) end rating",
+                                       "timestamp'2024-01-01 00:00:00' movie_ts")
+    frames = {}
+    for name, df, ts in (("review", review, "review_ts"), ("movie", movie, "movie_ts")):
+        late = df.limit(1).withColumn(ts, F.expr("timestamp'2024-02-01 00:00:00'")).withColumn("movie_id", F.lit("none"))
+        df.unionByName(late).write.parquet(str(tmp_path / name))
+        frames[name] = spark.readStream.schema(df.schema).parquet(str(tmp_path / name)).withWatermark(ts, "10 minutes")
+    check = spark.conf.get("spark.sql.streaming.unsupportedOperationCheck")
+    q = start(A.rating_per_year(frames["review"], frames["movie"], key_order=key_order), parquet_batch_writer(str(tmp_path / "out")), str(tmp_path / "c"),
+              state_partitions=2, state_store=ROCKSDB if key_order else None, state_options=SORTED_INSERTS if key_order else None)
+    await_done(q, 300)
+    assert spark.conf.get("spark.sql.streaming.unsupportedOperationCheck") == check == "true"
+    key = lambda d: sorted(map(tuple, d.select("year", "review_ts", "avg_rating", "total_movie", "total_review").collect()), key=str)
+    got, want = key(spark.read.parquet(str(tmp_path / "out"))), key(A.rating_per_year(review, movie))
+    assert got == [(*w[:2], None if w[2] is None else pytest.approx(w[2]), *w[3:]) for w in want] and sum(w[3] for w in want) == 299
+    most = max(sum(s["numRowsTotal"] for s in p["stateOperators"] if "oin" in s["operatorName"]) for p in q.recentProgress if p["stateOperators"])
+    assert most <= 2 * (8 + 8)
+    # Sorted where the state is: the shuffles are those of the stateful operators, and one by movie.
+    plan = q._jsq.explainInternal(False)
+    assert plan.count("Sort [octet_length") == (3 if key_order else 0) and plan.count("Exchange hashpartitioning") == 5
+
+
+def test_parquet_topics_hold_the_same_messages(spark, sf, tmp_path):
+    """A topic in Parquet has the JSON lines' messages and gives the same records as a stream."""
+    from titlepulse import fixtures as X
+    from titlepulse.schemas import MESSAGE
+
+    odd = spark.createDataFrame([("tt1", 'a "b" \\ \n ', None), ("tt2", None, 1.5)], "movie_id string, title string, rating double") \
+        .selectExpr("*", "timestamp_ntz'2024-01-01 00:00:00' movie_ts")
+    for name, records in (("raw", X.raw_movie(spark, sf)), ("odd", odd)):
+        got = {}
+        for fmt in ("json", "parquet"):
+            path = str(tmp_path / name / fmt)
+            J.write_messages(records, "movie", path, fmt)
+            messages = spark.read.schema(MESSAGE).format(fmt).load(path)
+            q = start(J.load_topic(spark, path, "movie", fmt=fmt), parquet_batch_writer(f"{path}-out"), f"{path}-ck")
+            await_done(q, 300)
+            got[fmt] = [sorted(map(repr, d.collect())) for d in (messages.select("key", "value", "topic", "ts_ms"), spark.read.parquet(f"{path}-out"))]
+        assert got["json"] == got["parquet"] and got["json"][1]

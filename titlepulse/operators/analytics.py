@@ -15,7 +15,8 @@ splitting) beyond the threshold.
 
 Streaming frames are reduced before the join as well, which keeps the partial
 aggregates in join state instead of every review; ``rating_per_year`` removes
-its duplicates on each side, so that it can do the same.
+its duplicates on each side, so that it can do the same, and counts the
+reviews of a movie within each micro-batch, without state of its own.
 """
 
 from __future__ import annotations
@@ -107,9 +108,49 @@ def top_director_rate(actor: DataFrame, movie: DataFrame, ts: str = "actor_ts",
 
 
 # ------------------------------------------------------------ rating_per_year
+#: Reviews that ``_counts_per_movie`` holds at once; the most entries of one row's lists.
+COUNT_ROWS = 1 << 17
+
+
+def _in_key_order(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Dealt out as a stateful operator on ``keys`` deals its rows, in the
+    order of its store's keys (lengths come first there), so that new keys go
+    in one after the other and the store's files need no merging."""
+    return df.repartition(*keys).sortWithinPartitions(*[F.octet_length(k) for k in keys], *keys)
+
+
+def _counts_per_movie(review: DataFrame, ts: str) -> DataFrame:
+    """movie_id and lists of _ts, _w (rows) and _r (review ids): one row per
+    movie and run of ``COUNT_ROWS`` rows of a partition of a micro-batch."""
+    most = COUNT_ROWS
+
+    def count(batches):
+        import pyarrow as pa
+
+        def counted(held):
+            t = pa.Table.from_batches(held)
+            t = t.group_by(["movie_id", "_ts"], use_threads=False).aggregate([([], "count_all"), ("review_id", "count")])
+            t = t.rename_columns(["movie_id", "_ts", "_w", "_r"])
+            t = t.group_by(["movie_id"], use_threads=False).aggregate([(c, "list") for c in ("_ts", "_w", "_r")])
+            return t.rename_columns(["movie_id", "_ts", "_w", "_r"]).to_batches(max_chunksize=10_000)
+
+        held, n = [], 0
+        for b in batches:
+            held.append(b)
+            n += b.num_rows
+            if n >= most:
+                yield from counted(held)
+                held, n = [], 0
+        if n:
+            yield from counted(held)
+
+    rows = review.select("movie_id", "review_id", F.col(ts).alias("_ts"))
+    return rows.mapInArrow(count, "movie_id string, _ts array<timestamp>, _w array<bigint>, _r array<bigint>")
+
+
 def rating_per_year(review: DataFrame, movie: DataFrame, ts: str = "review_ts",
                     pre_aggregate: bool | None = None, time_bound: str | None = None,
-                    dedupe_within_watermark: bool = False) -> DataFrame:
+                    dedupe_within_watermark: bool = False, key_order: bool = False) -> DataFrame:
     """Join, keep one row per (review_id, movie_id), then by (year, ts).
 
     avg_rating is weighted by review; total_movie counts rows, not distinct
@@ -121,19 +162,33 @@ def rating_per_year(review: DataFrame, movie: DataFrame, ts: str = "review_ts",
     the join.
 
     Streams: repeated reviews and movies go before the join, the first that
-    came stays, and reviews meet the movies as counts per (movie_id, ts).
+    came stays, and reviews meet the movies as counts: one row per movie and
+    micro-batch, which lists them by event time.
     ``dedupe_within_watermark`` forgets ids that the watermark passed; with a
     ``time_bound`` as well every state of the plan expires: ids and open
-    groups behind the watermark, join rows behind the watermark and the bound.
+    groups behind the watermark, join rows behind the watermark and the bound;
+    counts are then rows per (movie_id, ts), kept until the watermark passes.
+    ``key_order`` sorts a micro-batch's rows by the keys of the state they go
+    into; Spark refuses any sort in a stream, so it is for a stream started
+    with ``runner.SORTED_INSERTS``.
     """
     if review.isStreaming and movie.isStreaming and pre_aggregate is None:
         def once(df: DataFrame, keys: list[str]) -> DataFrame:
+            if key_order:
+                df = _in_key_order(df, keys)
             return df.dropDuplicatesWithinWatermark(keys) if dedupe_within_watermark else df.dropDuplicates(keys)
 
-        r = (once(review.select("review_id", "movie_id", ts), ["review_id", "movie_id"]).groupBy("movie_id", ts)
-             .agg(F.count(F.lit(1)).alias("_w"), F.count("review_id").alias("_r")))
+        r = once(review.select("review_id", "movie_id", ts), ["review_id", "movie_id"])
         m = once(movie, ["movie_id"])
-        return (with_movie(r, m, ["year", "rating"], ts, time_bound).groupBy("year", ts)
+        if time_bound is None:
+            counts = _counts_per_movie(_in_key_order(r, ["movie_id"]) if key_order else r.repartition("movie_id"), ts)
+            j = with_movie(counts, m, ["year", "rating"], ts).select("year", "rating", F.inline(F.arrays_zip("_ts", "_w", "_r")))
+            # The times in the lists are the reviews' own, so they are under the reviews' watermark.
+            j = j.select("year", "rating", "_w", "_r", F.col("_ts").alias(ts, metadata=review.schema[ts].metadata))
+        else:
+            r = r.groupBy("movie_id", ts).agg(F.count(F.lit(1)).alias("_w"), F.count("review_id").alias("_r"))
+            j = with_movie(r, m, ["year", "rating"], ts, time_bound)
+        return (j.groupBy("year", ts)
                 .agg(_weighted_avg("rating", "_w").alias("avg_rating"),
                      F.sum("_w").alias("total_movie"), F.sum("_r").alias("total_review")))
     if not (not review.isStreaming if pre_aggregate is None else pre_aggregate):

@@ -18,12 +18,13 @@ from titlepulse.schemas import RESULT_COLUMNS, TS_COLUMNS
 from titlepulse.session import scratch_path
 from titlepulse.streaming import jobs as J
 from titlepulse.streaming.late import parsed, split_late
-from titlepulse.streaming.runner import LARGE_STATE, ROCKSDB, await_done, start
+from titlepulse.streaming.runner import LARGE_STATE, ROCKSDB, SORTED_INSERTS, await_done, start
 from titlepulse.streaming.sinks import parquet_batch_writer
 from titlepulse.streaming.topk import best_items, current_top
 from titlepulse.plans.oracle_views import RAW_ACTOR, RAW_MOVIE, RAW_REVIEW
 
 STREAM_TIMEOUT_S = 1800
+TOPIC_FORMAT = "parquet"
 _RAW = {"movie": X.raw_movie, "actor": X.raw_actor, "review": X.raw_review}
 
 
@@ -38,7 +39,7 @@ def topic_folder(spark, d, kind) -> str:
     """The message folder ("topic") of one kind for a data folder: packs the
     raw records, as a producer would. Every call writes its own."""
     path = scratch_path(spark, f"topic_{kind}")
-    J.write_messages(_RAW[kind](spark, d), kind, path)
+    J.write_messages(_RAW[kind](spark, d), kind, path, TOPIC_FORMAT)
     return path
 
 
@@ -47,11 +48,12 @@ def run_stream(spark, d, name, time_bound=None):
     and sink) and return what its sink holds. State is kept in RocksDB: it
     grows with the input and would not fit the executors' heaps."""
     base = scratch_path(spark, f"stream_{name}")
-    frames = {kind: J.load_topic(spark, topic_folder(spark, d, kind), kind)
+    frames = {kind: J.load_topic(spark, topic_folder(spark, d, kind), kind, fmt=TOPIC_FORMAT)
               for kind in J.INPUTS[name]}
-    result = J.build(name, frames, time_bound=time_bound)
+    sort = name == "rating_per_year"
+    result = J.build(name, frames, time_bound=time_bound, key_order=sort)
     q = start(result, parquet_batch_writer(f"{base}/out"), f"{base}/checkpoint",
-              state_partitions=state_partitions(spark), state_store=ROCKSDB, state_options=LARGE_STATE)
+              state_partitions=state_partitions(spark), state_store=ROCKSDB, state_options=LARGE_STATE | (SORTED_INSERTS if sort else {}))
     await_done(q, STREAM_TIMEOUT_S)
     out = spark.read.parquet(f"{base}/out").drop("batch_id")
     ts_cols = set(TS_COLUMNS.values())

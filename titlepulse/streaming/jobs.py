@@ -24,36 +24,44 @@ _CLEAN = {"movie": clean_movie, "actor": clean_actor, "review": clean_review}
 _KEYS = {"movie": ["movie_id"], "actor": ["actor_id", "movie_id"], "review": ["review_id", "movie_id"]}
 
 
-def write_messages(records: DataFrame, kind: str, path: str) -> None:
+#: Parquet topics: row groups of a few hundred messages, which a writer holds and a reader takes as one batch.
+_TOPIC_OPTIONS = {"json": {}, "parquet": {"parquet.block.size": str(16 << 20)}}
+
+
+def write_messages(records: DataFrame, kind: str, path: str, fmt: str = "json") -> None:
     """Pack records (with their event-time column) into messages, one message
-    time per message, and write them as JSON lines: the shape a broker holds."""
+    time per message, and write them as rows of the shape a broker holds: JSON
+    lines, or Parquet with ``fmt``."""
     ts = TS_COLUMNS[kind]
     packed = pack_envelope(records, kind, _KEYS[kind], MESSAGE_SIZES[kind], group_cols=(ts,))
-    to_message_rows(packed, ts).write.mode("overwrite").json(path)
+    to_message_rows(packed, ts).write.mode("overwrite").format(fmt).options(**_TOPIC_OPTIONS[fmt]).save(path)
 
 
 def load_topic(spark: SparkSession, path: str, kind: str, delay: str = WATERMARK_DELAY,
                max_files_per_trigger: int | None = None, bootstrap: str | None = None,
-               max_offsets_per_trigger: int | None = None, count_rejects: bool = False) -> DataFrame:
+               max_offsets_per_trigger: int | None = None, count_rejects: bool = False,
+               fmt: str = "json") -> DataFrame:
     """Messages -> watermarked, cleaned records of one kind.
 
-    ``path`` is a folder of message files, or, with ``bootstrap`` servers, the
-    name of a broker topic; both give key, value, topic, timestamp.
+    ``path`` is a folder of message files (in ``fmt``), or, with ``bootstrap``
+    servers, the name of a broker topic; both give key, value, topic, timestamp.
     ``count_rejects`` reports values that did not parse with each batch."""
     ts = TS_COLUMNS[kind]
     msgs = (kafka_stream(spark, path, bootstrap=bootstrap, max_offsets_per_trigger=max_offsets_per_trigger)
-            if bootstrap else file_stream(spark, path, max_files_per_trigger))
+            if bootstrap else file_stream(spark, path, max_files_per_trigger, fmt))
     recs = parse_envelope(msgs, RECORD_SCHEMAS[kind], "timestamp", ts).withWatermark(ts, delay)
     return _CLEAN[kind](observed_rejects(recs, kind) if count_rejects else recs)
 
 
 def build(name: str, s: dict[str, DataFrame], dedupe: bool = False,
-          time_bound: str | None = None, dedupe_within_watermark: bool = False) -> DataFrame:
+          time_bound: str | None = None, dedupe_within_watermark: bool = False,
+          key_order: bool = False) -> DataFrame:
     """The named result from a dict of cleaned (stream or batch) frames.
 
     ``time_bound`` (streams) bounds the joins in time so their state expires;
     None keeps the original unbounded join. ``dedupe_within_watermark`` lets
-    the dedupe of ``rating_per_year`` forget ids the watermark passed."""
+    the dedupe of ``rating_per_year`` forget ids the watermark passed;
+    ``key_order`` sorts its rows before they go into state (see there)."""
     if name == "top_country":
         return A.top_country(s["movie"])
     if name == "top_user_sentiment":
@@ -62,7 +70,7 @@ def build(name: str, s: dict[str, DataFrame], dedupe: bool = False,
         return A.top_director_rate(s["actor"], s["movie"], time_bound=time_bound)
     if name == "rating_per_year":
         return A.rating_per_year(s["review"], s["movie"], time_bound=time_bound,
-                                 dedupe_within_watermark=dedupe_within_watermark)
+                                 dedupe_within_watermark=dedupe_within_watermark, key_order=key_order)
     if name == "top_sentiment":
         return A.top_sentiment(s["review"], s["movie"], dedupe=dedupe, time_bound=time_bound)
     raise KeyError(name)
